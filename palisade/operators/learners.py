@@ -44,8 +44,18 @@ def _output_columns(name: str) -> dict[str, str]:
     }
 
 
+def _named(estimator, name: str):
+    """Give a classifier output columns of its own, so that several can run on one frame."""
+    columns = _output_columns(name)
+    return (
+        estimator.setRawPredictionCol(columns["rawPredictionCol"])
+        .setProbabilityCol(columns["probabilityCol"])
+        .setPredictionCol(columns["predictionCol"])
+    )
+
+
 def fit_boosted_trees(train: DataFrame, name: str, s: BoostedTreesSettings, label: str, row_id: str) -> Model:
-    return GBTClassifier(
+    trees = GBTClassifier(
         featuresCol=FEATURES,
         labelCol=label,
         maxIter=s.trees,
@@ -56,12 +66,12 @@ def fit_boosted_trees(train: DataFrame, name: str, s: BoostedTreesSettings, labe
         maxBins=s.max_bins,
         seed=s.seed,
         maxMemoryInMB=1024,
-        **_output_columns(name),
-    ).fit(train)
+    )
+    return _named(trees, name).fit(train)
 
 
 def fit_fine_binned_trees(train: DataFrame, name: str, s: FineBinnedTreesSettings, label: str, row_id: str) -> Model:
-    return GBTClassifier(
+    trees = GBTClassifier(
         featuresCol=FEATURES,
         labelCol=label,
         maxIter=s.trees,
@@ -73,8 +83,8 @@ def fit_fine_binned_trees(train: DataFrame, name: str, s: FineBinnedTreesSetting
         minInstancesPerNode=s.min_rows_per_leaf,
         seed=s.seed,
         maxMemoryInMB=1024,
-        **_output_columns(name),
-    ).fit(train)
+    )
+    return _named(trees, name).fit(train)
 
 
 def fit_random_forest(train: DataFrame, name: str, s: ForestSettings, label: str, row_id: str) -> Model:
@@ -87,15 +97,15 @@ def fit_random_forest(train: DataFrame, name: str, s: ForestSettings, label: str
         featureSubsetStrategy="sqrt",
         seed=s.seed,
         maxMemoryInMB=1024,
-        **_output_columns(name),
     )
     if s.balanced:
-        return forest.setWeightCol("_weight").fit(with_class_weight(train, label, "_weight"))
-    return forest.fit(train)
+        forest = forest.setWeightCol("_weight")
+        train = with_class_weight(train, label, "_weight")
+    return _named(forest, name).fit(train)
 
 
 def fit_logistic(train: DataFrame, name: str, s: LogisticSettings, label: str, row_id: str) -> Model:
-    return LogisticRegression(
+    regression = LogisticRegression(
         featuresCol=FEATURES,
         labelCol=label,
         maxIter=s.max_iterations,
@@ -103,8 +113,8 @@ def fit_logistic(train: DataFrame, name: str, s: LogisticSettings, label: str, r
         elasticNetParam=0.0,
         standardization=False,
         family="binomial",
-        **_output_columns(name),
-    ).fit(train)
+    )
+    return _named(regression, name).fit(train)
 
 
 class RandomFourierFeatures(Transformer, HasState):

@@ -141,13 +141,16 @@ def mine_signatures(df: DataFrame, label: str, settings: SignatureSettings | Non
 
 def rule_text(rules: DataFrame) -> DataFrame:
     """(rank, text): one readable line per rule."""
+    def four_digits(name: str) -> Column:
+        return F.call_function("format_number", F.col(name), F.lit("0.0000"))
+
     return rules.select(
         "rank",
         F.format_string(
-            "IF %s THEN Attack (support=%.4f, confidence=%.4f, n=%d)",
+            "IF %s THEN Attack (support=%s, confidence=%s, n=%d)",
             F.col("rule"),
-            F.col("support"),
-            F.col("confidence"),
+            four_digits("support"),
+            four_digits("confidence"),
             F.col("match_count"),
         ).alias("text"),
     )

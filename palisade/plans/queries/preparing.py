@@ -283,16 +283,18 @@ def document_f_scores(spark, sf_dir):
 
 
 def _information_sql(c: str) -> str:
-    borders = ", ".join(f"0.{i}" for i in range(1, 10))
+    shares = ", ".join(f"0.{i}" for i in range(1, 10))
     return f"""SELECT '{c}' AS feature, round(greatest(sum(n / t * ln(n * t / (b * k))), 0), 6) AS score FROM (
       SELECT n, sum(n) OVER () AS t, sum(n) OVER (PARTITION BY bin) AS b, sum(n) OVER (PARTITION BY label) AS k FROM (
         SELECT bin, label, CAST(count(*) AS DOUBLE) AS n FROM (
-          SELECT label, len(list_filter(list_distinct(
-            (SELECT quantile_disc(CAST({c} AS DOUBLE), [{borders}]) FROM finite)), x -> {c} > x)) AS bin FROM finite)
+          SELECT label, (SELECT count(*) FROM (
+              SELECT DISTINCT unnest(quantile_disc(CAST({c} AS DOUBLE), [{shares}])) AS border FROM finite)
+            WHERE f.{c} > border) AS bin
+          FROM finite f)
         GROUP BY bin, label))"""
 
 
-@query("information_scores", f"{_FINITE} " + " UNION ALL ".join(_information_sql(c) + ")" for c in _SCORED))
+@query("information_scores", f"{_FINITE} " + " UNION ALL ".join(_information_sql(c) for c in _SCORED))
 def information_scores(spark, sf_dir):
     return rounded(features.ranked_importance(labelled(spark, sf_dir), _SCORED, "label", "mutual_info"))
 
@@ -340,9 +342,9 @@ def uncorrelated_features(spark, sf_dir):
 
 _LEAD = _ALL_NUMBERS[:5]
 _PRODUCTS = ", ".join(
-    f"round({a} * {b}, 6) AS {a}_x_{b}" for i, a in enumerate(_LEAD) for b in _LEAD[i + 1 :]
+    f"round(CAST({a} AS DOUBLE) * {b}, 6) AS {a}_x_{b}" for i, a in enumerate(_LEAD) for b in _LEAD[i + 1 :]
 )
-_SQUARES = ", ".join(f"round({c} * {c}, 6) AS {c}_pow_2" for c in _LEAD)
+_SQUARES = ", ".join(f"round(CAST({c} AS DOUBLE) * {c}, 6) AS {c}_pow_2" for c in _LEAD)
 
 
 @query("interaction_features", f"{_FINITE} SELECT row_id, {_PRODUCTS} FROM finite")
@@ -436,8 +438,8 @@ def plain_split(spark, sf_dir):
 
 @query(
     "three_way_split",
-    f"""{WITH_BIN} SELECT count(*) AS n, count(DISTINCT row_id) AS ids, 0.64 AS train_share, 0.16 AS validation_share,
-      0.2 AS test_share FROM bin""",
+    f"""{WITH_BIN} SELECT count(*) AS n, count(DISTINCT row_id) AS ids, 0.64::DOUBLE AS train_share,
+      0.16::DOUBLE AS validation_share, 0.2::DOUBLE AS test_share FROM bin""",
 )
 def three_way_split(spark, sf_dir):
     df = labelled(spark, sf_dir).select("row_id", "label")
