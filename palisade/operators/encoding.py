@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from palisade.operators.quantiles import exact_quantiles
 from palisade.schema import quoted
+from palisade.session import settle_small
 
 
 def categories(df: DataFrame, columns: list[str], limit: int) -> dict[str, list[str]]:
@@ -59,7 +60,7 @@ def code_table(df: DataFrame, columns: list[str]) -> DataFrame:
 def encode_with(df: DataFrame, codes: DataFrame, column: str, output: str) -> DataFrame:
     """Add the stored code of a column; unseen values get null.
 
-    Left to Spark's own size check: a small code table is broadcast, a large one is shuffled.
+    Pass a table from :func:`settle_codes`, which is broadcast exactly when it is small.
     """
     mapping = codes.filter(F.col("column") == column).select(
         F.col("value").alias("_value"), F.col("code").alias(output)
@@ -75,6 +76,12 @@ def decode_with(df: DataFrame, codes: DataFrame, column: str, code: str, output:
     return df.join(mapping, F.col(quoted(code)) == F.col("_code"), "left").drop("_code")
 
 
+def settle_codes(codes: DataFrame) -> DataFrame:
+    """Compute a code table once: a short one as a broadcast lookup, a long one as a written table."""
+    settled, small = settle_small(codes)
+    return F.broadcast(settled) if small else settled
+
+
 def scaling(df: DataFrame, columns: list[str], method: str) -> dict[str, tuple[float, float]]:
     """(centre, spread) of each column; a spread of zero is replaced by one."""
     if not columns:

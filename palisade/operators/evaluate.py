@@ -226,14 +226,14 @@ def roc_curve(df: DataFrame, y: str, score: str, *, drop_collinear: bool = True)
         range_splits(df, score),
         descending=True,
         look_ahead=True,
+        totals=True,
     )
-    totals = df.agg(
-        F.struct(F.sum(F.col(quoted(y)).cast("bigint")).alias("pos"), F.sum(1 - F.col(quoted(y)).cast("bigint")).alias("neg"))
-    ).scalar()
     points = table.select(
         F.col("score").alias("threshold"),
         (F.col("neg_before") + F.col("neg")).alias("fp"),
         (F.col("pos_before") + F.col("pos")).alias("tp"),
+        "neg_total",
+        "pos_total",
         ((F.col("pos") == F.col("pos_next")) & (F.col("neg") == F.col("neg_next"))).alias("straight"),
         ((F.col("pos_before") == 0) & (F.col("neg_before") == 0)).alias("strictest"),
     )
@@ -241,8 +241,8 @@ def roc_curve(df: DataFrame, y: str, score: str, *, drop_collinear: bool = True)
         points = points.filter(F.col("strictest") | ~F.coalesce(F.col("straight"), F.lit(False)))
     curve = points.select(
         "threshold",
-        F.try_divide(F.col("fp").cast("double"), totals["neg"]).alias("fpr"),
-        F.try_divide(F.col("tp").cast("double"), totals["pos"]).alias("tpr"),
+        F.try_divide(F.col("fp").cast("double"), F.col("neg_total")).alias("fpr"),
+        F.try_divide(F.col("tp").cast("double"), F.col("pos_total")).alias("tpr"),
     )
     start = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
     return start.unionByName(curve)
@@ -251,15 +251,19 @@ def roc_curve(df: DataFrame, y: str, score: str, *, drop_collinear: bool = True)
 def precision_recall_curve(df: DataFrame, y: str, score: str) -> DataFrame:
     """(threshold, precision, recall) per distinct score, closed by (null, 1, 0)."""
     table = running_totals(
-        _score_table(df, y, score), "score", ["pos", "neg"], range_splits(df, score), descending=True
+        _score_table(df, y, score),
+        "score",
+        ["pos", "neg"],
+        range_splits(df, score),
+        descending=True,
+        totals=True,
     )
-    positives = df.agg(F.sum(F.col(quoted(y)).cast("bigint"))).scalar()
     tp = F.col("pos_before") + F.col("pos")
     flagged = tp + F.col("neg_before") + F.col("neg")
     curve = table.select(
         F.col("score").alias("threshold"),
         ratio(tp, flagged).alias("precision"),
-        F.coalesce(F.try_divide(tp.cast("double"), positives), F.lit(1.0)).alias("recall"),
+        F.coalesce(F.try_divide(tp.cast("double"), F.col("pos_total")), F.lit(1.0)).alias("recall"),
     )
     end = df.sparkSession.createDataFrame([(None, 1.0, 0.0)], "threshold double, precision double, recall double")
     return curve.unionByName(end)
@@ -317,7 +321,7 @@ def best_threshold(df: DataFrame, y: str, score: str, metric: str = "f1") -> Dat
 def class_chart(df: DataFrame, y: str) -> DataFrame:
     """(class, count, percentage with one decimal)."""
     counts = df.groupBy(F.col(quoted(y)).alias("class")).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = F.sum("count").over(Window.partitionBy(F.lit(0)))  # over one row per class
     return counts.select("class", "count", F.round(F.col("count") * 100.0 / total, 1).alias("percentage"))
 
 

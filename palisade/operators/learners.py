@@ -31,7 +31,7 @@ from palisade.operators.evaluate import metrics
 from palisade.operators.fitted import HasState
 from palisade.operators.sampling import with_class_weight
 from palisade.schema import quoted
-from palisade.session import use_checkpoints
+from palisade.session import cut_lineage, use_checkpoints
 
 FEATURES = "features"
 
@@ -201,7 +201,7 @@ def fit_kernel_machine(train: DataFrame, name: str, s: KernelMachineSettings, la
         probabilityCol=columns["probabilityCol"],
         predictionCol=f"_{name}_likely",
         standardization=False,
-    ).fit(_calibration_rows(margins, label))
+    ).fit(_calibration_rows(cut_lineage(margins, "margins"), label))
     return PipelineModel([cosines, machine(mapped, n), slicer, calibration])
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from palisade.operators.encoding import code_table, decode_with, encode_with
+from palisade.operators.encoding import code_table, decode_with, encode_with, settle_codes
 
 
 class LabelCodes:
@@ -15,7 +15,7 @@ class LabelCodes:
         self._codes: DataFrame | None = None
 
     def fit(self, df: DataFrame) -> LabelCodes:
-        self._codes = code_table(df, [self.label])
+        self._codes = settle_codes(code_table(df, [self.label]))
         return self
 
     @property

@@ -39,7 +39,7 @@ class Preprocessor(Estimator, HasState):
         categorical = categorical_columns(df, exclude=(row_id, label))
 
         fills = fill_values(df, numeric, categorical, s.missing)
-        rows = cut_lineage(first_of_each(df, [*numeric, *categorical], row_id, label, fills))
+        rows = cut_lineage(first_of_each(df, [*numeric, *categorical], row_id, label, fills), "survivors")
         bounds = outlier_bounds(impute(rows, fills), numeric, s.outliers, s.iqr_multiplier)
         rows = drop_outliers(rows, bounds, fills)
 

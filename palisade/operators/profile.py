@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palisade.functions.cells import missing, null_if_missing
@@ -65,18 +65,19 @@ def class_distribution(df: DataFrame, target: str) -> DataFrame:
     """
     if target not in df.columns:
         raise ValueError(f"no column {target!r} in the table")
-    counts = (
-        df.groupBy(F.col(quoted(target)).alias("class"))
-        .agg(F.count(F.lit(1)).alias("count"))
+    counts = df.groupBy(F.col(quoted(target)).alias("class")).agg(F.count(F.lit(1)).alias("count"))
+    classes = Window.partitionBy(F.lit(0))  # over one row per class
+    known = F.when(F.col("class").isNotNull(), F.col("count"))
+    return (
+        counts.select(
+            "class",
+            "count",
+            F.round(F.col("count") * 100.0 / F.sum("count").over(classes), 2).alias("percentage"),
+            (F.max(known).over(classes) / F.min(known).over(classes)).alias("balance_ratio"),
+        )
         .filter(F.col("class").isNotNull())
+        .orderBy(F.desc("count"), "class")
     )
-    largest_to_smallest = counts.agg(F.max("count") / F.min("count")).scalar()
-    return counts.select(
-        "class",
-        "count",
-        F.round(F.col("count") * 100.0 / row_count(df), 2).alias("percentage"),
-        largest_to_smallest.alias("balance_ratio"),
-    ).orderBy(F.desc("count"), "class")
 
 
 def numeric_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -1,23 +1,24 @@
 """Exact quantiles whose memory stays bounded however many distinct values a column has.
 
-``percentile`` keeps one map entry per distinct value, so it is used only while a column has at
-most ``row_limit`` values.  Above that the wanted order statistics are bracketed with the
-mergeable approximate percentile, the rows inside the bracket are counted, and the bracket is
-narrowed until an endpoint is the answer or few enough rows are left.  Every round is one or two
-aggregations over the table for all columns together; no sort and no wide shuffle.
+While a column has few rows or few distinct values, its values are counted (map-side combined)
+and the wanted ranks are read off the running counts.  Otherwise the wanted order statistics are
+bracketed with the mergeable approximate percentile, the rows around the bracket are counted, and
+the bracket is narrowed until an endpoint is the answer or few enough rows are left to count.
+Every narrowing round is two aggregations over the table for all columns together: no sort and no
+wide shuffle.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palisade.functions.cells import null_if_missing
 from palisade.schema import quoted
 
-ROW_LIMIT = 1_000_000
+VALUE_LIMIT = 1_000_000
 ACCURACY = 10_000
 
 
@@ -27,7 +28,7 @@ def exact_quantiles(
     probabilities: list[float],
     *,
     discrete: bool = False,
-    row_limit: int = ROW_LIMIT,
+    value_limit: int = VALUE_LIMIT,
     accuracy: int = ACCURACY,
 ) -> dict[str, list[float | None]]:
     """Quantiles of each column over its non-missing values, ``None`` for an empty column.
@@ -38,47 +39,61 @@ def exact_quantiles(
     if not columns:
         return {}
     values = df.select(*[null_if_missing(df, c).cast("double").alias(c) for c in columns])
-    counts = values.agg(*[F.count(F.col(quoted(c))).alias(c) for c in columns]).first().asDict()
+    seen = values.agg(
+        *[F.count(F.col(quoted(c))).alias(f"n:{c}") for c in columns],
+        *[F.approx_count_distinct(F.col(quoted(c))).alias(f"d:{c}") for c in columns],
+    ).first()
+    counts = {c: seen[f"n:{c}"] for c in columns}
+    wanted = {c: [_ranks(p, counts[c], discrete) for p in probabilities] for c in columns if counts[c]}
+    targets = {
+        (c, rank): _Target(c, rank, counts[c]) for c, picks in wanted.items() for pick in picks for rank in pick[:2]
+    }
+
+    while True:
+        wide = [
+            t
+            for t in targets.values()
+            if t.value is None and t.inside > value_limit and (t.narrowed or seen[f"d:{t.column}"] > value_limit)
+        ]
+        if not wide:
+            break
+        _narrow(values, wide, accuracy)
+    _count_values(values, [t for t in targets.values() if t.value is None])
 
-    small = [c for c in columns if 0 < counts[c] <= row_limit]
-    large = [c for c in columns if counts[c] > row_limit]
     answer: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
-    answer.update(_direct(values, small, probabilities, discrete))
-    answer.update(_narrowed(values, large, counts, probabilities, discrete, row_limit, accuracy))
+    for c, picks in wanted.items():
+        for i, (low, high, share) in enumerate(picks):
+            a, b = targets[c, low].value, targets[c, high].value
+            answer[c][i] = a if a == b else (1.0 - share) * a + share * b
     return answer
 
 
-
-def _direct(values, columns, probabilities, discrete):
-    if not columns:
-        return {}
+def _ranks(p: float, n: int, discrete: bool) -> tuple[int, int, float]:
+    """The two neighbouring ranks (from 0) of a quantile and the weight of the upper one."""
     if discrete:
-        exprs = [
-            F.expr(f"percentile_disc({float(p)!r}D) WITHIN GROUP (ORDER BY {quoted(c)})")
-            for c in columns
-            for p in probabilities
-        ]
-        row = values.agg(*[e.alias(f"v{i}") for i, e in enumerate(exprs)]).first()
-        k = len(probabilities)
-        return {c: [row[i * k + j] for j in range(k)] for i, c in enumerate(columns)}
-    row = values.agg(
-        *[F.percentile(F.col(quoted(c)), list(map(float, probabilities))).alias(f"v{i}") for i, c in enumerate(columns)]
-    ).first()
-    return {c: list(row[i]) for i, c in enumerate(columns)}
+        r = max(math.ceil(p * n) - 1, 0)
+        return r, r, 0.0
+    position = p * (n - 1)
+    low = math.floor(position)
+    return low, min(math.ceil(position), n - 1), position - low
 
 
 class _Target:
-    """One order statistic: the value with ``rank`` smaller-or-equal predecessors."""
+    """The value at one rank of a column, known to lie strictly between ``low`` and ``high``."""
 
     def __init__(self, column: str, rank: int, n: int):
         self.column, self.rank = column, rank
-        self.low, self.high = -math.inf, math.inf  # open bracket
+        self.low, self.high = -math.inf, math.inf
         self.below, self.inside = 0, n
         self.value: float | None = None
 
-    def inside_or_null(self, name: str | None = None) -> Column:
-        c = F.col(quoted(name or self.column))
-        keep = F.lit(True)
+    @property
+    def narrowed(self) -> bool:
+        return self.low != -math.inf or self.high != math.inf
+
+    def inside_or_null(self) -> Column:
+        c = F.col(quoted(self.column))
+        keep = c.isNotNull()
         if self.low != -math.inf:
             keep = keep & (c > F.lit(self.low))
         if self.high != math.inf:
@@ -86,61 +101,40 @@ class _Target:
         return F.when(keep, c)
 
 
-def _narrowed(values, columns, counts, probabilities, discrete, row_limit, accuracy):
-    if not columns:
-        return {}
-    targets: dict[tuple[str, int], _Target] = {}
-    wanted: dict[str, list[tuple[int, int, float]]] = {}
-    for c in columns:
-        wanted[c] = [_ranks(p, counts[c], discrete) for p in probabilities]
-        for low, high, _ in wanted[c]:
-            for rank in (low, high):
-                targets.setdefault((c, rank), _Target(c, rank, counts[c]))
-
-    open_targets = list(targets.values())
-    while any(t.inside > row_limit for t in open_targets):
-        wide = [t for t in open_targets if t.inside > row_limit]
-        _bracket(values, wide, accuracy)
-        open_targets = [t for t in open_targets if t.value is None]
-    if open_targets:
-        row = values.agg(
-            *[
-                F.expr(
-                    f"percentile_disc({(t.rank - t.below + 0.5) / t.inside!r}D) "
-                    f"WITHIN GROUP (ORDER BY {_inside_sql(t)})"
-                ).alias(f"v{i}")
-                for i, t in enumerate(open_targets)
-            ]
-        ).first()
-        for i, t in enumerate(open_targets):
-            t.value = row[i]
-
-    result = {}
-    for c in columns:
-        result[c] = []
-        for low, high, share in wanted[c]:
-            a, b = targets[c, low].value, targets[c, high].value
-            result[c].append(a if low == high or a == b else (1.0 - share) * a + share * b)
-    return result
-
-
-def _ranks(p: float, n: int, discrete: bool) -> tuple[int, int, float]:
-    if discrete:
-        r = max(math.ceil(p * n) - 1, 0)
-        return r, r, 0.0
-    position = p * (n - 1)
-    low = math.floor(position)
-    return low, min(math.ceil(position), n - 1), position - low
-
-
-def _inside_sql(t: _Target) -> str:
-    c = quoted(t.column)
-    tests = [f"{c} > {t.low!r}D"] if t.low != -math.inf else []
-    tests += [f"{c} < {t.high!r}D"] if t.high != math.inf else []
-    return f"CASE WHEN {' AND '.join(tests) or 'true'} THEN {c} END"
-
-
-def _bracket(values: DataFrame, targets: list[_Target], accuracy: int) -> None:
+def _count_values(values: DataFrame, targets: list[_Target]) -> None:
+    """Read the targets off the running counts of the values inside their brackets."""
+    if not targets:
+        return
+    brackets = sorted({(t.column, t.low, t.high) for t in targets})
+    of_bracket = {b: [t for t in targets if (t.column, t.low, t.high) == b] for b in brackets}
+    entries = [
+        F.struct(F.lit(i).alias("bracket"), of_bracket[b][0].inside_or_null().alias("value"))
+        for i, b in enumerate(brackets)
+    ]
+    counted = (
+        values.select(F.inline(F.array(*entries)))
+        .filter(F.col("value").isNotNull())
+        .groupBy("bracket", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    upto = F.sum("n").over(Window.partitionBy("bracket").orderBy("value"))
+    ranks = F.array(
+        *[F.array(*[F.lit(t.rank - t.below).cast("bigint") for t in of_bracket[b]]) for b in brackets]
+    )
+    here = F.filter(
+        F.element_at(ranks, F.col("bracket") + 1),
+        lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")),
+    )
+    found = (
+        counted.withColumn("upto", upto).select("bracket", "value", F.explode(here).alias("rank")).collect()
+    )  # one row per target
+    value = {(r["bracket"], r["rank"]): r["value"] for r in found}
+    for i, b in enumerate(brackets):
+        for t in of_bracket[b]:
+            t.value = value[i, t.rank - t.below]
+
+
+def _narrow(values: DataFrame, targets: list[_Target], accuracy: int) -> None:
     """One narrowing round: approximate endpoints, then exact counts around them."""
     margin = 2.0 / accuracy
     exprs = []

@@ -36,11 +36,13 @@ def running_totals(
     by: tuple[str, ...] = (),
     descending: bool = False,
     look_ahead: bool = False,
+    totals: bool = False,
 ) -> DataFrame:
     """Add ``<s>_before``: the sum of ``s`` over all rows strictly earlier in the order.
 
     ``distinct`` holds each order value once (per ``by`` group).  ``look_ahead`` also adds
-    ``<s>_next``, the value of ``s`` on the next row, null on the last one.
+    ``<s>_next``, the value of ``s`` on the next row, null on the last one; ``totals`` adds
+    ``<s>_total``, the sum over all rows.
     """
     keys = list(by)
     sign = (lambda c: c.desc()) if descending else (lambda c: c.asc())
@@ -54,11 +56,13 @@ def running_totals(
     )
     over_ranges = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(sign(F.col("_range")))
     earlier = over_ranges.rowsBetween(Window.unboundedPreceding, -1)
+    everything = over_ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = per_range.select(
         *keys,
         "_range",
         *[F.coalesce(F.sum(f"_{s}").over(earlier), F.lit(0)).alias(f"_{s}_offset") for s in sums],
         *([F.lead(f"_{s}_head").over(over_ranges).alias(f"_{s}_head") for s in sums] if look_ahead else []),
+        *([F.sum(f"_{s}").over(everything).alias(f"{s}_total") for s in sums] if totals else []),
     )
 
     inside = Window.partitionBy(*keys, "_range").orderBy(sign(F.col(quoted(order))))
@@ -71,4 +75,6 @@ def running_totals(
     added: list[Column] = [(F.col(f"_{s}_inside") + F.col(f"_{s}_offset")).alias(f"{s}_before") for s in sums]
     if look_ahead:
         added += [F.coalesce(f"_{s}_lead", f"_{s}_head").alias(f"{s}_next") for s in sums]
+    if totals:
+        added += [F.col(f"{s}_total") for s in sums]
     return joined.select(*[F.col(quoted(c)) for c in distinct.columns], *added)

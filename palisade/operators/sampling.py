@@ -245,8 +245,8 @@ def class_weights(df: DataFrame, label: str, strategy: str = "balanced") -> Data
     if strategy == "uniform":
         return counts.select("class", F.lit(1.0).alias("weight"))
     if strategy == "balanced":
-        whole = counts.agg((F.sum("n") / F.count(F.lit(1))).alias("share")).scalar()
-        return counts.select("class", (whole / F.col("n")).alias("weight"))
+        mean_count = F.avg("n").over(Window.partitionBy(F.lit(0)))  # over one row per class
+        return counts.select("class", (mean_count / F.col("n")).alias("weight"))
     raise ValueError(f"unknown weighting strategy {strategy!r}")
 
 

@@ -103,7 +103,7 @@ def train_detector(
     clean = preprocess.transform(rows)
     features = FeatureEngineer(settings.features, row_id, label).fit(clean)
     selected = features.output_columns
-    vectors = cut_lineage(assemble(features.transform(clean), selected, FEATURES).drop(*selected))
+    vectors = cut_lineage(assemble(features.transform(clean), selected, FEATURES).drop(*selected), "vectors")
 
     signatures = None
     if settings.fusion.use_signatures:
@@ -120,7 +120,7 @@ def train_detector(
     kept = [row_id, label, "sig", *[f"{k}_{m}" for m in names for k in ("p", "pred")], "p_ensemble", "p_attack"]
 
     def scored(df: DataFrame) -> DataFrame:
-        return cut_lineage(detector.score(df).select(*kept))
+        return cut_lineage(detector.score(df).select(*kept), "scored")
 
     def decided(df: DataFrame) -> DataFrame:
         return with_fusion(df, "sig", "p_ensemble", detector.threshold)

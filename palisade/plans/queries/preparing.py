@@ -181,7 +181,7 @@ def category_codes(spark, sf_dir):
 )
 def category_encoded(spark, sf_dir):
     conn = views.conn(spark, sf_dir).select("row_id", "flag")
-    codes = encoding.code_table(conn, ["flag"])
+    codes = encoding.settle_codes(encoding.code_table(conn, ["flag"]))
     return encoding.encode_with(conn, codes, "flag", "flag_code").select("row_id", "flag_code")
 
 

@@ -9,6 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SMALL_TABLE_ROWS = 10_000
 
 
 def local_session(cpus: int | str = 8, app: str = "palisade", **conf: str) -> SparkSession:
@@ -53,7 +54,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def use_checkpoints(spark: SparkSession) -> bool:
-    """Make ``checkpoint()`` usable when a shared folder is known."""
+    """Let long iterative training cut its own lineage when a shared folder is known."""
     folder = shared_folder(spark)
     if folder is None:
         return False
@@ -62,12 +63,26 @@ def use_checkpoints(spark: SparkSession) -> bool:
     return True
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a frame that several later passes read.
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Materialise a frame that several later passes read, as a table in the shared folder.
 
-    The reliable checkpoint survives lost executors.  Without a shared folder the frame is
-    persisted instead and lost blocks are recomputed.
+    A written table survives lost executors, and each later pass reads only the columns it needs.
+    Without a shared folder the frame is persisted instead and lost blocks are recomputed.
     """
-    if use_checkpoints(df.sparkSession):
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if shared_folder(df.sparkSession) is None:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle_small(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> tuple[DataFrame, bool]:
+    """Materialise a lookup table and tell whether it is small enough to broadcast.
+
+    At most ``limit`` rows come to the driver.  A larger table is written instead and joins on it
+    are left to shuffle.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) <= limit:
+        return df.sparkSession.createDataFrame(rows, df.schema), True
+    return cut_lineage(df, "lookup"), False
