@@ -252,8 +252,8 @@ def evaluate_learner(models: dict[str, Model], name: str, df: DataFrame, label:
     """Metrics of one trained learner on a labelled ``features`` table."""
     if name not in models:
         raise ValueError(f"{name} has not been trained")
-    scored = score_with({name: models[name]}, df)
-    return metrics(scored, label, f"pred_{name}", f"p_{name}")
+    scored = score_with({name: models[name]}, df).select(label, f"pred_{name}", f"p_{name}")
+    return metrics(cut_lineage(scored, "scored"), label, f"pred_{name}", f"p_{name}")
 
 
 def learner_importance(model: Model, features: list[str], spark) -> DataFrame | None:

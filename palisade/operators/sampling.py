@@ -16,7 +16,8 @@ from palisade.config import HOLDOUT_FRACTION, RANDOM_SEED
 from palisade.functions.draws import DRAW_BITS, hashed_draw
 from palisade.schema import quoted
 
-CELL_BITS = 20
+MAX_CELL_BITS = 20
+ROWS_PER_CELL = 4096
 MAX_CLASSES = 10_000
 BROADCAST_ROWS = 100_000
 
@@ -54,13 +55,19 @@ def _drawn(df: DataFrame, label: str | None, row_id: str, draw: Column | None, s
     )
 
 
+def _cell(rows: int) -> Column:
+    """Leading bits of the draw, enough of them that one cell holds few rows."""
+    bits = max(1, min(MAX_CELL_BITS, (rows // ROWS_PER_CELL).bit_length()))
+    return F.shiftright("_draw", DRAW_BITS - bits)
+
+
 def _cuts(drawn: DataFrame, row_id: str, ends: list[tuple[object, int, int]]) -> dict[tuple, tuple]:
     """For each (class, part, rank): the draw and id of the row with that rank within the class."""
     spark = drawn.sparkSession
     kind = drawn.schema["_class"].dataType.simpleString()
     wanted = F.broadcast(spark.createDataFrame(ends, f"_of {kind}, part int, end bigint"))
-    cell = F.shiftright("_draw", DRAW_BITS - CELL_BITS)
-    keys = drawn.select("_class", cell.alias("_cell"), "_draw", F.col(quoted(row_id)).alias("_id"))
+    largest = max(end for _, _, end in ends)
+    keys = drawn.select("_class", _cell(largest).alias("_cell"), "_draw", F.col(quoted(row_id)).alias("_id"))
 
     per_cell = keys.groupBy("_class", "_cell").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy("_class").orderBy("_cell"))
@@ -96,27 +103,32 @@ def split_parts(
     """
     drawn = _drawn(df, label, row_id, draw, seed)
     ends = [(c, i, sum(parts[: i + 1])) for c, parts in sizes.items() for i in range(len(parts))]
-    cuts = _cuts(drawn, row_id, [e for e in ends if e[2] > 0])
-    past_every_draw = (1 << DRAW_BITS, None)
+    reached = [e for e in ends if e[2] > 0]
+    cuts = _cuts(drawn, row_id, reached) if reached else {}
+    # A cut is (draw, id): rows beyond it belong to a later part.
+    before_all, after_all = (-1, None), (1 << DRAW_BITS, None)
+    n_cuts = max(len(parts) for parts in sizes.values())
     table = []
     for c, parts in sizes.items():
-        marks = []
-        for i in range(len(parts)):
-            empty_so_far = sum(parts[: i + 1]) == 0
-            marks.append((-1, None) if empty_so_far else cuts.get((c, i), past_every_draw))
-        table.append((c, marks))
+        row = [c]
+        for i in range(n_cuts):
+            if i >= len(parts):
+                row += after_all
+            else:
+                row += before_all if sum(parts[: i + 1]) == 0 else cuts.get((c, i), after_all)
+        table.append(tuple(row))
     class_kind = drawn.schema["_class"].dataType.simpleString()
     id_kind = df.schema[row_id].dataType.simpleString()
-    lookup = df.sparkSession.createDataFrame(
-        table, f"_of {class_kind}, _marks array<struct<draw: bigint, id: {id_kind}>>"
-    )
-    after = F.filter(
-        "_marks",
-        lambda m: (F.col("_draw") > m["draw"])
-        | ((F.col("_draw") == m["draw"]) & (F.col(quoted(row_id)) > m["id"])),
-    )
+    names = "".join(f", _draw{i} bigint, _id{i} {id_kind}" for i in range(n_cuts))
+    lookup = df.sparkSession.createDataFrame(table, f"_of {class_kind}{names}")  # at most MAX_CLASSES rows
+    part = F.lit(0)
+    for i in range(n_cuts):
+        beyond = (F.col("_draw") > F.col(f"_draw{i}")) | (
+            (F.col("_draw") == F.col(f"_draw{i}")) & (F.col(quoted(row_id)) > F.col(f"_id{i}"))
+        )
+        part = part + F.when(beyond, 1).otherwise(0)
     marked = drawn.join(F.broadcast(lookup), F.col("_class").eqNullSafe(F.col("_of")), "left")
-    return marked.withColumn(output, F.coalesce(F.size(after), F.lit(0))).drop("_class", "_draw", "_of", "_marks")
+    return marked.select(*[F.col(quoted(c)) for c in df.columns], part.alias(output))
 
 
 def holdout_split(
@@ -168,10 +180,9 @@ def undersample(
     return marked.filter(F.col("_part") == 0).drop("_part")
 
 
-def _numbered(df: DataFrame, row_id: str) -> DataFrame:
+def _numbered(df: DataFrame, row_id: str, largest: int) -> DataFrame:
     """Dense row numbers 0.. per ``_class``, from windows over small cells of draws."""
-    cell = F.shiftright("_draw", DRAW_BITS - CELL_BITS)
-    celled = df.withColumn("_cell", cell)
+    celled = df.withColumn("_cell", _cell(largest))
     per_cell = celled.groupBy("_class", "_cell").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("_class").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_cell.select("_class", "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
@@ -218,7 +229,8 @@ def oversample(df: DataFrame, *, row_id: str, label: str, seed: int = RANDOM_SEE
                 F.pmod(hashed_draw(seed + 1, F.col("id"), F.col("_at")), sizes).alias("_index"),
             )
         )
-        rows = _numbered(_drawn(df.filter(F.col(quoted(label)).isin(group)), label, row_id, None, seed), row_id)
+        members = _drawn(df.filter(F.col(quoted(label)).isin(group)), label, row_id, None, seed)
+        rows = _numbered(members, row_id, max(counts[c] for c in group))
         joined = picks.join(F.broadcast(rows) if small else rows, ["_class", "_index"])
         pieces.append(joined.select(*[F.col(quoted(c)) for c in names]))
     result = pieces[0]
