@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from palisade.operators.quantiles import exact_quantiles
 from palisade.schema import quoted
-from palisade.session import settle_small
+from palisade.session import SMALL_TABLE_ROWS, cut_lineage, settle_small
 
 
 def categories(df: DataFrame, columns: list[str], limit: int) -> dict[str, list[str]]:
@@ -45,23 +45,42 @@ def indicators(levels: dict[str, list[str]]) -> list[Column]:
     ]
 
 
-def code_table(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, value, code): position of each distinct value among the sorted ones of its column."""
+def code_table(df: DataFrame, columns: list[str], small: int = SMALL_TABLE_ROWS) -> DataFrame:
+    """(column, value, code): position of each distinct value among the sorted ones of its column.
+
+    The table is computed once.  With at most ``small`` rows it is a broadcast lookup.  Otherwise
+    the values are range-partitioned in a written table and numbered partition by partition, and
+    joins on it are left to shuffle.
+    """
     distinct = (
         df.select(*[F.col(quoted(c)).cast("string").alias(c) for c in columns])
         .unpivot([], [F.col(quoted(c)) for c in columns], "column", "value")
         .filter(F.col("value").isNotNull())
         .distinct()
     )
-    order = Window.partitionBy("column").orderBy("value")
-    return distinct.withColumn("code", (F.row_number().over(order) - 1).cast("int"))
+    settled, fits = settle_small(distinct, small)
+    if fits:
+        place = F.row_number().over(Window.partitionBy("column").orderBy("value"))
+        return F.broadcast(settled.withColumn("code", (place - 1).cast("int")))
+
+    ranged = cut_lineage(
+        settled.repartitionByRange("column", "value").withColumn("_part", F.spark_partition_id()), "codes"
+    )
+    per_part = ranged.groupBy("column", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.select(  # one row per partition and column
+        "column", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
+    )
+    inside = F.row_number().over(Window.partitionBy("column", "_part").orderBy("value"))
+    return (
+        ranged.withColumn("_place", inside)
+        .join(F.broadcast(offsets), ["column", "_part"])
+        .select("column", "value", (F.col("_offset") + F.col("_place") - 1).cast("int").alias("code"))
+    )
 
 
 def encode_with(df: DataFrame, codes: DataFrame, column: str, output: str) -> DataFrame:
-    """Add the stored code of a column; unseen values get null.
-
-    Pass a table from :func:`settle_codes`, which is broadcast exactly when it is small.
-    """
+    """Add the stored code of a column; unseen values get null."""
     mapping = codes.filter(F.col("column") == column).select(
         F.col("value").alias("_value"), F.col("code").alias(output)
     )
@@ -76,12 +95,6 @@ def decode_with(df: DataFrame, codes: DataFrame, column: str, code: str, output:
     return df.join(mapping, F.col(quoted(code)) == F.col("_code"), "left").drop("_code")
 
 
-def settle_codes(codes: DataFrame) -> DataFrame:
-    """Compute a code table once: a short one as a broadcast lookup, a long one as a written table."""
-    settled, small = settle_small(codes)
-    return F.broadcast(settled) if small else settled
-
-
 def scaling(df: DataFrame, columns: list[str], method: str) -> dict[str, tuple[float, float]]:
     """(centre, spread) of each column; a spread of zero is replaced by one."""
     if not columns:

@@ -213,60 +213,63 @@ def classification_report(
     return rolled.select(F.inline(lines))
 
 
-def roc_curve(df: DataFrame, y: str, score: str, *, drop_collinear: bool = True) -> DataFrame:
-    """(threshold, fpr, tpr) from the strictest threshold down, starting at (inf, 0, 0).
+def roc_curve(
+    df: DataFrame, y: str, score: str, by: tuple[str, ...] = (), *, drop_collinear: bool = True
+) -> DataFrame:
+    """(by, threshold, fpr, tpr) from the strictest threshold down, starting at (inf, 0, 0).
 
     A point on a straight line between its neighbours is left out: there the next score adds the
     same number of positives and of negatives as this one.
     """
     table = running_totals(
-        _score_table(df, y, score),
+        _score_table(df, y, score, by),
         "score",
         ["pos", "neg"],
         range_splits(df, score),
+        by=by,
         descending=True,
         look_ahead=True,
         totals=True,
     )
-    points = table.select(
-        F.col("score").alias("threshold"),
-        (F.col("neg_before") + F.col("neg")).alias("fp"),
-        (F.col("pos_before") + F.col("pos")).alias("tp"),
-        "neg_total",
-        "pos_total",
-        ((F.col("pos") == F.col("pos_next")) & (F.col("neg") == F.col("neg_next"))).alias("straight"),
-        ((F.col("pos_before") == 0) & (F.col("neg_before") == 0)).alias("strictest"),
-    )
+    strictest = (F.col("pos_before") == 0) & (F.col("neg_before") == 0)
+    straight = (F.col("pos") == F.col("pos_next")) & (F.col("neg") == F.col("neg_next"))
     if drop_collinear:
-        points = points.filter(F.col("strictest") | ~F.coalesce(F.col("straight"), F.lit(False)))
-    curve = points.select(
-        "threshold",
-        F.try_divide(F.col("fp").cast("double"), F.col("neg_total")).alias("fpr"),
-        F.try_divide(F.col("tp").cast("double"), F.col("pos_total")).alias("tpr"),
-    )
-    start = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
-    return start.unionByName(curve)
+        table = table.filter(strictest | ~F.coalesce(straight, F.lit(False)))
+
+    def point(threshold: Column, fp: Column, tp: Column) -> Column:
+        return F.struct(
+            threshold.alias("threshold"),
+            F.try_divide(fp.cast("double"), F.col("neg_total")).alias("fpr"),
+            F.try_divide(tp.cast("double"), F.col("pos_total")).alias("tpr"),
+        )
 
+    here = point(F.col("score"), F.col("neg_before") + F.col("neg"), F.col("pos_before") + F.col("pos"))
+    start = point(F.lit(float("inf")), F.lit(0), F.lit(0))
+    return table.select(*by, F.inline(F.when(strictest, F.array(start, here)).otherwise(F.array(here))))
 
-def precision_recall_curve(df: DataFrame, y: str, score: str) -> DataFrame:
-    """(threshold, precision, recall) per distinct score, closed by (null, 1, 0)."""
+
+def precision_recall_curve(df: DataFrame, y: str, score: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, threshold, precision, recall) per distinct score, closed by (null, 1, 0)."""
     table = running_totals(
-        _score_table(df, y, score),
+        _score_table(df, y, score, by),
         "score",
         ["pos", "neg"],
         range_splits(df, score),
+        by=by,
         descending=True,
         totals=True,
     )
     tp = F.col("pos_before") + F.col("pos")
     flagged = tp + F.col("neg_before") + F.col("neg")
-    curve = table.select(
-        F.col("score").alias("threshold"),
-        ratio(tp, flagged).alias("precision"),
-        F.coalesce(F.try_divide(tp.cast("double"), F.col("pos_total")), F.lit(1.0)).alias("recall"),
-    )
-    end = df.sparkSession.createDataFrame([(None, 1.0, 0.0)], "threshold double, precision double, recall double")
-    return curve.unionByName(end)
+
+    def point(threshold: Column, precision: Column, recall: Column) -> Column:
+        return F.struct(threshold.alias("threshold"), precision.alias("precision"), recall.alias("recall"))
+
+    recall = F.coalesce(F.try_divide(tp.cast("double"), F.col("pos_total")), F.lit(1.0))
+    here = point(F.col("score"), ratio(tp, flagged), recall)
+    end = point(F.lit(None).cast("double"), F.lit(1.0), F.lit(0.0))
+    strictest = (F.col("pos_before") == 0) & (F.col("neg_before") == 0)
+    return table.select(*by, F.inline(F.when(strictest, F.array(here, end)).otherwise(F.array(here))))
 
 
 def threshold_grid() -> list[float]:
@@ -321,7 +324,7 @@ def best_threshold(df: DataFrame, y: str, score: str, metric: str = "f1") -> Dat
 def class_chart(df: DataFrame, y: str) -> DataFrame:
     """(class, count, percentage with one decimal)."""
     counts = df.groupBy(F.col(quoted(y)).alias("class")).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy(F.lit(0)))  # over one row per class
+    total = counts.agg(F.sum("count")).scalar()
     return counts.select("class", "count", F.round(F.col("count") * 100.0 / total, 1).alias("percentage"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palisade.functions.cells import missing, null_if_missing
@@ -65,17 +65,22 @@ def class_distribution(df: DataFrame, target: str) -> DataFrame:
     """
     if target not in df.columns:
         raise ValueError(f"no column {target!r} in the table")
-    counts = df.groupBy(F.col(quoted(target)).alias("class")).agg(F.count(F.lit(1)).alias("count"))
-    classes = Window.partitionBy(F.lit(0))  # over one row per class
-    known = F.when(F.col("class").isNotNull(), F.col("count"))
+    counts = df.groupBy(F.col(quoted(target)).alias("class")).agg(
+        F.count(F.lit(1)).alias("count"), F.count(quoted(target)).alias("known")
+    )
+    known = F.when(F.col("known") > 0, F.col("count"))
+    # The subquery is a roll-up of the same counts, so their shuffle is reused and not read twice.
+    whole = counts.agg(
+        F.struct(F.sum("count").alias("rows"), (F.max(known) / F.min(known)).alias("balance"))
+    ).scalar()
     return (
-        counts.select(
+        counts.filter(F.col("known") > 0)
+        .select(
             "class",
             "count",
-            F.round(F.col("count") * 100.0 / F.sum("count").over(classes), 2).alias("percentage"),
-            (F.max(known).over(classes) / F.min(known).over(classes)).alias("balance_ratio"),
+            F.round(F.col("count") * 100.0 / whole["rows"], 2).alias("percentage"),
+            whole["balance"].alias("balance_ratio"),
         )
-        .filter(F.col("class").isNotNull())
         .orderBy(F.desc("count"), "class")
     )
 

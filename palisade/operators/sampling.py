@@ -257,8 +257,7 @@ def class_weights(df: DataFrame, label: str, strategy: str = "balanced") -> Data
     if strategy == "uniform":
         return counts.select("class", F.lit(1.0).alias("weight"))
     if strategy == "balanced":
-        mean_count = F.avg("n").over(Window.partitionBy(F.lit(0)))  # over one row per class
-        return counts.select("class", (mean_count / F.col("n")).alias("weight"))
+        return counts.select("class", (counts.agg(F.avg("n")).scalar() / F.col("n")).alias("weight"))
     raise ValueError(f"unknown weighting strategy {strategy!r}")
 
 

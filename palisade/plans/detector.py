@@ -15,11 +15,12 @@ from palisade.functions.cells import confidence, verdict
 from palisade.operators import evaluate
 from palisade.operators.ensemble import ensemble_summary, fusion_report, with_fusion, with_votes
 from palisade.operators.features import FeatureEngineer, FeatureModel, assemble
-from palisade.operators.learners import FEATURES, FITTERS, fit_learners, score_with
+from palisade.operators.learners import FEATURES, FITTERS, fit_learners, learner_importance, score_with
 from palisade.operators.preprocess import PreprocessModel, Preprocessor
 from palisade.operators.signatures import SignatureMiner, SignatureModel
 from palisade.schema import quoted
 from palisade.session import cut_lineage
+from palisade.sources.runs import summary_rows
 
 
 @dataclass
@@ -157,6 +158,33 @@ def with_actual(scored: DataFrame, label: str) -> DataFrame:
     return scored.withColumn("actual", verdict(F.col(quoted(label))))
 
 
+def run_summary(run: TrainingRun, run_id: str, label: str = "label") -> DataFrame:
+    """A training run as long rows for the run store: results, counts, curve points, importances."""
+    parts = [
+        summary_rows(run_id, name, table, key="model" if "model" in table.columns else None)
+        for name, table in run.results.items()
+    ]
+    scored = run.scored_test if run.scored_test is not None else run.scored_validation
+    if scored is not None:
+        curve = evaluate.roc_curve(scored, label, "p_attack")
+        parts += [
+            summary_rows(run_id, "classes", evaluate.class_chart(scored, label), key="class"),
+            summary_rows(run_id, "confusion", evaluate.confusion_matrix(scored, label, "prediction"), key="actual"),
+            summary_rows(run_id, "roc", curve, key="threshold"),
+        ]
+    spark = SparkSession.active()
+    names = run.detector.features.output_columns
+    for name, model in run.detector.learners.items():
+        importance = learner_importance(model, names, spark)
+        if importance is not None:
+            top = evaluate.importance_chart(importance)
+            parts.append(summary_rows(run_id, f"importance of {name}", top, key="feature"))
+    summary = parts[0]
+    for part in parts[1:]:
+        summary = summary.unionByName(part)
+    return summary
+
+
 # --- artifacts ----------------------------------------------------------------
 
 

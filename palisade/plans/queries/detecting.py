@@ -32,6 +32,7 @@ from palisade.plans import views
 from palisade.plans.queries.preparing import labelled, rounded
 from palisade.plans.queries.registry import WITH_BIN, WITH_CONN, WITH_DOCS, WITH_SCORES, query
 from palisade.session import scratch_path
+from palisade.sources import runs
 from palisade.streaming.scoring import arriving, score_arriving
 
 # --- signatures ----------------------------------------------------------------
@@ -456,6 +457,37 @@ def roc_curve_every_point(spark, sf_dir):
     return evaluate.roc_curve(_fused(spark, sf_dir), "y", "p_attack", drop_collinear=False)
 
 
+_MODEL_CURVES = " UNION ALL ".join(
+    f"SELECT '{m}' AS model, threshold, fpr, tpr FROM (WITH {_curve_ctes(f'(SELECT y, p_{m} AS p FROM scores)')} "
+    f"{_roc_sql(_BENDS)})"
+    for m in _MODELS
+)
+
+
+@query("model_roc_curves", f"{WITH_SCORES} {_MODEL_CURVES}")
+def model_roc_curves(spark, sf_dir):
+    models = {m: (F.lit(0), F.col(f"p_{m}")) for m in _MODELS}
+    long = evaluate.long_scores(views.scores(spark, sf_dir), "y", models)
+    return evaluate.roc_curve(long, "y", "score", by=("model",))
+
+
+@query(
+    "model_precision_recall_curves",
+    f"{WITH_SCORES} "
+    + " UNION ALL ".join(
+        f"""SELECT '{m}' AS model, threshold, precision, recall FROM (
+        WITH {_curve_ctes(f'(SELECT y, p_{m} AS p FROM scores)')}
+        SELECT p AS threshold, CAST(tp AS DOUBLE) / (tp + fp) AS precision, CAST(tp AS DOUBLE) / positives AS recall
+        FROM summed UNION ALL SELECT CAST(NULL AS DOUBLE), 1.0, 0.0)"""
+        for m in _MODELS
+    ),
+)
+def model_precision_recall_curves(spark, sf_dir):
+    models = {m: (F.lit(0), F.col(f"p_{m}")) for m in _MODELS}
+    long = evaluate.long_scores(views.scores(spark, sf_dir), "y", models)
+    return evaluate.precision_recall_curve(long, "y", "score", by=("model",))
+
+
 @query(
     "precision_recall_curve",
     f"""{_FUSED}, {_curve_ctes('fused')} SELECT p AS threshold, CAST(tp AS DOUBLE) / (tp + fp) AS precision,
@@ -611,6 +643,17 @@ def training_job_without_signatures(spark, sf_dir):
     return evaluate.stack_results(results)
 
 
+@query("training_run_summary")
+def training_run_summary(spark, sf_dir):
+    train, validation, test = _three_parts(spark, sf_dir)
+    run = jobs.train_detector(
+        train, validation=validation, test=test, settings=_SHORT_JOB, learners=_ONE_LEARNER
+    )
+    path = scratch_path(spark, "runs")
+    runs.append_summary(jobs.run_summary(run, "run-1"), path)
+    return runs.last_summary(spark, path)
+
+
 def _trained(spark: SparkSession, sf_dir: str) -> jobs.Detector:
     return jobs.train_detector(labelled(spark, sf_dir), settings=_SHORT_JOB, learners=_ONE_LEARNER).detector
 

@@ -15,10 +15,12 @@ from palisade.config import (
     SignatureSettings,
 )
 from palisade.operators import learners, sampling
+from palisade.operators.ensemble import fusion_report
 from palisade.operators.features import assemble
 from palisade.operators.preprocess import Preprocessor
 from palisade.plans import detector as jobs
 from palisade.plans.queries.detecting import SHORT
+from palisade.sources import runs
 from palisade.sources.connections import write_table
 from palisade.streaming.scoring import arriving, score_arriving
 
@@ -129,10 +131,18 @@ def test_training_results(run):
     assert report["threshold"] == run.detector.threshold
 
 
+def test_run_summary_keeps_the_last_run(spark, run, tmp_path):
+    path = str(tmp_path / "runs")
+    for run_id in ("2024-01", "2024-02"):
+        runs.append_summary(jobs.run_summary(run, run_id), path)
+    last = runs.last_summary(spark, path)
+    assert {r[0] for r in last.select("run_id").distinct().collect()} == {"2024-02"}
+    sections = {r[0] for r in last.select("section").distinct().collect()}
+    assert {"Models", "confusion", "roc", "classes", "importance of random_forest"} <= sections
+
+
 def test_fusion_beats_the_flat_threshold_when_models_say_normal(run):
     silent = run.scored_test.withColumn("p_ensemble", F.lit(0.0))
-    from palisade.operators.ensemble import fusion_report
-
     report = fusion_report(silent, "sig", "p_ensemble", 0.5, "label").first()
     flat = silent.agg(F.avg((F.col("label") == 0).cast("double"))).first()[0]
     assert report["n_flagged_by_ensemble_only"] == 0 and report["accuracy"] > flat

@@ -97,11 +97,23 @@ def test_one_hot_of_unseen_and_missing_is_all_zero(spark, sample):
 
 
 def test_codes_survive_and_unseen_is_null(spark, sample):
-    codes = encoding.settle_codes(encoding.code_table(sample, ["f3"]))
+    codes = encoding.code_table(sample, ["f3"])
     new = spark.createDataFrame([("b",), ("zzz",)], "f3 string")
     assert {tuple(r) for r in encoding.encode_with(new, codes, "f3", "code").collect()} == {("b", 1), ("zzz", None)}
 
 
+def test_many_codes_are_numbered_without_one_sorted_task(spark):
+    df = spark.range(500).select(
+        F.concat(F.lit("user-"), F.col("id") * 7 % 501).alias("a"), (F.col("id") % 3).cast("string").alias("b")
+    )
+    got = {(r["column"], r["value"]): r["code"] for r in encoding.code_table(df, ["a", "b"], small=10).collect()}
+    want = {}
+    for c in ("a", "b"):
+        for i, v in enumerate(sorted({r[c] for r in df.collect()})):
+            want[c, v] = i
+    assert got == want
+
+
 @pytest.mark.parametrize("method", ["standard", "minmax", "robust"])
 def test_constant_column_scales_to_zero(spark, method):
     df = spark.createDataFrame([(3.0, 1.0), (3.0, 5.0)], "k double, x double")
