@@ -14,7 +14,7 @@ signature_rules signature_hits hybrid_summary
 missing_report duplicate_rows class_distribution numeric_summary
 impute_mean impute_median first_of_duplicates rows_inside_iqr one_hot scale_standard scale_robust
 preprocessed_rows f_scores information_scores uncorrelated_features feature_stage
-stratified_split undersampled_rows oversampled_counts
+three_way_split stratified_split oversampled_counts
 ensemble_probability hard_vote fused_label fusion_report
 metrics_summary model_comparison classification_report roc_curve precision_recall_curve
 best_threshold_f1 per_class_metrics labels_encoded

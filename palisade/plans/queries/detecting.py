@@ -181,18 +181,23 @@ def _with_labels(df: DataFrame) -> DataFrame:
     return df.withColumns({f"pred_{m}": cells.decide(F.col(f"p_{m}"), 0.5) for m in _MODELS})
 
 
+_W = ("CAST(0.5 AS DOUBLE)", "CAST(2.0 AS DOUBLE) / 6", "CAST(1.0 AS DOUBLE) / 6")
+
+
 @query(
-    "normalised_weights",
-    """SELECT model, round(w / sum(w) OVER (), 12) AS weight, (SELECT count(*) FROM lineitem) AS n
-    FROM (VALUES ('a', 3.0::DOUBLE), ('b', 2.0::DOUBLE), ('c', 1.0::DOUBLE)) AS m(model, w)""",
+    "weighted_shares",
+    f"{WITH_SCORES} "
+    + " UNION ALL ".join(
+        f"SELECT row_id, '{m}' AS model, round(p_{m} * {w}, 9) AS value FROM scores" for m, w in zip(_MODELS, _W)
+    ),
 )
-def normalised_weights(spark, sf_dir):
-    rows = list(zip(_MODELS, votes.normalised_weights(3, _WEIGHTS)))
-    weights = rounded(spark.createDataFrame(rows, "model string, weight double"), 12)
-    return weights.select("*", views.scores(spark, sf_dir).agg(F.count(F.lit(1))).scalar().alias("n"))
+def weighted_shares(spark, sf_dir):
+    weights = votes.normalised_weights(3, _WEIGHTS)
+    scored = views.scores(spark, sf_dir)
+    shares = scored.withColumns({f"share_{m}": F.col(f"p_{m}") * F.lit(w) for m, w in zip(_MODELS, weights)})
+    return rounded(ensemble.model_outputs(shares, "row_id", _MODELS, "share_"), 9)
 
 
-_W = ("CAST(0.5 AS DOUBLE)", "CAST(2.0 AS DOUBLE) / 6", "CAST(1.0 AS DOUBLE) / 6")
 _MEAN = " + ".join(f"p_{m} * {w}" for m, w in zip(_MODELS, _W))
 _MEAN_NORMAL = " + ".join(f"(1 - p_{m}) * {w}" for m, w in zip(_MODELS, _W))
 

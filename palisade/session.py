@@ -29,20 +29,25 @@ def local_session(cpus: int | str = 8, app: str = "palisade", **conf: str) -> Sp
     return spark
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only a local session may fall back to a
-    folder of its own; a cluster without the setting gets ``None``.
+    A cluster names it in ``spark.checkpoint.dir``.  Only a local session, whose executors are
+    this very machine, may fall back to a folder of its own; a cluster without the setting gets
+    ``None``.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured
-    if spark.sparkContext.master.startswith("local"):
-        own = tempfile.mkdtemp(prefix="palisade-")
-        spark.conf.set(CHECKPOINT_CONF, own)
-        return own
-    return None
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        return None
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="palisade-")
+    return _own_folders[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -2,16 +2,14 @@ import random
 
 import pytest
 
-from palisade.session import CHECKPOINT_CONF, local_session
+from palisade.session import local_session
 
 TEST_DATA = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = local_session(4, app="palisade-tests")
-    if not session.conf.get(CHECKPOINT_CONF, None):
-        session.conf.set(CHECKPOINT_CONF, str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
