@@ -342,23 +342,23 @@ def uncorrelated_features(spark, sf_dir):
 
 _LEAD = _ALL_NUMBERS[:5]
 _PRODUCTS = ", ".join(
-    f"round(CAST({a} AS DOUBLE) * {b}, 6) AS {a}_x_{b}" for i, a in enumerate(_LEAD) for b in _LEAD[i + 1 :]
+    f"CAST({a} AS DOUBLE) * {b} AS {a}_x_{b}" for i, a in enumerate(_LEAD) for b in _LEAD[i + 1 :]
 )
-_SQUARES = ", ".join(f"round(CAST({c} AS DOUBLE) * {c}, 6) AS {c}_pow_2" for c in _LEAD)
+_SQUARES = ", ".join(f"CAST({c} AS DOUBLE) * {c} AS {c}_pow_2" for c in _LEAD)
 
 
 @query("interaction_features", f"{_FINITE} SELECT row_id, {_PRODUCTS} FROM finite")
 def interaction_features(spark, sf_dir):
     clean = features.finite_table(labelled(spark, sf_dir), _ALL_NUMBERS)
     products, _ = features.derived_names(_ALL_NUMBERS, True, False)
-    return rounded(features.with_derived(clean, products, []).select("row_id", *[p[2] for p in products]))
+    return features.with_derived(clean, products, []).select("row_id", *[p[2] for p in products])
 
 
 @query("squared_features", f"{_FINITE} SELECT row_id, {_SQUARES} FROM finite")
 def squared_features(spark, sf_dir):
     clean = features.finite_table(labelled(spark, sf_dir), _ALL_NUMBERS)
     _, squares = features.derived_names(_ALL_NUMBERS, False, True)
-    return rounded(features.with_derived(clean, [], squares).select("row_id", *[s[1] for s in squares]))
+    return features.with_derived(clean, [], squares).select("row_id", *[s[1] for s in squares])
 
 
 _POSITIONS = ", ".join(f"('{c}', {i})" for i, c in enumerate(_SCORED))
@@ -378,14 +378,13 @@ def best_features(spark, sf_dir):
 
 # The correlation filter drops same_srv_rate and the variance filter num_outbound_cmds.
 _STAGE = ["duration", "land", "src_bytes", "dst_bytes", "serror_rate", "rerror_rate"]
-_STAGE_SQL = ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in _STAGE)
+_STAGE_SQL = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _STAGE)
 
 
 @query("feature_stage", f"{_FINITE} SELECT row_id, label, {_STAGE_SQL}, {_PRODUCTS}, {_SQUARES} FROM finite")
 def feature_stage(spark, sf_dir):
     df = labelled(spark, sf_dir).drop("protocol_type", "service", "flag")
-    model = features.FeatureEngineer(FeatureSettings(interactions=True, squares=True)).fit(df)
-    return rounded(model.transform(df))
+    return features.FeatureEngineer(FeatureSettings(interactions=True, squares=True)).fit(df).transform(df)
 
 
 _REPLAYED = [c for c in _NUMBERS if c not in ("same_srv_rate", "num_outbound_cmds")]
