@@ -79,24 +79,28 @@ def _ranks(p: float, n: int, discrete: bool) -> tuple[int, int, float]:
 
 
 class _Target:
-    """The value at one rank of a column, known to lie strictly between ``low`` and ``high``."""
+    """The value at one rank of a column, known to lie strictly between ``low`` and ``high``.
+
+    ``None`` is no bound; infinities are ordinary values.
+    """
 
     def __init__(self, column: str, rank: int, n: int):
         self.column, self.rank = column, rank
-        self.low, self.high = -math.inf, math.inf
+        self.low: float | None = None
+        self.high: float | None = None
         self.below, self.inside = 0, n
         self.value: float | None = None
 
     @property
     def narrowed(self) -> bool:
-        return self.low != -math.inf or self.high != math.inf
+        return self.low is not None or self.high is not None
 
     def inside_or_null(self) -> Column:
         c = F.col(quoted(self.column))
         keep = c.isNotNull()
-        if self.low != -math.inf:
+        if self.low is not None:
             keep = keep & (c > F.lit(self.low))
-        if self.high != math.inf:
+        if self.high is not None:
             keep = keep & (c < F.lit(self.high))
         return F.when(keep, c)
 
@@ -105,7 +109,7 @@ def _count_values(values: DataFrame, targets: list[_Target]) -> None:
     """Read the targets off the running counts of the values inside their brackets."""
     if not targets:
         return
-    brackets = sorted({(t.column, t.low, t.high) for t in targets})
+    brackets = list(dict.fromkeys((t.column, t.low, t.high) for t in targets))
     of_bracket = {b: [t for t in targets if (t.column, t.low, t.high) == b] for b in brackets}
     entries = [
         F.struct(F.lit(i).alias("bracket"), of_bracket[b][0].inside_or_null().alias("value"))

@@ -44,6 +44,12 @@ def test_narrowing_is_exact(spark, kind):
     assert np.allclose(got["b"], np.quantile(values * 2, SHARES), rtol=1e-12)
 
 
+def test_infinities_are_ordinary_values(spark):
+    values = [float("-inf")] * 30 + list(range(40)) + [float("inf")] * 30
+    got = exact_quantiles(frame(spark, a=values), ["a"], [0.1, 0.5, 0.9], discrete=True, value_limit=5, accuracy=20)
+    assert got["a"] == [float("-inf"), 19.0, float("inf")]
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(-1e6, 1e6, allow_nan=False), min_size=1, max_size=60))
 def test_any_values(spark, values):
