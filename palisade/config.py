@@ -48,6 +48,7 @@ class SignatureSettings:
     min_support: float = 0.002
     min_confidence: float = 0.98
     max_rules: int = 50
+    prune_rare: bool = False  # for columns with very many values: one more pass, same rules
 
 
 @dataclass(frozen=True)

@@ -35,9 +35,36 @@ def _generation(df: DataFrame, s: SignatureSettings) -> tuple[list[str], list[st
     return categorical, flags, [(c,) for c in categorical] + [(c,) for c in flags] + pairs
 
 
+def without_rare_values(df: DataFrame, columns: list[str], min_support: float) -> DataFrame:
+    """The table with values that are too rare for any rule replaced by null.
+
+    A pair cannot be more frequent than its parts, so no rule is lost, while combinations of rare
+    values no longer multiply.  At most ``1 / min_support`` values per column come to the driver.
+    """
+    if min_support <= 0 or not columns:
+        return df
+    total = df.count()
+    counted = (
+        df.select(*[F.col(quoted(c)).cast("string").alias(c) for c in columns])
+        .unpivot([], [F.col(quoted(c)) for c in columns], "column", "value")
+        .filter(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") / F.lit(total) >= min_support)
+    )
+    frequent: dict[str, list[str]] = {c: [] for c in columns}
+    for r in counted.collect():
+        frequent[r["column"]].append(r["value"])
+    return df.withColumns(
+        {c: F.when(F.col(quoted(c)).cast("string").isin(frequent[c]), F.col(quoted(c)).cast("string")) for c in columns}
+    )
+
+
 def candidate_rules(df: DataFrame, label: str, settings: SignatureSettings) -> DataFrame:
     """(gen, first, second, n, attacks) for every observed value or value pair."""
     categorical, flags, sets = _generation(df, settings)
+    if settings.prune_rare:
+        df = without_rare_values(df, categorical, settings.min_support)
     y = F.col(quoted(label)).cast("bigint")
     is_set = {c: F.col(quoted(c)) == 1 for c in flags}
     combos = df.groupBy(*[F.col(quoted(c)).cast("string").alias(f"_c{i}") for i, c in enumerate(categorical)]).agg(

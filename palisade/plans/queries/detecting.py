@@ -101,6 +101,7 @@ def _rules_query(name: str, s: SignatureSettings) -> None:
 
 _rules_query("signature_rules", _DEFAULT)
 _rules_query("signature_rules_capped", _LOOSE)
+_rules_query("signature_rules_pruned", SignatureSettings(min_support=0.01, min_confidence=0.5, prune_rare=True))
 _DOC_RULES = SignatureSettings(("lang", "source"), ("quality",), min_support=0.01, min_confidence=0.02)
 
 

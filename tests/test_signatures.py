@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from palisade.config import SignatureSettings
-from palisade.operators.signatures import SignatureMiner, SignatureModel, mine_signatures, rule_text
+from palisade.operators.signatures import SignatureMiner, SignatureModel, candidate_rules, mine_signatures, rule_text
 
 SETTINGS = SignatureSettings(min_support=0.005, min_confidence=0.9)
 
@@ -65,6 +65,21 @@ def test_rules_equal_the_definition(traffic, settings):
     assert got == greedy(with_gaps.collect(), settings, ["protocol_type", "service", "flag"], ["land"])
 
 
+def test_pruning_rare_values_keeps_the_rules(traffic):
+    many = traffic.withColumn(
+        "service", F.when(F.col("row_id") % 3 == 0, F.concat(F.lit("s"), F.col("row_id"))).otherwise(F.col("service"))
+    )
+    for support in (0.01, 0.0):
+        plain = SignatureSettings(min_support=support, min_confidence=0.1, max_rules=5000)
+        pruned = SignatureSettings(min_support=support, min_confidence=0.1, max_rules=5000, prune_rare=True)
+        assert (
+            mine_signatures(many, "label", pruned).orderBy("rank").collect()
+            == mine_signatures(many, "label", plain).orderBy("rank").collect()
+        )
+    small = candidate_rules(many, "label", SignatureSettings(min_support=0.01, prune_rare=True))
+    assert small.count() < 100 < candidate_rules(many, "label", SignatureSettings()).count()
+
+
 def test_planted_rules_are_found(spark, model):
     rules = {r["rule"] for r in model.rules(spark).collect()}
     assert {"flag=S0", "land=1"} <= rules
