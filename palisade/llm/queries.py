@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from palisade.llm.exact import exact_duplicates
+from palisade.llm.secrets import secrets_digest, secrets_sql
 from palisade.llm.tables import Workspace, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +34,8 @@ def _query(name: str, sql: str | None = None):
 )
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir), Workspace(spark, "op9"))
+
+
+@_query("op7_secret_scan", secrets_sql())
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_digest(documents(spark, sf_dir), Workspace(spark, "op7"))
