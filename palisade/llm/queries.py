@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from palisade.llm.exact import exact_duplicates
+from palisade.llm.leaks import LEAKS_SQL, leaks_digest
 from palisade.llm.secrets import secrets_digest, secrets_sql
 from palisade.llm.tables import Workspace, documents
+from palisade.llm.tokenfiles import token_digest
+
+TOKENIZER = "byte_bpe_50k.json"  # a file of the public tokenizers; other paths are a parameter of the operator
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -39,3 +44,14 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_secret_scan", secrets_sql())
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_digest(documents(spark, sf_dir), Workspace(spark, "op7"))
+
+
+@_query("op8_decontaminate", LEAKS_SQL)
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return leaks_digest(documents(spark, sf_dir), benchmark, Workspace(spark, "op8"))
+
+
+@_query("op3_token_files")
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(documents(spark, sf_dir), Workspace(spark, "op3"), public_tokenizers.path(TOKENIZER))
