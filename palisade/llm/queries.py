@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from palisade.llm.exact import exact_duplicates
 from palisade.llm.leaks import LEAKS_SQL, leaks_digest
+from palisade.llm.mixing import mix_digest
 from palisade.llm.secrets import secrets_digest, secrets_sql
 from palisade.llm.tables import Workspace, documents
 from palisade.llm.tokenfiles import token_digest
@@ -55,3 +56,8 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_token_files")
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(documents(spark, sf_dir), Workspace(spark, "op3"), public_tokenizers.path(TOKENIZER))
+
+
+@_query("op10_mix_sources")
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_digest(documents(spark, sf_dir), Workspace(spark, "op10"))
