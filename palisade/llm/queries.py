@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from palisade.llm.exact import exact_duplicates
+from palisade.llm.langid import language_digest
 from palisade.llm.leaks import LEAKS_SQL, leaks_digest
 from palisade.llm.mixing import mix_digest
 from palisade.llm.secrets import secrets_digest, secrets_sql
@@ -61,3 +62,8 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_mix_sources")
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_digest(documents(spark, sf_dir), Workspace(spark, "op10"))
+
+
+@_query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_digest(documents(spark, sf_dir))
