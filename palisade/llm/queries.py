@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from palisade.llm.exact import exact_duplicates
+from palisade.llm.hmm import score_texts
 from palisade.llm.langid import language_digest
 from palisade.llm.leaks import LEAKS_SQL, leaks_digest
 from palisade.llm.mixing import mix_digest
@@ -67,3 +68,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op4_language_id")
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_digest(documents(spark, sf_dir))
+
+
+@_query("op2_hmm_scores")
+def op2_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(documents(spark, sf_dir), Workspace(spark, "op2"))
