@@ -12,6 +12,7 @@ from palisade.llm.hmm import score_texts
 from palisade.llm.langid import language_digest
 from palisade.llm.leaks import LEAKS_SQL, leaks_digest
 from palisade.llm.mixing import mix_digest
+from palisade.llm.pii import fit_tagger, pii_digest
 from palisade.llm.secrets import secrets_digest, secrets_sql
 from palisade.llm.tables import Workspace, documents
 from palisade.llm.tokenfiles import token_digest
@@ -73,3 +74,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_hmm_scores")
 def op2_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(documents(spark, sf_dir), Workspace(spark, "op2"))
+
+
+@_query("op1_pii")
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    workspace = Workspace(spark, "op1")
+    return pii_digest(docs, fit_tagger(docs, workspace))
