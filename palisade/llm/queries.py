@@ -12,6 +12,7 @@ from palisade.llm.hmm import score_texts
 from palisade.llm.langid import language_digest
 from palisade.llm.leaks import LEAKS_SQL, leaks_digest
 from palisade.llm.mixing import mix_digest
+from palisade.llm.near import near_digest
 from palisade.llm.pii import fit_tagger, pii_digest
 from palisade.llm.secrets import secrets_digest, secrets_sql
 from palisade.llm.tables import Workspace, documents
@@ -81,3 +82,8 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     workspace = Workspace(spark, "op1")
     return pii_digest(docs, fit_tagger(docs, workspace))
+
+
+@_query("op6_near_dedup")
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_digest(documents(spark, sf_dir), Workspace(spark, "op6"))
