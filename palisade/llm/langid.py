@@ -145,10 +145,10 @@ def fold_of(doc_id: Column | str, folds: int) -> Column:
 def sample_windows(docs: DataFrame, *, per_language: int = DOCS_PER_LANGUAGE, per_doc: int = WINDOWS_PER_DOC) -> DataFrame:
     """``lang, window``: a repeatable sample of about that many labelled documents of each language."""
     labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND text <> ''").select("doc_id", "text", "lang")
-    share = labelled.groupBy("lang").count().select(
-        F.col("lang").alias("of"), (F.lit(per_language * (1 << 20)) / F.col("count")).alias("below")
-    )
-    drawn = labelled.join(share, F.col("lang") == F.col("of")).filter(
+    # One row per language, as many as the network has outputs on the driver: texts need no shuffle.
+    counts = [(r.lang, per_language * (1 << 20) / r["count"]) for r in labelled.groupBy("lang").count().collect()]
+    share = docs.sparkSession.createDataFrame(counts, "of string, below double")
+    drawn = labelled.join(F.broadcast(share), F.col("lang") == F.col("of")).filter(
         F.pmod(F.xxhash64(F.lit(SEED), "doc_id", F.length("text")), F.lit(1 << 20)) < F.col("below")
     )
 
@@ -208,6 +208,13 @@ def predict_language(docs: DataFrame, network: ByteNetwork | None, *carry: str)
     return docs.select(*carry, "text").mapInArrow(predict, f"{kinds}, lang_pred string, score double")
 
 
+def with_known_language(docs: DataFrame) -> DataFrame:
+    """The rows whose text has a language: all but null texts and those without a letter."""
+    packed = docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias("row"))
+    network = fit_language_network(packed)
+    return predict_language(packed, network, "row").filter(F.col("lang_pred") != UNKNOWN).select("row.*") if network else docs
+
+
 def language_digest(docs: DataFrame, *, folds: int = 4, held: int = 2) -> DataFrame:
     """``doc_id, held_out, lang_pred, score``; held-out rows are never trained on."""
     network = fit_language_network(docs.filter(fold_of("doc_id", folds) != held))

@@ -209,6 +209,14 @@ def leaks_digest(docs: DataFrame, benchmark: DataFrame, workspace: Workspace, **
                             "items_sha256 string, contaminated boolean")
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame, workspace: Workspace) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark window occurs."""
+    packed = with_key(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")), workspace, extra=("row",))
+    found = find_leaks(packed.select(F.col("doc_key").alias("doc_id"), "text"), benchmark, workspace)
+    leaky = workspace.write(found.filter(F.size("matches") > 0).select(F.col("doc_key").alias("of")), "leaky")
+    return packed.join(leaky, F.col("doc_key") == F.col("of"), "left_anti").select("row.*")
+
+
 LEAKS_SQL = r"""
 WITH item_words AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM benchmark WHERE text IS NOT NULL),

@@ -30,8 +30,10 @@ TOTAL_SHARE = Fraction(3, 2)
 MOST_PASSES = 2
 WORD = r"[^\x20\x09-\x0D]+"
 
-BLOCKS = 1024
-SHARDS = 64
+BLOCKS = 1024  # of a source at least
+SHARDS = 64  # at least
+SHARD_WORDS = 1 << 27  # of the mix, about; larger mixes have more shards
+BLOCKS_PER_SHARD = 16  # a source with a whole shard's words has so many blocks for it
 SEED = 17
 
 
@@ -81,54 +83,61 @@ def _order(*columns: Column | str, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *columns)
 
 
-def _plan(sized: DataFrame, workspace: Workspace, shards: int, blocks: int, seed: int) -> DataFrame:
+def _sources(sized: DataFrame, shards: int, blocks: int) -> tuple[DataFrame, list, int]:
+    """Per source its size, target, passes, words of the last pass and blocks; in order; and the shards."""
+    rows = sized.groupBy("source").agg(F.sum("size").alias("words")).collect()
+    rows.sort(key=lambda r: (r.source is None, r.source))  # Python compares by code point
+    sizes = [r.words for r in rows]
+    total = TOTAL_SHARE * sum(sizes)
+    while shards * SHARD_WORDS < total:
+        shards *= 2
+    wanted = targets(sizes, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(rows))], total)
+    facts = []
+    for row, size, target in zip(rows, sizes, wanted, strict=True):
+        passes = int(target // size) if size else 0
+        n_blocks = max(blocks, size * BLOCKS_PER_SHARD // SHARD_WORDS)
+        facts.append((row.source, size, float(target), passes, float(target - passes * size), n_blocks))
+    kind = "of string, source_size bigint, target double, passes int, more double, n_blocks bigint"
+    return sized.sparkSession.createDataFrame(facts, kind), [r.source for r in rows], shards
+
+
+def _plan(blocked: DataFrame, sources: list, workspace: Workspace, shards: int, seed: int) -> DataFrame:
     """One row per block: ``source, block, source_size, target, left, shards``.
 
     ``shards`` has the shard of every draw of the block.  A block that is cut has ``left`` words to be
     taken in its last draw, others null.
     """
-    spark = sized.sparkSession
-    by_block = workspace.write(sized.groupBy("source", "block").agg(F.sum("size").alias("words")), "blocks")
-    rows = by_block.groupBy("source").agg(F.sum("words").alias("words"), F.count(F.lit(1)).alias("n")).collect()
-    rows.sort(key=lambda r: (r.source is None, r.source))  # Python compares by code point
-    sizes = [r.words for r in rows]
-    weights = [WEIGHTS[i % len(WEIGHTS)] for i in range(len(rows))]
-    wanted = targets(sizes, weights, TOTAL_SHARE * sum(sizes))
-    passes = [int(t // s) if s else 0 for t, s in zip(wanted, sizes, strict=True)]
-    more = [float(t - p * s) for t, p, s in zip(wanted, passes, sizes, strict=True)]
-    facts = spark.createDataFrame(
-        [(r.source, s, float(t), p, m) for r, s, t, p, m in zip(rows, sizes, wanted, passes, more, strict=True)],
-        "of string, source_size bigint, target double, passes int, more double",
-    )
+    spark = blocked.sparkSession
+    facts = ["source_size", "target", "passes", "more"]
+    by_block = blocked.groupBy("source", "block", *facts).agg(F.sum("size").alias("words"))
     running = Window.partitionBy("source").orderBy("rank", "block").rowsBetween(Window.unboundedPreceding, -1)
     planned = workspace.write(
-        by_block.join(facts, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-        .withColumn("rank", _order("source", "block", seed=seed))
+        by_block.withColumn("rank", _order("source", "block", seed=seed))
         .withColumn("before", F.coalesce(F.sum("words").over(running), F.lit(0)))
         .withColumn("extra", (F.col("before") < F.col("more")) & (F.col("words") > 0))
         .withColumn("left", F.when(F.col("extra") & (F.col("before") + F.col("words") > F.col("more")),
-                                   F.col("more") - F.col("before"))),
+                                   F.col("more") - F.col("before")))
+        .withColumn("n_draws", F.col("passes") + F.col("extra").cast("int")),
         "block-plan",
     )
-    draws = planned.withColumn("n_draws", F.col("passes") + F.col("extra").cast("int")).filter("n_draws > 0").select(
-        "source", "block", F.explode(F.sequence(F.lit(1), F.col("n_draws"))).alias("turn")
-    )
-    quota = {r.source: r.n for r in draws.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ends = np.cumsum(split_quotas([quota.get(r.source, 0) for r in rows], shards, seed), axis=1)
-    limits = spark.createDataFrame(
-        [(r.source, ends[i].tolist()) for i, r in enumerate(rows)], "of string, ends array<bigint>"
-    )
+    draws = planned.filter("n_draws > 0").select("source", "block", F.explode(F.sequence(F.lit(1), F.col("n_draws"))).alias("turn"))
+    quota = {r.source: r["count"] for r in draws.groupBy("source").count().collect()}
+    ends = np.cumsum(split_quotas([quota.get(s, 0) for s in sources], shards, seed), axis=1)
+    begins = np.concatenate([np.zeros((len(sources), 1), np.int64), ends[:, :-1]], axis=1)
+    places = spark.createDataFrame(
+        [(sources[i], int(j), int(begins[i, j]) + 1, int(ends[i, j])) for i, j in np.argwhere(ends > begins)],
+        "of string, shard int, low bigint, high bigint",
+    ).select("of", "shard", F.explode(F.sequence("low", "high")).alias("at"))
     place = F.row_number().over(Window.partitionBy("source").orderBy(_order("source", "turn", "block", seed=seed + 1), "turn", "block"))
     dealt = (
-        draws.withColumn("place", place).join(limits, F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("shard", F.size(F.filter("ends", lambda e: e < F.col("place"))))
+        draws.withColumn("place", place.cast("long"))
+        .join(places, F.col("source").eqNullSafe(F.col("of")) & (F.col("place") == F.col("at")))
         .groupBy("source", "block").agg(F.sort_array(F.collect_list(F.struct("turn", "shard"))).alias("turns"))
         .select(F.col("source").alias("of"), F.col("block").alias("in"), F.transform("turns", lambda x: x["shard"]).alias("shards"))
     )
     return workspace.write(
         planned.join(dealt, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("in")), "left").select(
-            "source", "block", "source_size", "target", "left",
-            F.coalesce("shards", F.array().cast("array<int>")).alias("shards"),
+            "source", "block", "left", F.coalesce("shards", F.array().cast("array<int>")).alias("shards"),
         ),
         "mix-plan",
     )
@@ -144,16 +153,18 @@ def mix(docs: DataFrame, workspace: Workspace, *, carry: tuple[str, ...] = (), s
     of their own.  The same rows give the same mix on any cluster.
     """
     keyed = with_key(docs, workspace, extra=("source", *carry))
-    sized = keyed.select(
-        "doc_key", "doc_id", "source", *carry,
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.pmod(_order("doc_key", seed=seed + 2), F.lit(blocks)).cast("int").alias("block"),
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
+    sizes = workspace.write(keyed.select("doc_key", "doc_id", "source", size), "sizes")
+    facts, sources, shards = _sources(sizes, shards, blocks)
+    blocked = (
+        sizes.join(facts, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+        .withColumn("block", F.pmod(_order("doc_key", seed=seed + 2), F.col("n_blocks"))).drop("n_blocks")
     )
-    if not carry:
-        sized = workspace.write(sized, "sizes")
-    plan = _plan(sized.select("source", "block", "size"), workspace, shards, blocks, seed)
-    plan = plan.withColumnsRenamed({"source": "of", "block": "in"})
-    placed = sized.join(plan, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("in"))).drop("of", "in")
+    plan = _plan(blocked, sources, workspace, shards, seed).withColumnsRenamed({"source": "of", "block": "in"})
+    placed = workspace.write(
+        blocked.join(plan, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("in"))).drop("of", "in", "block", "passes", "more"),
+        "placed",
+    )
     # Inside the one cut block of a source: documents in the order of a hash, up to the nearest end.
     order = Window.partitionBy("source").orderBy(_order("doc_key", seed=seed + 3), "doc_key")
     cut = (
@@ -162,12 +173,10 @@ def mix(docs: DataFrame, workspace: Workspace, *, carry: tuple[str, ...] = (), s
         .filter((F.col("upto") - F.col("size") / 2 > F.col("left")) | (F.col("size") == 0))
         .select(F.col("doc_key").alias("out_key"))
     )
-    return (
-        placed.join(cut, F.col("doc_key") == F.col("out_key"), "left")
-        .withColumn("shards", F.when(F.col("out_key").isNull(), F.col("shards"))
-                    .otherwise(F.slice("shards", F.lit(1), F.size("shards") - 1)))
-        .select("doc_key", "doc_id", "size", "source_size", "target", "shards", *carry)
-    )
+    drawn = placed.join(cut, F.col("doc_key") == F.col("out_key"), "left").withColumn(
+        "shards", F.when(F.col("out_key").isNull(), F.col("shards")).otherwise(F.slice("shards", F.lit(1), F.size("shards") - 1))
+    ).select("doc_key", "doc_id", "size", "source_size", "target", "shards")
+    return drawn.join(keyed.select("doc_key", *carry), "doc_key") if carry else drawn
 
 
 def mix_digest(docs: DataFrame, workspace: Workspace, **settings) -> DataFrame:
