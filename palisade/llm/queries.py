@@ -14,6 +14,7 @@ from palisade.llm.leaks import LEAKS_SQL, leaks_digest
 from palisade.llm.mixing import mix_digest
 from palisade.llm.near import near_digest
 from palisade.llm.pii import fit_tagger, pii_digest
+from palisade.llm.repeats import repeats_digest
 from palisade.llm.secrets import secrets_digest, secrets_sql
 from palisade.llm.tables import Workspace, documents
 from palisade.llm.tokenfiles import token_digest
@@ -87,3 +88,8 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_near_dedup")
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_digest(documents(spark, sf_dir), Workspace(spark, "op6"))
+
+
+@_query("op5_repeated_passages")
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_digest(documents(spark, sf_dir), Workspace(spark, "op5"))
