@@ -91,3 +91,30 @@ def ensemble_summary(
     if signatures is not None:
         lines.append(("signatures", str(signatures)))
     return spark.createDataFrame(lines, "key string, value string")
+
+
+def rule_report(model, df: DataFrame, probability: str, threshold: float, y: str) -> DataFrame:
+    """(rank, n_hits, n_attacks, n_only_this_rule, n_beyond_ensemble) per rule of a signature model.
+
+    What a rule adds to the fusion: the rows it hits, the attacks among them, the rows that no other
+    rule hits, and the rows that the ensemble alone would have passed.  One pass over the table.
+    """
+    hits = model.matches(df)
+    if not hits:
+        return df.sparkSession.createDataFrame([], "rank int, n_hits bigint, n_attacks bigint, n_only_this_rule bigint, n_beyond_ensemble bigint")
+    marked = df.select(F.array(*hits).alias("hit"), F.col(quoted(y)).alias("y"), F.col(quoted(probability)).alias("p"))
+    each = marked.select(
+        "y", "p", F.aggregate("hit", F.lit(0), lambda a, b: a + b).alias("k"), F.posexplode("hit").alias("at", "is_hit")
+    ).filter("is_hit = 1")
+    # Rules without a row left are kept: every rule is counted from a list of all ranks.
+    found = each.groupBy("at").agg(
+        F.count(F.lit(1)).alias("n_hits"),
+        F.count_if(F.col("y") == 1).alias("n_attacks"),
+        F.count_if(F.col("k") == 1).alias("n_only_this_rule"),
+        F.count_if(~F.coalesce(F.col("p") >= threshold, F.lit(False))).alias("n_beyond_ensemble"),
+    )
+    ranks = df.sparkSession.range(len(hits)).select(F.col("id").cast("int").alias("place"))
+    names = ["n_hits", "n_attacks", "n_only_this_rule", "n_beyond_ensemble"]
+    return ranks.join(found, F.col("place") == F.col("at"), "left").select(
+        (F.col("place") + 1).alias("rank"), *[F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in names]
+    )

@@ -1,11 +1,13 @@
 """Evaluation as aggregations over a scored table: y and prediction are 0/1, score in [0, 1].
 
 The functions that take ``by`` evaluate every group (for instance every model) in the same pass.
+
+A null or NaN score says nothing: such a row reaches no threshold and is left out of the curves and of
+the AUC, while the counts, which only need the prediction, have it.  Infinite scores are ordinary.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from palisade.config import (
     TOP_IMPORTANCES,
 )
 from palisade.functions.cells import ratio
-from palisade.operators.running import range_splits, running_totals
+from palisade.operators.running import running_totals
 from palisade.schema import quoted
 
 THRESHOLD_METRICS = ("f1", "precision", "recall")
@@ -26,13 +28,17 @@ THRESHOLD_METRICS = ("f1", "precision", "recall")
 def _score_table(
     df: DataFrame, y: str, score: str, by: tuple[str, ...] = (), prediction: str | None = None
 ) -> DataFrame:
-    """Positives and negatives per distinct score: the only shuffle that grows with the table."""
+    """Positives and negatives per distinct score: the only shuffle that grows with the table.
+
+    Rows without a score are the row of the null score.
+    """
     positive = F.col(quoted(y)).cast("bigint")
     aggregates = [F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")]
     if prediction is not None:
         flagged = F.col(quoted(prediction)).cast("bigint")
         aggregates += [F.sum(positive * flagged).alias("tp"), F.sum((1 - positive) * flagged).alias("fp")]
-    return df.groupBy(*by, F.col(quoted(score)).cast("double").alias("score")).agg(*aggregates)
+    value = F.col(quoted(score)).cast("double")
+    return df.groupBy(*by, F.when(~F.isnan(value), value).alias("score")).agg(*aggregates)
 
 
 def _auc() -> Column:
@@ -44,8 +50,8 @@ def _auc() -> Column:
 
 def roc_auc(df: DataFrame, y: str, score: str, by: tuple[str, ...] = ()) -> DataFrame:
     """(by, roc_auc); null where only one class occurs."""
-    table = running_totals(_score_table(df, y, score, by), "score", ["neg"], range_splits(df, score), by=by)
-    return table.groupBy(*by).agg(_auc().alias("roc_auc"))
+    scored = _score_table(df, y, score, by).filter(F.col("score").isNotNull())
+    return running_totals(scored, "score", ["neg"], by=by).groupBy(*by).agg(_auc().alias("roc_auc"))
 
 
 def _rates(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Column]:
@@ -59,14 +65,14 @@ def _rates(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Column]:
 
 def _evaluated(df: DataFrame, y: str, prediction: str, score: str, by: tuple[str, ...]) -> DataFrame:
     table = _score_table(df, y, score, by, prediction)
-    ordered = running_totals(table, "score", ["neg"], range_splits(df, score), by=by)
-    return ordered.groupBy(*by).agg(
-        F.sum("tp").alias("tp"),
-        F.sum("fp").alias("fp"),
-        (F.sum("pos") - F.sum("tp")).alias("fn"),
-        (F.sum("neg") - F.sum("fp")).alias("tn"),
-        _auc().alias("roc_auc"),
-    )
+    known = F.col("score").isNotNull()
+    table = table.withColumns({"all_pos": F.col("pos"), "all_neg": F.col("neg"),
+                               "pos": F.when(known, F.col("pos")).otherwise(0), "neg": F.when(known, F.col("neg")).otherwise(0)})
+    counts = {
+        "tp": F.sum("tp"), "fp": F.sum("fp"), "fn": F.sum("all_pos") - F.sum("tp"), "tn": F.sum("all_neg") - F.sum("fp"),
+    }
+    ordered = running_totals(table, "score", ["neg"], by=by)
+    return ordered.groupBy(*by).agg(*[F.coalesce(c, F.lit(0)).alias(k) for k, c in counts.items()], _auc().alias("roc_auc"))
 
 
 def metrics(df: DataFrame, y: str, prediction: str, score: str, by: tuple[str, ...] = ()) -> DataFrame:
@@ -120,11 +126,21 @@ def stack_results(results: dict[str, DataFrame]) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, y: str, prediction: str) -> DataFrame:
-    """(actual, predicted_0, predicted_1), one row per true class."""
-    flagged = F.col(quoted(prediction))
+    """(actual, predicted_0, predicted_1), one row per class that is true or predicted anywhere."""
+    cells = df.groupBy(F.col(quoted(y)).cast("int").alias("t"), F.col(quoted(prediction)).cast("int").alias("p")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    nothing = F.lit(0).cast("bigint")
+    sides = F.array(
+        F.struct(F.col("t").alias("actual"), F.when(F.col("p") == 0, F.col("n")).otherwise(0).alias("zero"),
+                 F.when(F.col("p") == 1, F.col("n")).otherwise(0).alias("one"), F.lit(True).alias("true")),
+        F.struct(F.col("p").alias("actual"), nothing.alias("zero"), nothing.alias("one"), F.lit(False).alias("true")),
+    )
     return (
-        df.groupBy(F.col(quoted(y)).alias("actual"))
-        .agg(F.count_if(flagged == 0).alias("predicted_0"), F.count_if(flagged == 1).alias("predicted_1"))
+        cells.select(F.inline(sides))
+        .filter(F.col("true") | F.col("actual").isNotNull())
+        .groupBy("actual")
+        .agg(F.sum("zero").alias("predicted_0"), F.sum("one").alias("predicted_1"))
         .orderBy("actual")
     )
 
@@ -222,10 +238,9 @@ def roc_curve(
     same number of positives and of negatives as this one.
     """
     table = running_totals(
-        _score_table(df, y, score, by),
+        _score_table(df, y, score, by).filter(F.col("score").isNotNull()),
         "score",
         ["pos", "neg"],
-        range_splits(df, score),
         by=by,
         descending=True,
         look_ahead=True,
@@ -251,10 +266,9 @@ def roc_curve(
 def precision_recall_curve(df: DataFrame, y: str, score: str, by: tuple[str, ...] = ()) -> DataFrame:
     """(by, threshold, precision, recall) per distinct score, closed by (null, 1, 0)."""
     table = running_totals(
-        _score_table(df, y, score, by),
+        _score_table(df, y, score, by).filter(F.col("score").isNotNull()),
         "score",
         ["pos", "neg"],
-        range_splits(df, score),
         by=by,
         descending=True,
         totals=True,
@@ -282,18 +296,17 @@ def threshold_grid() -> list[float]:
 def threshold_sweep(df: DataFrame, y: str, score: str, metric: str = "f1") -> DataFrame:
     """(threshold, value) over the whole grid.
 
-    Each score is reduced to the number of thresholds it reaches, so the table is read once and
-    at most a hundred counts remain.
+    Each score is reduced to the number of thresholds it reaches (a missing score reaches none), so the
+    table is read once and at most a hundred counts remain.
     """
     if metric not in THRESHOLD_METRICS:
         raise ValueError(f"unknown metric {metric!r}")
     grid = threshold_grid()
     positive = F.col(quoted(y)).cast("bigint")
-    scores = df.select(F.col(quoted(score)).cast("double").alias("score"), positive.alias("pos"))
-    reached = Bucketizer(
-        splits=[float("-inf"), *grid, float("inf")], inputCol="score", outputCol="reached", handleInvalid="keep"
-    ).transform(scores)
-    counts = reached.groupBy(F.col("reached").cast("int").alias("reached")).agg(
+    value = F.col(quoted(score)).cast("double")
+    steps_reached = F.size(F.filter(F.array(*[F.lit(t) for t in grid]), lambda t: t <= value))
+    reached = df.select(F.when(value.isNull() | F.isnan(value), 0).otherwise(steps_reached).alias("reached"), positive.alias("pos"))
+    counts = reached.groupBy("reached").agg(
         F.sum("pos").alias("pos"), F.sum(1 - F.col("pos")).alias("neg")
     )
     steps = df.sparkSession.createDataFrame(
@@ -308,12 +321,12 @@ def threshold_sweep(df: DataFrame, y: str, score: str, metric: str = "f1") -> Da
         F.coalesce(F.sum("pos").over(whole), F.lit(0)).alias("positives"),
     )
     tp, fp, positives = F.col("tp"), F.col("fp"), F.col("positives")
-    value = {
+    result = {
         "f1": ratio(2 * tp, tp + fp + positives),
         "precision": ratio(tp, tp + fp),
         "recall": ratio(tp, positives),
     }[metric]
-    return summed.filter(F.col("threshold").isNotNull()).select("threshold", value.alias("value"))
+    return summed.filter(F.col("threshold").isNotNull()).select("threshold", result.alias("value"))
 
 
 def best_threshold(df: DataFrame, y: str, score: str, metric: str = "f1") -> DataFrame:

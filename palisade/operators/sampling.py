@@ -262,10 +262,10 @@ def class_weights(df: DataFrame, label: str, strategy: str = "balanced") -> Data
 
 
 def with_class_weight(df: DataFrame, label: str, output: str = "weight") -> DataFrame:
-    """Add the balanced class weight to each row as a literal lookup."""
-    counts = class_counts(df, label)
-    total = sum(counts.values())
-    weight = F.lit(None).cast("double")
-    for c, n in counts.items():
-        weight = F.when(F.col(quoted(label)).eqNullSafe(F.lit(c)), F.lit(total / (len(counts) * n))).otherwise(weight)
-    return df.withColumn(output, weight)
+    """Add the balanced class weight to each row; a row without a class gets none.
+
+    The weights are a table of one row per class and are joined, however many classes there are.
+    """
+    weights = class_weights(df, label).select(F.col("class").alias("_class"), F.col("weight").alias("_weight_of"))
+    joined = df.join(weights, F.col(quoted(label)) == F.col("_class"), "left")
+    return joined.select(*[F.col(quoted(c)) for c in df.columns], F.col("_weight_of").alias(output))

@@ -1,8 +1,8 @@
 """Signature mining: readable ``column = value`` rules that almost always mean an attack.
 
 One pass over the table counts rows and attacks per combination of the categorical columns (and
-conditionally per flag column); every single-column and pair rule is then a roll-up of that small
-table, so no rule candidate costs another scan.
+conditionally per flag column); every single-column and pair rule, and the number of all rows, is then
+a roll-up of that small table, which is materialised, so no rule candidate costs another scan.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from palisade.config import SignatureSettings
 from palisade.operators.fitted import HasState
-from palisade.operators.profile import row_count
 from palisade.schema import quoted
+from palisade.session import cut_lineage
 
 RULE_SCHEMA = (
     "rank int, conditions map<string,string>, columns array<string>, values array<string>, "
@@ -60,8 +60,14 @@ def without_rare_values(df: DataFrame, columns: list[str], min_support: float) -
     )
 
 
-def candidate_rules(df: DataFrame, label: str, settings: SignatureSettings) -> DataFrame:
-    """(gen, first, second, n, attacks) for every observed value or value pair."""
+_ALL_ROWS = -1  # the generation of the entry that counts the whole table
+
+
+def candidate_rules(df: DataFrame, label: str, settings: SignatureSettings, *, whole: bool = False) -> DataFrame:
+    """(gen, first, second, n, attacks) for every observed value or value pair.
+
+    ``whole`` adds an entry of all rows, so that supports need no second look at the table.
+    """
     categorical, flags, sets = _generation(df, settings)
     if settings.prune_rare:
         df = without_rare_values(df, categorical, settings.min_support)
@@ -75,6 +81,9 @@ def candidate_rules(df: DataFrame, label: str, settings: SignatureSettings) -> D
     )
     none = F.lit(None).cast("string")
     entries = []
+    if whole:
+        cells = {"gen": F.lit(_ALL_ROWS), "first": F.lit(""), "second": none, "n": F.col("n"), "attacks": F.col("attacks")}
+        entries.append(F.struct(*[c.alias(k) for k, c in cells.items()]))
     for gen, columns in enumerate(sets):
         if columns[0] in flags:
             i = flags.index(columns[0])
@@ -110,14 +119,17 @@ def mine_signatures(df: DataFrame, label: str, settings: SignatureSettings | Non
     _, _, sets = _generation(df, s)
     if not sets:
         return df.sparkSession.createDataFrame([], RULE_SCHEMA)
+    candidates = cut_lineage(candidate_rules(df, label, s, whole=True), "candidates")
+    total = candidates.filter(F.col("gen") == _ALL_ROWS).first()
+    total = total["n"] if total else 0
     passing = (
-        candidate_rules(df, label, s)
+        candidates.filter(F.col("gen") != _ALL_ROWS)
         .select(
             "gen",
             "first",
             "second",
             F.col("n").alias("match_count"),
-            (F.col("n") / row_count(df)).alias("support"),
+            (F.col("n") / F.lit(total)).alias("support"),
             (F.col("attacks") / F.col("n")).alias("confidence"),
         )
         .filter((F.col("support") >= s.min_support) & (F.col("confidence") >= s.min_confidence))
@@ -214,6 +226,17 @@ class SignatureModel(Model, HasState):
         ]
         return spark.createDataFrame(rows, RULE_SCHEMA)
 
+    def matches(self, df: DataFrame) -> list[Column]:
+        """One 0/1 expression per rule, in rank order."""
+        out = []
+        for columns, values, *_ in self.learned["rules"]:
+            if all(c in df.columns for c in columns):
+                tests = [self._cell(df, c) == v for c, v in zip(columns, values)]
+                out.append(F.coalesce(reduce(and_, tests), F.lit(False)).cast("int"))
+            else:
+                out.append(F.lit(0))
+        return out
+
     def hit(self, df: DataFrame) -> Column:
         """One boolean expression: per column set, is the row's value among the rules' values.
 

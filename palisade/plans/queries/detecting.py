@@ -145,33 +145,33 @@ def signature_hits(spark, sf_dir):
 
 
 def hybrid_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: mine the signatures and report what each flags and what fusion adds, rule by rule."""
-    rules = mine_signatures(labelled(spark, sf_dir), "label", _DEFAULT)
-    report = ensemble.fusion_report(views.scores(spark, sf_dir), "sig", "p_c", 0.5, "y")
-    fused = report.select(F.struct("n_flagged", "n_flagged_by_ensemble_only", "accuracy")).scalar()
-    return rules.select(
-        "rank",
-        "rule",
-        "support",
-        "confidence",
-        "match_count",
-        fused["n_flagged"].alias("n_flagged"),
-        fused["n_flagged_by_ensemble_only"].alias("n_flagged_by_ensemble_only"),
-        fused["accuracy"].alias("accuracy"),
+    """Flagship: mine the signatures, and report rule by rule what they flag and add to the ensemble."""
+    table = labelled(spark, sf_dir)
+    mined = SignatureMiner(_DEFAULT).fit(table)
+    scored = table.withColumn("p_c", F.round(F.col("duration") / F.lit(7.0), 6))  # as in the view of scores
+    report = ensemble.rule_report(mined, scored, "p_c", 0.5, "label").withColumnRenamed("rank", "place")
+    return mined.rules(spark).join(report, F.col("rank") == F.col("place")).select(
+        "rank", "rule", "support", "confidence", "match_count", "n_hits", "n_attacks", "n_only_this_rule", "n_beyond_ensemble"
     )
 
 
-_FUSED_LABEL = "CASE WHEN sig = 1 OR p_c >= 0.5 THEN 1 ELSE 0 END"
 query(
     "hybrid_summary",
-    f"""{WITH_BIN}, scores AS ({views.SCORES}), {_rules_ctes('bin', 'label', _CATEGORICAL, ['land'], _DEFAULT)},
-    fused AS (SELECT CAST(sum({_FUSED_LABEL}) AS BIGINT) AS n_flagged,
-      count(*) FILTER (WHERE sig = 0 AND p_c >= 0.5) AS n_flagged_by_ensemble_only,
-      CAST(count(*) FILTER (WHERE {_FUSED_LABEL} = y) AS DOUBLE) / count(*) AS accuracy FROM scores)
-    SELECT {_RULE_COLUMNS}, fused.* FROM rules, fused""",
+    f"""{WITH_BIN}, {_rules_ctes('bin', 'label', _CATEGORICAL, ['land'], _DEFAULT)},
+    hits AS (SELECT x.row_id, x.label AS y, ROUND(x.duration / CAST(7 AS DOUBLE), 6) AS p_c, r.rank AS hit_rank
+      FROM bin x JOIN rules r ON ({_MATCHES})),
+    counted AS (SELECT *, count(*) OVER (PARTITION BY row_id) AS k FROM hits),
+    report AS (SELECT hit_rank, count(*) AS n_hits, count(*) FILTER (WHERE y = 1) AS n_attacks,
+      count(*) FILTER (WHERE k = 1) AS n_only_this_rule, count(*) FILTER (WHERE p_c < 0.5) AS n_beyond_ensemble
+      FROM counted GROUP BY hit_rank)
+    SELECT {_RULE_COLUMNS}, coalesce(n_hits, 0) AS n_hits, coalesce(n_attacks, 0) AS n_attacks,
+      coalesce(n_only_this_rule, 0) AS n_only_this_rule, coalesce(n_beyond_ensemble, 0) AS n_beyond_ensemble
+    FROM rules LEFT JOIN report ON hit_rank = rank""",
 )(hybrid_summary)
 
 
+_FUSED_LABEL = "CASE WHEN sig = 1 OR p_c >= 0.5 THEN 1 ELSE 0 END"
+
 # --- voting --------------------------------------------------------------------
 
 _MODELS = ["a", "b", "c"]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 
 from pyspark import StorageLevel
@@ -29,33 +30,38 @@ def local_session(cpus: int | str = 8, app: str = "palisade", **conf: str) -> Sp
     return spark
 
 
-_own_folders: dict[str, str] = {}
+_scratch: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str | None:
-    """The folder every executor can reach.
-
-    A cluster names it in ``spark.checkpoint.dir``.  Only a local session, whose executors are
-    this very machine, may fall back to a folder of its own; a cluster without the setting gets
-    ``None``.
-    """
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if configured:
-        return configured
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        return None
-    if context.applicationId not in _own_folders:
-        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="palisade-")
-    return _own_folders[context.applicationId]
+    """The folder every executor can reach, which the session names in ``spark.checkpoint.dir``."""
+    return spark.conf.get(CHECKPOINT_CONF, None) or None
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, for written intermediate tables."""
-    base = shared_folder(spark)
-    if base is None:
+    """A fresh path for a written table: below the shared folder, or else in the session's warehouse.
+
+    What lies there is removed when the interpreter ends.
+    """
+    base = shared_folder(spark) or spark.conf.get("spark.sql.warehouse.dir", None)
+    if not base:
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-    return f"{base.rstrip('/')}/palisade/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/palisade/{name}-{uuid.uuid4().hex}"
+    _scratch.append((spark, path))
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@atexit.register
+def _remove_scratch() -> None:
+    for spark, path in _scratch:
+        with contextlib.suppress(Exception):  # the session may be gone already
+            remove_path(spark, path)
 
 
 def use_checkpoints(spark: SparkSession) -> bool:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from palisade.operators import evaluate
-from palisade.operators.running import range_splits, running_totals
+from palisade.operators.running import running_totals
 
 
 def scored(spark, n=400, levels=None, seed=3):
@@ -36,9 +36,7 @@ def test_auc_of_one_class_is_null(spark):
 
 def test_running_totals_cross_ranges(spark):
     df = spark.range(1000).select((F.col("id") / 1000).alias("s"), F.col("id").alias("v"))
-    splits = range_splits(df, "s", ranges=16)
-    assert 10 < len(splits) <= 17
-    out = running_totals(df, "s", ["v"], splits, descending=True, look_ahead=True, totals=True)
+    out = running_totals(df, "s", ["v"], descending=True, look_ahead=True, totals=True)
     for r in out.collect():
         assert r["v_before"] == sum(range(r["v"] + 1, 1000))
         assert r["v_next"] == (r["v"] - 1 if r["v"] else None)
@@ -47,7 +45,7 @@ def test_running_totals_cross_ranges(spark):
 
 def test_running_totals_in_groups(spark):
     df = spark.range(200).select((F.col("id") % 3).alias("g"), (F.col("id") / 7).alias("s"), F.col("id").alias("v"))
-    out = running_totals(df, "s", ["v"], range_splits(df, "s", 8), by=("g",))
+    out = running_totals(df, "s", ["v"], by=("g",))
     for r in out.collect():
         assert r["v_before"] == sum(v for v in range(r["v"]) if v % 3 == r["g"])
 
@@ -143,3 +141,28 @@ def test_compare_and_stack(spark):
     assert stacked.filter("model = 'b'").first()["accuracy"] is None
     with pytest.raises(ValueError):
         evaluate.stack_results({})
+
+
+ODD = [(1, 1, 0.9), (0, 0, 0.2), (1, 1, None), (0, 1, None), (0, 0, float("nan")), (1, 1, float("inf")), (0, 0, float("-inf"))]
+
+
+def test_rows_without_a_score_are_counted(spark):
+    df = spark.createDataFrame(ODD, "y int, pred int, p double")
+    row = evaluate.metrics_summary(df, "y", "pred", "p").first()
+    assert (row["tp"], row["fp"], row["fn"], row["tn"], row["roc_auc"]) == (3, 1, 0, 3, 1.0)
+    sweep = {r["threshold"]: r["value"] for r in evaluate.threshold_sweep(df, "y", "p", "recall").collect()}
+    assert all(math.isclose(v, 2 / 3) for v in sweep.values())
+    assert evaluate.roc_curve(df, "y", "p").count() >= 3
+
+
+def test_no_rows(spark):
+    df = spark.createDataFrame([], "y int, pred int, p double")
+    row = evaluate.metrics_summary(df, "y", "pred", "p").first()
+    assert (row["tp"], row["fp"], row["fn"], row["tn"], row["roc_auc"]) == (0, 0, 0, 0, None)
+    assert evaluate.roc_curve(df, "y", "p").collect() == []
+    assert evaluate.confusion_matrix(df, "y", "pred").collect() == []
+
+
+def test_a_class_that_is_only_predicted_has_a_row(spark):
+    df = spark.createDataFrame([(0, 0), (0, 1)], "y int, pred int")
+    assert [tuple(r) for r in evaluate.confusion_matrix(df, "y", "pred").collect()] == [(0, 1, 1), (1, 0, 0)]

@@ -19,10 +19,12 @@ def test_the_configured_folder_is_used_everywhere():
         assert session.scratch_path(spark, "t").startswith("/shared/checkpoints/palisade/t-")
 
 
-def test_only_a_local_session_has_its_own_folder():
-    local = stub("local[2]")
-    assert session.shared_folder(local) == session.shared_folder(local) is not None
-    assert session.shared_folder(stub("yarn")) is None
+def test_the_warehouse_stands_in_for_written_results():
+    for master in ("local[2]", "yarn"):
+        assert session.shared_folder(stub(master)) is None
+    spark = stub("yarn")
+    spark.conf.get = lambda key, default: "/warehouse" if key == "spark.sql.warehouse.dir" else default
+    assert session.scratch_path(spark, "t").startswith("/warehouse/palisade/t-")
     with pytest.raises(ValueError):
         session.scratch_path(stub("yarn"), "t")
 
