@@ -20,6 +20,7 @@ THRESHOLD_GRID_SIZE = 50
 THRESHOLD_GRID_LOW = 0.1
 THRESHOLD_GRID_HIGH = 0.9
 TOP_IMPORTANCES = 20
+# The defaults of the dataclasses below are fixed values too.
 # -----------------------------------------------------------------------------
 
 
@@ -30,7 +31,7 @@ class PreprocessSettings:
     iqr_multiplier: float = 1.5
     scale: bool = True
     scaling: str = "standard"  # standard | minmax | robust
-    max_categories: int = 10_000  # one output column per category, so it must be bounded
+    max_categories: int | None = None  # a bound that a user may set: one output column per category
 
 
 @dataclass(frozen=True)

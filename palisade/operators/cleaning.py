@@ -81,7 +81,8 @@ def first_of_each(
 
     The label of that row survives with it.  The result carries the *raw* row: which cells were
     missing travels through the aggregation as bits of a number, so the buffers stay fixed-width
-    (hash aggregation with map-side combining) and no join back to the input is needed.
+    (hash aggregation with map-side combining) and no join back to the input is needed.  Whole and
+    decimal numbers, which the doubles of the group key may not hold exactly, travel as they are.
     """
     fills = fills or {}
     gaps = [c for c in features if c in fills]
@@ -94,14 +95,17 @@ def first_of_each(
         ]
         masks.append(reduce(lambda a, b: a.bitwiseOR(b), bits).alias(name))
     kinds = dict(df.dtypes)
-    filled = impute(df.select("*", *masks), fills)
+    exact = {c: f"_raw_{i}" for i, c in enumerate(gaps) if kinds[c] == "bigint" or kinds[c].startswith("decimal")}
+    filled = impute(df.select("*", *masks, *[F.col(quoted(c)).alias(name) for c, name in exact.items()]), fills)
     unique = filled.groupBy(*[F.col(quoted(c)) for c in features]).agg(
         F.min(quoted(row_id)).alias(row_id),
         F.min_by(quoted(label), quoted(row_id)).alias(label),
-        *[F.min_by(m, quoted(row_id)).alias(m) for m in _mask_names(len(gaps))],
+        *[F.min_by(m, quoted(row_id)).alias(m) for m in [*_mask_names(len(gaps)), *exact.values()]],
     )
 
     def raw(c: str) -> Column:
+        if c in exact:
+            return F.col(exact[c]).alias(c)
         value = F.col(quoted(c))
         if c in gaps:
             at = gaps.index(c)

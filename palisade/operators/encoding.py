@@ -10,11 +10,11 @@ from palisade.schema import quoted
 from palisade.session import SMALL_TABLE_ROWS, cut_lineage, settle_small
 
 
-def categories(df: DataFrame, columns: list[str], limit: int) -> dict[str, list[str]]:
+def categories(df: DataFrame, columns: list[str], limit: int | None = None) -> dict[str, list[str]]:
     """Sorted distinct values of each column.
 
-    Each category becomes a column of the encoded table, so more than ``limit`` of them is an
-    error; the check runs on the distributed distinct before anything reaches the driver.
+    Each category becomes a column of the encoded table.  With a ``limit``, more of them are an error;
+    the check runs on the distributed distinct before anything reaches the driver.
     """
     if not columns:
         return {}
@@ -23,8 +23,8 @@ def categories(df: DataFrame, columns: list[str], limit: int) -> dict[str, list[
         .filter(F.col("value").isNotNull())
         .distinct()
     )
-    rows = distinct.limit(limit + 1).collect()
-    if len(rows) > limit:
+    rows = (distinct if limit is None else distinct.limit(limit + 1)).collect()
+    if limit is not None and len(rows) > limit:
         raise ValueError(f"more than {limit} categories in {columns}; raise max_categories or drop a column")
     found: dict[str, list[str]] = {c: [] for c in columns}
     for r in rows:

@@ -6,16 +6,18 @@ Every learner adds ``p_<name>`` (attack probability) and ``pred_<name>`` (its ow
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palisade.config import (
@@ -36,6 +38,13 @@ from palisade.session import cut_lineage, use_checkpoints
 FEATURES = "features"
 
 
+def side_by_side(spark: SparkSession, work: Iterable[Callable]) -> list:
+    """Run independent fits at the same time: each is a long row of jobs too short to fill a cluster."""
+    work = list(work)
+    with ThreadPoolExecutor(max(1, len(work))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(w)) for w in work]]
+
+
 def _output_columns(name: str) -> dict[str, str]:
     return {
         "rawPredictionCol": f"_{name}_raw",
@@ -170,9 +179,8 @@ def fit_kernel_machine(train: DataFrame, name: str, s: KernelMachineSettings, la
     """RBF kernel machine: random features, linear SVM, calibration on out-of-fold margins."""
     width, gamma = kernel_width(train)
     cosines = RandomFourierFeatures(width, s.fourier_features, gamma, s.seed, name)
-    mapped = cosines.transform(train).withColumn(
-        "_fold", F.pmod(hashed_draw(s.seed, F.col(quoted(row_id))), F.lit(s.folds)).cast("int")
-    )
+    fold = F.pmod(hashed_draw(s.seed, F.col(quoted(row_id))), F.lit(s.folds)).cast("int")
+    mapped = cut_lineage(cosines.transform(train).withColumn("_fold", fold), "mapped")  # read by each fold's fit
     columns = _output_columns(name)
     n = train.count()
 
@@ -188,10 +196,14 @@ def fit_kernel_machine(train: DataFrame, name: str, s: KernelMachineSettings, la
         ).fit(rows)
 
     slicer = VectorSlicer(inputCol=columns["rawPredictionCol"], outputCol="_margin", indices=[1])
-    margins = None
-    for fold in range(s.folds):
-        seen = machine(mapped.filter(F.col("_fold") != fold), n * (1 - 1 / s.folds))
-        unseen = slicer.transform(seen.transform(mapped.filter(F.col("_fold") == fold))).select(label, "_margin")
+    seen = side_by_side(
+        train.sparkSession,
+        [lambda i=i: machine(mapped.filter(F.col("_fold") != i), n * (1 - 1 / s.folds)) for i in range(s.folds)]
+        + [lambda: machine(mapped, n)],
+    )
+    final, margins = seen.pop(), None
+    for i, model in enumerate(seen):
+        unseen = slicer.transform(model.transform(mapped.filter(F.col("_fold") == i))).select(label, "_margin")
         margins = unseen if margins is None else margins.unionByName(unseen)
     calibration = LogisticRegression(
         featuresCol="_margin",
@@ -202,7 +214,7 @@ def fit_kernel_machine(train: DataFrame, name: str, s: KernelMachineSettings, la
         predictionCol=f"_{name}_likely",
         standardization=False,
     ).fit(_calibration_rows(cut_lineage(margins, "margins"), label))
-    return PipelineModel([cosines, machine(mapped, n), slicer, calibration])
+    return PipelineModel([cosines, final, slicer, calibration])
 
 
 FITTERS: dict[str, Callable[..., Model]] = {
@@ -227,10 +239,11 @@ def fit_learners(
     settings = settings or LearnerSettings()
     use_checkpoints(train.sparkSession)  # long boosting runs cut their lineage there
     trained = trained or {}
-    return {
-        name: trained[name] if name in trained else FITTERS[name](train, name, getattr(settings, name), label, row_id)
-        for name in (names or tuple(FITTERS))
-    }
+    names = names or tuple(FITTERS)
+    new = [name for name in names if name not in trained]
+    fitted = side_by_side(train.sparkSession, [lambda n=n: FITTERS[n](train, n, getattr(settings, n), label, row_id) for n in new])
+    found = {**trained, **dict(zip(new, fitted))}
+    return {name: found[name] for name in names}
 
 
 def score_with(models: dict[str, Model], df: DataFrame) -> DataFrame:

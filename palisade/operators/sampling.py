@@ -16,18 +16,14 @@ from palisade.config import HOLDOUT_FRACTION, RANDOM_SEED
 from palisade.functions.draws import DRAW_BITS, hashed_draw
 from palisade.schema import quoted
 
-MAX_CELL_BITS = 20
 ROWS_PER_CELL = 4096
-MAX_CLASSES = 10_000
 BROADCAST_ROWS = 100_000
 
 
 def class_counts(df: DataFrame, label: str | None) -> dict[object, int]:
-    """Rows per class.  Classes are few by nature; more than MAX_CLASSES is an error."""
+    """Rows per class, one number per class on the driver."""
     key = F.col(quoted(label)) if label else F.lit(0)
-    rows = df.groupBy(key.alias("_class")).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label!r} has more than {MAX_CLASSES} classes")
+    rows = df.groupBy(key.alias("_class")).agg(F.count(F.lit(1)).alias("n")).collect()
     return {r["_class"]: r["n"] for r in rows}
 
 
@@ -57,7 +53,7 @@ def _drawn(df: DataFrame, label: str | None, row_id: str, draw: Column | None, s
 
 def _cell(rows: int) -> Column:
     """Leading bits of the draw, enough of them that one cell holds few rows."""
-    bits = max(1, min(MAX_CELL_BITS, (rows // ROWS_PER_CELL).bit_length()))
+    bits = max(1, min(DRAW_BITS, (rows // ROWS_PER_CELL).bit_length()))
     return F.shiftright("_draw", DRAW_BITS - bits)
 
 
@@ -120,14 +116,16 @@ def split_parts(
     class_kind = drawn.schema["_class"].dataType.simpleString()
     id_kind = df.schema[row_id].dataType.simpleString()
     names = "".join(f", _draw{i} bigint, _id{i} {id_kind}" for i in range(n_cuts))
-    lookup = df.sparkSession.createDataFrame(table, f"_of {class_kind}{names}")  # at most MAX_CLASSES rows
+    lookup = df.sparkSession.createDataFrame(table, f"_of {class_kind}{names}")  # one row per class
     part = F.lit(0)
     for i in range(n_cuts):
         beyond = (F.col("_draw") > F.col(f"_draw{i}")) | (
             (F.col("_draw") == F.col(f"_draw{i}")) & (F.col(quoted(row_id)) > F.col(f"_id{i}"))
         )
         part = part + F.when(beyond, 1).otherwise(0)
-    marked = drawn.join(F.broadcast(lookup), F.col("_class").eqNullSafe(F.col("_of")), "left")
+    # One row per class and cut; Spark's own estimate of a local table decides, unless they are certainly few.
+    lookup = F.broadcast(lookup) if len(table) <= BROADCAST_ROWS else lookup
+    marked = drawn.join(lookup, F.col("_class").eqNullSafe(F.col("_of")), "left")
     return marked.select(*[F.col(quoted(c)) for c in df.columns], part.alias(output))
 
 

@@ -92,19 +92,25 @@ def train_detector(
     row_id: str = "row_id",
     label: str = "label",
     learners: tuple[str, ...] | None = None,
+    trained: dict[str, Model] | None = None,
 ) -> TrainingRun:
     """Train both tiers on ``train`` (0/1 label), choose the threshold on ``validation``.
 
     The test rows are only scored.  Each of the three tables is scored or prepared once and
-    every result is derived from that.
+    every result is derived from that.  Learners in ``trained`` (fitted on the same prepared
+    features) are reused.
     """
     settings = settings or DetectorSettings()
+    train = cut_lineage(train, "train")  # a split is a lazy filter, and preparing takes several passes
     names = learners or tuple(FITTERS)
     preprocess, rows = Preprocessor(settings.preprocess, row_id, label).fit_rows(train)
     clean = preprocess.transform(rows)
     features = FeatureEngineer(settings.features, row_id, label).fit(clean)
     selected = features.output_columns
-    vectors = cut_lineage(assemble(features.transform(clean), selected, FEATURES).drop(*selected), "vectors")
+    # Dealt evenly once, since every learner passes over them a hundred times or more.
+    tasks = train.sparkSession.sparkContext.defaultParallelism
+    vectors = assemble(features.transform(clean), selected, FEATURES).drop(*selected)
+    vectors = cut_lineage(vectors.repartition(tasks), "vectors")
 
     signatures = None
     if settings.fusion.use_signatures:
@@ -112,7 +118,7 @@ def train_detector(
     detector = Detector(
         preprocess,
         features,
-        fit_learners(vectors, settings.learners, label=label, row_id=row_id, names=names),
+        fit_learners(vectors, settings.learners, label=label, row_id=row_id, names=names, trained=trained),
         settings.ensemble,
         signatures,
         settings.fusion.threshold,

@@ -5,22 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palisade.config import (
-    BoostedTreesSettings,
-    DetectorSettings,
-    EnsembleSettings,
-    FineBinnedTreesSettings,
-    ForestSettings,
-    FusionSettings,
-    KernelMachineSettings,
-    LearnerSettings,
-    LogisticSettings,
-    SignatureSettings,
-)
+from palisade.config import DetectorSettings, EnsembleSettings, FusionSettings, SignatureSettings
 from palisade.functions import cells, votes
 from palisade.operators import ensemble, evaluate, features, learners, sampling
 from palisade.operators.multiclass import LabelCodes
-from palisade.operators.preprocess import Preprocessor
 from palisade.operators.signatures import (
     SignatureMiner,
     candidate_rules,
@@ -581,87 +569,110 @@ def importance_chart(spark, sf_dir):
     return rounded(evaluate.importance_chart(ranked), 4)
 
 
-# --- learners ------------------------------------------------------------------
+# --- learners and jobs ---------------------------------------------------------
 
-# Fewer trees and iterations than the defaults: the queries check that training works on the
-# whole table, the defaults stay in config.py.
-SHORT = LearnerSettings(
-    boosted_trees=BoostedTreesSettings(trees=10, depth=4),
-    fine_binned_trees=FineBinnedTreesSettings(trees=10, depth=4),
-    random_forest=ForestSettings(trees=15, depth=8),
-    kernel_machine=KernelMachineSettings(fourier_features=48, folds=3, max_iterations=30),
-    logistic_regression=LogisticSettings(max_iterations=100),
-)
+_runs: dict[tuple[str, str], jobs.TrainingRun] = {}
 
 
-def _learner_query(name: str) -> None:
-    @query(f"learner_{name}")
-    def learn(spark, sf_dir):
-        train, holdout = sampling.holdout_split(labelled(spark, sf_dir), row_id="row_id", label="label")
-        preprocess, rows = Preprocessor().fit_rows(train)
-        engineer = features.FeatureEngineer().fit(preprocess.transform(rows))
+def _run(spark: SparkSession, sf_dir: str) -> jobs.TrainingRun:
+    """The training job with the default settings and all five learners, once per session and table."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _runs:
+        train, validation, test = sampling.three_way_split(labelled(spark, sf_dir), row_id="row_id", label="label")
+        _runs[key] = jobs.train_detector(train, validation=validation, test=test)
+    return _runs[key]
 
-        def vectors(df):
-            return features.assemble(engineer.transform(preprocess.transform(df)), engineer.output_columns)
 
-        fitted = learners.fit_learners(vectors(rows), SHORT, names=(name,))
-        return learners.evaluate_learner(fitted, name, vectors(holdout))
+def _stacked(run: jobs.TrainingRun) -> DataFrame:
+    return evaluate.stack_results({k: v.withColumnRenamed("model", "learner") for k, v in run.results.items()})
 
 
-for _name in learners.FITTERS:
-    _learner_query(_name)
+_TEST_ROWS = "CAST(ceil(0.2 * count(*)) AS BIGINT)"
 
 
-@query("learner_importance")
-def learner_importance(spark, sf_dir):
-    df = labelled(spark, sf_dir)
-    preprocess, rows = Preprocessor().fit_rows(df)
-    prepared = preprocess.transform(rows)
-    names = preprocess.output_columns
-    fitted = learners.fit_learners(features.assemble(prepared, names), SHORT, names=("random_forest",))
-    return learners.learner_importance(fitted["random_forest"], names, spark)
+def _learner_queries(name: str) -> None:
+    @query(f"learner_{name}")
+    def metrics_of(spark, sf_dir):
+        return _run(spark, sf_dir).results["Models"].filter(F.col("model") == name).drop("model")
 
+    @query(
+        f"learner_{name}_holdout",
+        f"{WITH_CONN} SELECT {_TEST_ROWS} AS n, CAST(0 AS BIGINT) AS odd_p, CAST(0 AS BIGINT) AS odd_pred, true AS ranks FROM conn",
+    )
+    def holdout(spark, sf_dir):
+        scored = _run(spark, sf_dir).scored_test
+        p, pred = F.col(f"p_{name}"), F.col(f"pred_{name}")
+        auc = evaluate.roc_auc(scored, "label", f"p_{name}").first()[0]
+        inside = F.coalesce((p >= 0) & (p <= 1), F.lit(False))
+        agrees = pred.isin(0, 1)
+        if name != "kernel_machine":  # its label is the sign of the margin, its probability a calibration of it
+            agrees = agrees & ((p == 0.5) | (pred == (p > 0.5).cast("int")))
+        agrees = F.coalesce(agrees, F.lit(False))
+        return scored.agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(~inside).alias("odd_p"), F.count_if(~agrees).alias("odd_pred")
+        ).withColumn("ranks", F.lit(auc >= 0.7))
+
+
+for _name in learners.FITTERS:
+    _learner_queries(_name)
 
-# --- jobs ----------------------------------------------------------------------
 
-_SHORT_JOB = DetectorSettings(learners=SHORT)
-_ONE_LEARNER = ("logistic_regression",)
+@query("learner_importance")
+def learner_importance(spark, sf_dir):
+    detector = _run(spark, sf_dir).detector
+    return learners.learner_importance(detector.learners["random_forest"], detector.features.output_columns, spark)
 
 
-def _three_parts(spark: SparkSession, sf_dir: str):
-    return sampling.three_way_split(labelled(spark, sf_dir), row_id="row_id", label="label")
+@query("learner_importance_linear")
+def learner_importance_linear(spark, sf_dir):
+    detector = _run(spark, sf_dir).detector
+    return learners.learner_importance(detector.learners["logistic_regression"], detector.features.output_columns, spark)
 
 
 @query("training_job")
 def training_job(spark, sf_dir):
-    train, validation, test = _three_parts(spark, sf_dir)
-    run = jobs.train_detector(train, validation=validation, test=test, settings=_SHORT_JOB)
-    results = {k: v.withColumnRenamed("model", "learner") for k, v in run.results.items()}
-    return evaluate.stack_results(results)
+    return _stacked(_run(spark, sf_dir))
+
+
+def _reused(spark: SparkSession, sf_dir: str) -> jobs.TrainingRun:
+    """A second job without signatures on the same parts, with the learners of the first."""
+    train, validation, test = sampling.three_way_split(labelled(spark, sf_dir), row_id="row_id", label="label")
+    settings = DetectorSettings(fusion=FusionSettings(use_signatures=False))
+    trained = _run(spark, sf_dir).detector.learners
+    return jobs.train_detector(train, validation=validation, test=test, settings=settings, trained=trained)
 
 
 @query("training_job_without_signatures")
 def training_job_without_signatures(spark, sf_dir):
-    train, validation, test = _three_parts(spark, sf_dir)
-    settings = DetectorSettings(learners=SHORT, fusion=FusionSettings(use_signatures=False))
-    run = jobs.train_detector(train, validation=validation, test=test, settings=settings, learners=_ONE_LEARNER)
-    results = {k: v.withColumnRenamed("model", "learner") for k, v in run.results.items()}
-    return evaluate.stack_results(results)
+    return _stacked(_reused(spark, sf_dir))
+
+
+@query(
+    "reused_learners",
+    f"{WITH_CONN} SELECT {_TEST_ROWS} AS n, CAST(0 AS BIGINT) AS differing, CAST(0 AS BIGINT) AS with_signature FROM conn",
+)
+def reused_learners(spark, sf_dir):
+    first = _run(spark, sf_dir).scored_test
+    names = [f"p_{m}" for m in learners.FITTERS]
+    second = _reused(spark, sf_dir).scored_test.select(F.col("row_id").alias("id"), "sig", *[F.col(n).alias(f"{n}_again") for n in names])
+    same = [F.round(n, 9).eqNullSafe(F.round(f"{n}_again", 9)) for n in names]
+    agree = same[0]
+    for s in same[1:]:
+        agree = agree & s
+    return first.select("row_id", *names).join(second, F.col("row_id") == F.col("id"), "full").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~agree).alias("differing"), F.count_if(F.col("sig") != 0).alias("with_signature")
+    )
 
 
 @query("training_run_summary")
 def training_run_summary(spark, sf_dir):
-    train, validation, test = _three_parts(spark, sf_dir)
-    run = jobs.train_detector(
-        train, validation=validation, test=test, settings=_SHORT_JOB, learners=_ONE_LEARNER
-    )
     path = scratch_path(spark, "runs")
-    runs.append_summary(jobs.run_summary(run, "run-1"), path)
+    runs.append_summary(jobs.run_summary(_run(spark, sf_dir), "run-1"), path)
     return runs.last_summary(spark, path)
 
 
 def _trained(spark: SparkSession, sf_dir: str) -> jobs.Detector:
-    return jobs.train_detector(labelled(spark, sf_dir), settings=_SHORT_JOB, learners=_ONE_LEARNER).detector
+    return _run(spark, sf_dir).detector
 
 
 _SAME = f"{WITH_CONN} SELECT count(*) AS n, 0 AS differing FROM conn"
@@ -705,13 +716,37 @@ def artifact_list(spark, sf_dir):
     return jobs.list_artifacts(spark, path)
 
 
+def _from_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows, scored by the detector as it was stored and loaded again."""
+    path = scratch_path(spark, "detector")
+    jobs.save_detector(_trained(spark, sf_dir), spark, path)
+    return jobs.score_table(spark, path, labelled(spark, sf_dir))
+
+
 @query("batch_inference")
 def batch_inference(spark, sf_dir):
-    df = labelled(spark, sf_dir)
-    scored = jobs.with_actual(_trained(spark, sf_dir).score(df), "label")
+    scored = jobs.with_actual(_from_artifacts(spark, sf_dir), "label")
     return scored.select("row_id", "sig", "prediction", "verdict", "actual", F.round("confidence", 6).alias("confidence"))
 
 
+@query(
+    "batch_inference_holds",
+    f"""{WITH_BIN} SELECT count(*) AS n, CAST(0 AS BIGINT) AS odd_p, CAST(0 AS BIGINT) AS hits_not_certain,
+      CAST(0 AS BIGINT) AS odd_models FROM bin""",
+)
+def batch_inference_holds(spark, sf_dir):
+    scored = _from_artifacts(spark, sf_dir)
+    inside = lambda c: F.coalesce((F.col(c) >= 0) & (F.col(c) <= 1), F.lit(False))
+    models = inside("p_ensemble")
+    for m in learners.FITTERS:
+        models = models & inside(f"p_{m}") & F.col(f"pred_{m}").isin(0, 1)
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~inside("p_attack")).alias("odd_p"),
+        F.count_if((F.col("sig") == 1) & ((F.col("p_attack") != 0.99) | (F.col("prediction") != 1))).alias("hits_not_certain"),
+        F.count_if(~models).alias("odd_models"),
+    )
+
+
 @query("batch_report")
 def batch_report(spark, sf_dir):
     scored = _trained(spark, sf_dir).score(labelled(spark, sf_dir))

@@ -6,11 +6,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from palisade.config import (
+    BoostedTreesSettings,
     DetectorSettings,
     EnsembleSettings,
     FeatureSettings,
+    FineBinnedTreesSettings,
+    ForestSettings,
     FusionSettings,
     KernelMachineSettings,
+    LearnerSettings,
     LogisticSettings,
     SignatureSettings,
 )
@@ -19,11 +23,18 @@ from palisade.operators.ensemble import fusion_report
 from palisade.operators.features import assemble
 from palisade.operators.preprocess import Preprocessor
 from palisade.plans import detector as jobs
-from palisade.plans.queries.detecting import SHORT
 from palisade.sources import runs
 from palisade.sources.connections import write_table
 from palisade.streaming.scoring import arriving, score_arriving
 
+# Enough for the 2,000 rows of the fixture; the registered queries train with the defaults.
+SHORT = LearnerSettings(
+    boosted_trees=BoostedTreesSettings(trees=10, depth=4),
+    fine_binned_trees=FineBinnedTreesSettings(trees=10, depth=4),
+    random_forest=ForestSettings(trees=15, depth=8),
+    kernel_machine=KernelMachineSettings(fourier_features=48, folds=3, max_iterations=30),
+    logistic_regression=LogisticSettings(max_iterations=100),
+)
 SETTINGS = DetectorSettings(learners=SHORT, signatures=SignatureSettings(min_support=0.005, min_confidence=0.9))
 PAIR = ("logistic_regression", "random_forest")
 

@@ -210,3 +210,11 @@ def test_feature_stage(table):
     assert out["good"] == 0.0 and out["extra"] == "x"
     with pytest.raises(ValueError):
         features.FeatureModel().transform(table)
+
+
+def test_survivors_keep_large_whole_numbers(spark):
+    rows = [(1, 9007199254740993, "a", 0), (2, 9007199254740993, "a", 1), (3, None, "b", 0)]
+    df = spark.createDataFrame(rows, "row_id int, big bigint, name string, label int")
+    fills = cleaning.fill_values(df, ["big"], ["name"], "mean")
+    kept = {r["row_id"]: r["big"] for r in cleaning.first_of_each(df, ["big", "name"], "row_id", "label", fills).collect()}
+    assert kept == {1: 9007199254740993, 3: None}

@@ -113,3 +113,12 @@ def test_label_codes(spark, skewed):
     assert counts(back) == counts(skewed) and encoded.count() == 3000
     with pytest.raises(ValueError):
         LabelCodes("label").decode(skewed, "row_id", "name")
+
+
+def test_weights_of_very_many_classes_and_of_no_class(spark):
+    rows = [(i, f"c{i % 12_000}") for i in range(24_001)] + [(30_000, None)]
+    df = spark.createDataFrame(rows, "row_id int, label string")
+    table = {r["class"]: r["weight"] for r in sampling.class_weights(df, "label").collect()}
+    weighted = sampling.with_class_weight(df, "label").collect()
+    assert len(table) == 12_000 and len(weighted) == len(rows)
+    assert all(r["weight"] == table.get(r["label"]) for r in weighted)
