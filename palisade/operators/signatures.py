@@ -178,16 +178,21 @@ def mine_signatures(df: DataFrame, label: str, settings: SignatureSettings | Non
     )
 
 
-def rule_text(rules: DataFrame) -> DataFrame:
-    """(rank, text): one readable line per rule."""
+def rule_text(rules: DataFrame, flags: tuple[str, ...] = SignatureSettings().binary_columns) -> DataFrame:
+    """(rank, text): one readable line per rule, text values in quotes."""
     def four_digits(name: str) -> Column:
         return F.call_function("format_number", F.col(name), F.lit("0.0000"))
 
+    def clause(z: Column) -> Column:
+        quote = F.when(z["columns"].isin(list(flags)), "").otherwise("'")
+        return F.concat(z["columns"], F.lit("="), quote, z["values"], quote)
+
+    # The wording is an output format.
     return rules.select(
         "rank",
         F.format_string(
             "IF %s THEN Attack (support=%s, confidence=%s, n=%d)",
-            F.col("rule"),
+            F.array_join(F.transform(F.arrays_zip("columns", "values"), clause), " AND "),
             four_digits("support"),
             four_digits("confidence"),
             F.col("match_count"),

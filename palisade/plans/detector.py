@@ -249,12 +249,17 @@ def load_detector(spark: SparkSession, path: str) -> Detector:
 
 
 def list_artifacts(spark: SparkSession, path: str) -> DataFrame:
-    """(artifact) names of a saved detector."""
-    manifest = _read_json(spark, f"{path.rstrip('/')}/manifest")
-    names = ["preprocess", "features", *[f"learners/{m}" for m in manifest["learners"]], "threshold"]
-    if manifest["signatures"]:
-        names += ["signatures", "rules"]
-    return spark.createDataFrame([(n,) for n in names], "artifact string")
+    """(artifact) names of what is stored of a detector."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def below(name: str) -> list[str]:
+        inside = jvm.org.apache.hadoop.fs.Path(folder, name) if name else folder
+        return [f"{name}/{s.getPath().getName()}".lstrip("/") for s in fs.listStatus(inside) if s.isDirectory()]
+
+    names = [n for top in below("") for n in (below(top) if top == "learners" else [top])]
+    return spark.createDataFrame([(n,) for n in sorted(names)], "artifact string")
 
 
 def score_table(spark: SparkSession, path: str, df: DataFrame, threshold: float | None = None) -> DataFrame:

@@ -106,7 +106,8 @@ def document_signature_rules(spark, sf_dir):
 @query(
     "signature_texts",
     f"""{WITH_BIN}, {_rules_ctes('bin', 'label', _CATEGORICAL, ['land'], _DEFAULT)}
-    SELECT rank, 'IF ' || rule || ' THEN Attack (support=' || printf('%.4f', support) || ', confidence='
+    SELECT rank, 'IF ' || CASE WHEN a = 'land' THEN 'land=1' WHEN b IS NULL THEN a || '=''' || first || chr(39)
+      ELSE a || '=''' || first || ''' AND ' || b || '=''' || second || chr(39) END || ' THEN Attack (support=' || printf('%.4f', support) || ', confidence='
       || printf('%.4f', confidence) || ', n=' || n || ')' AS text FROM rules""",
 )
 def signature_texts(spark, sf_dir):
@@ -709,7 +710,10 @@ def arriving_files_scored(spark, sf_dir):
     return _differing(detector.score(df), spark.read.parquet(output))
 
 
-@query("artifact_list")
+_PARTS = ["features", *[f"learners/{m}" for m in learners.FITTERS], "manifest", "preprocess", "rules", "signatures", "threshold"]
+
+
+@query("artifact_list", "SELECT * FROM (VALUES " + ", ".join(f"('{p}')" for p in _PARTS) + ") AS parts(artifact)")
 def artifact_list(spark, sf_dir):
     path = scratch_path(spark, "detector")
     jobs.save_detector(_trained(spark, sf_dir), spark, path)

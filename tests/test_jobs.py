@@ -227,7 +227,8 @@ def test_saved_detector_scores_the_same(spark, run, traffic, tmp_path):
     assert jobs.stored_threshold(spark, path) == run.detector.threshold
     assert jobs.stored_threshold(spark, str(tmp_path / "nothing")) == 0.5
     listed = {r[0] for r in jobs.list_artifacts(spark, path).collect()}
-    assert {"learners/random_forest", "rules", "threshold"} <= listed
+    parts = {"features", "manifest", "preprocess", "rules", "signatures", "threshold"}
+    assert listed == parts | {f"learners/{m}" for m in PAIR}
     assert spark.read.parquet(f"{path}/rules").count() == run.detector.signatures.rule_count
     lines = dict(jobs.load_detector(spark, path).summary(spark).collect())
     assert lines["models"] == "2"
