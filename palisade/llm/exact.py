@@ -100,13 +100,15 @@ def name_texts(
                 F.get("names", 2 * i).alias("a"), F.coalesce(F.get("names", 2 * i + 1), F.lit(-1)).alias("b"),
             ))).alias("pos", "pair"),
         ).select("row", "doc", "pos", "pair.a", "pair.b")
-        numbered = (
+        numbered = workspace.write(  # a written side lets Spark split a hot pair in the join
             pairs.select("a", "b").distinct().sortWithinPartitions("a", "b")
-            .select("a", "b", F.monotonically_increasing_id().alias("name"))
+            .select("a", "b", F.monotonically_increasing_id().alias("name")),
+            f"pair-names-{depth}",
         )
         level = workspace.write(
             _joined_names(pairs.join(numbered, ["a", "b"])).select("row", "doc.*", "names"), f"level-{depth}"
         )
+        workspace.remove(numbered)
         done = done.unionByName(level.filter(F.size("names") == 1))
     return done.select(*kept, F.get("names", F.lit(0)).alias("name"))
 
@@ -117,8 +119,11 @@ def exact_duplicates(docs: DataFrame, workspace: Workspace, **settings) -> DataF
     A null doc_id is smaller than any other.  Of repeated rows with one doc_id, one stays.
     """
     named = name_texts(docs, workspace, **settings)
-    groups = named.groupBy("n_blocks", "name").agg(
-        F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row")).alias("keep")
+    groups = workspace.write(  # a written side lets Spark split a hot group in the join
+        named.groupBy("n_blocks", "name").agg(
+            F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row")).alias("keep")
+        ),
+        "groups",
     )
     return named.join(groups, ["n_blocks", "name"]).select(
         "doc_id",
