@@ -1,7 +1,7 @@
 """Scoring texts with a hidden Markov language model.
 
-Tokens are the words of a text and one end.  The most frequent ``HEAD`` training words are symbols of
-their own, all others share one symbol and are told apart by their smoothed share of the rest; the end
+Tokens are the words of a text and one end.  Of the training words, the most frequent (``HEAD`` at most,
+words of equal count together) are symbols of their own, all others share one symbol and are told apart by their smoothed share of the rest; the end
 is a symbol too.  Baum-Welch trains the latent states: tasks run forward and backward over their
 documents and emit expected counts per symbol, which Spark adds up; the driver only sees sums, of a
 size fixed by the number of states and symbols.  ``WARM_ROUNDS`` rounds over one fold of the documents
@@ -288,7 +288,16 @@ def _score(encoded: DataFrame, model: HiddenMarkov) -> DataFrame:
 def read_vocabulary(train: DataFrame, counted: DataFrame, head: int = HEAD) -> Vocabulary:
     totals = counted.agg(F.count(F.lit(1)).alias("different"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
     ends = train.count()
-    top = counted.orderBy(F.desc("n"), "word").limit(head).collect()
+    # The least count of a frequent word, by steps of a 256th of a power of two: a few thousand numbers.
+    step = F.floor(F.log2("n") * 256).alias("step")
+    room, least = head, None
+    for row in sorted(counted.groupBy(step).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("n")).collect(), key=lambda r: -r.step):
+        room -= row.words
+        if room < 0:
+            break
+        least = row.n
+    top = counted.filter(F.lit(False) if least is None else F.col("n") >= least).collect()
+    top.sort(key=lambda r: (-r.n, bytes(r.word)))
     counts = np.array([r.n for r in top], np.int64)
     return Vocabulary({bytes(r.word): i for i, r in enumerate(top)}, counts, totals.tokens + ends, totals.different, ends)
 
