@@ -20,6 +20,7 @@ in at least one of 24 with 1 - 3e-9; the sketches refuse 3 pairs in 100,000.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ FIRST_TREES = 8
 REACH = 16
 SIMILAR = 75  # percent
 NIBBLE = 4
+SLICES = 4
 DOUBTFUL = 0.62
 _CHUNK = 1 << 20
 _EQUAL = np.array([(x >> 4 == 0) + (x & 15 == 0) for x in range(256)], np.uint8)  # nibbles of a xor that agree
@@ -249,10 +251,14 @@ def near_duplicates(docs: DataFrame, workspace: Workspace) -> DataFrame:
     heads = workspace.write(heads.join(met, F.col("doc_key") == F.col("of"), "left_semi"), "heads")
     narrow = workspace.write(sketch.drop("signature"), "rows")
     workspace.remove(sketch)
-    sets = workspace.write(
-        keyed.select("doc_key", "text").join(met, F.col("doc_key") == F.col("of"), "left_semi").mapInArrow(_sets, "doc_key bigint, shingles binary"),
-        "sets",
-    )
+    # Texts meet the documents that go on in slices, so that only a part of them lies in a shuffle at a time.
+    slice_of = F.pmod(F.xxhash64(F.lit(SLICES), "doc_key"), F.lit(SLICES))
+    parts = []
+    for i in range(SLICES):
+        texts = keyed.select("doc_key", "text").filter(slice_of == i)
+        wanted = met.withColumnRenamed("of", "doc_key").filter(slice_of == i)
+        parts.append(workspace.write(texts.join(wanted, "doc_key", "left_semi").mapInArrow(_sets, "doc_key bigint, shingles binary"), "sets"))
+    sets = reduce(DataFrame.unionByName, parts)
 
     rows = _rows_of_trees(heads).filter(F.col("tree") < FIRST_TREES)
     first = workspace.write(forest_neighbours(rows, workspace, reach=1), "pairs-1")
@@ -265,7 +271,8 @@ def near_duplicates(docs: DataFrame, workspace: Workspace) -> DataFrame:
     more = workspace.write(_confirmed(second, sets), "links-2")
     stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     found = components(stars.unionByName(more), workspace)
-    workspace.remove(sets)
+    for part in parts:
+        workspace.remove(part)
 
     reached = workspace.write(
         classes.join(found, F.col("class") == F.col("node"), "left").select(*same, F.coalesce("component", "class").alias("component_key")),
