@@ -293,5 +293,6 @@ def keep_one_of_each(docs: DataFrame, workspace: Workspace) -> DataFrame:
     """The rows of ``docs``, one of each component: the one of the smallest doc_id."""
     packed = with_key(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")), workspace, extra=("row",))
     found = near_duplicates(packed.select(F.col("doc_key").alias("doc_id"), "text"), workspace)
-    kept = workspace.write(found.filter("doc_key = component_key").select(F.col("doc_key").alias("of")), "kept")
-    return packed.join(kept, F.col("doc_key") == F.col("of"), "left_semi").select("row.*")
+    # The dropped ones are the fewer, so that Spark may look them up without shuffling the texts.
+    dropped = workspace.write(found.filter("doc_key <> component_key").select(F.col("doc_key").alias("of")), "dropped")
+    return packed.join(dropped, F.col("doc_key") == F.col("of"), "left_anti").select("row.*")
