@@ -37,7 +37,7 @@ from palisade.llm.tables import Workspace, slices, with_key
 
 LENGTH = 100
 GRAM = 24
-HEAVY = 1000
+HEAVY = 8000  # of at most 176 bytes: 1.4 MB of suffixes, about 150 MB of arrays in a task
 PLACE_BITS = 28  # of a byte in its document; a key of 35 bits stands above
 _CHUNK = 1 << 20
 _BATCH_BYTES = 1 << 19
