@@ -16,6 +16,8 @@ from palisade.session import scratch_path
 
 #: Shuffle files of a finished write are of no more use; the settings of both generations of the name.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Batches for Python workers, where the session does not say otherwise: long texts make large rows.
+_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 KEY_BITS = 35
 _live: weakref.WeakSet[Workspace] = weakref.WeakSet()
 
@@ -31,6 +33,8 @@ class Workspace:
         self.spark = spark
         self.root = scratch_path(spark, name)
         self._count = 0
+        if spark.conf.get(_BATCH[0], None) is None:
+            spark.conf.set(*_BATCH)
         _live.add(self)
 
     def path(self, name: str) -> str:

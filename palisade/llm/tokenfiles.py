@@ -13,15 +13,19 @@ A task writes files of a name of its own and reports them; only those of success
 manifest table, so lost executors and repeated tasks do no harm.
 
 Encoding is byte-level BPE with a split before every single space between two other characters, where
-the tokenizer splits too.  Pieces repeat, so each worker keeps the ids of pieces it has met (at most
-``CACHE_PIECES``); new ones are encoded by the tokenizer in batches.
+the tokenizer splits too.  Pieces repeat, so each worker keeps the ids of the first ``CACHE_PIECES`` it
+meets; others are encoded by the tokenizer in batches.
 """
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,18 +40,27 @@ from palisade.llm.tables import Workspace, slices
 END_ID = 2
 SEQUENCE = 1024
 BATCH_SEQUENCES = 64
-CACHE_PIECES = 300_000
+CACHE_PIECES = 600_000
 ENCODE_BYTES = 1 << 20
 
 
+#: A piece begins with a single space or line break, or with the text, and goes on to the next space or
+#: break that stands alone. The tokenizer cuts there too; it looks at other white space as runs, which
+#: stay inside a piece.
+_PIECE = re.compile(r"(?:\A\s*|[ \n])\S+(?:(?:\s{2,}|[^\S \n])\S+)*(?:\s+\Z)?|\A\s+\Z")
+#: A word with one mark after it, or a line break and a word: the tokenizer cuts these in two as well.
+_MARKED = re.compile(r"( ?[^\W\d_]+)([.,;:!?])|(\n)([^\W\d_]+[.,;:!?]?)")
+
+
 class PieceEncoder:
     """Ids of whole texts, equal to the tokenizer's own, from ids of pieces.
 
-    ``split`` tells whether the tokenizer cuts texts at single spaces; only byte-level BPE with its
-    usual pattern does, other tokenizers encode each text as it is.
+    Only byte-level BPE with its usual pattern cuts texts at single spaces; for other tokenizers each
+    text is encoded as it is.
     """
 
     def __init__(self, path: str, *, cache_pieces: int = CACHE_PIECES):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -59,45 +72,36 @@ class PieceEncoder:
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.kind).tobytes() for x in found]
+        return [array(self.kind.char, x.ids).tobytes() for x in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``kind``."""
         if not self.split:
             return self._ids(texts)
-        if len(self.cache) > self.cache_pieces:
-            self.cache.clear()
-        pieces = [_pieces(t) for t in texts]
-        cache = self.cache
-        new = list({p for found in pieces for p in found if p not in cache})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            cache.update(zip(part, self._ids(part), strict=True))
-        return [b"".join(map(cache.__getitem__, found)) for found in pieces]
-
-
-def _pieces(text: str) -> list[str]:
-    """Cut before spaces that stand alone; with a line break alone on either side, around it too.
-
-    A piece that would begin or end with white space (a space beside other white space) stays joined
-    to its neighbours, since the tokenizer looks at runs of white space as a whole.
-    """
-    out: list[str] = []
-    words = text.replace("\n", " \n").split(" ")
-    for i, word in enumerate(words):
-        if i == 0:
-            piece = word
-        elif word[:1] == "\n":
-            piece = word  # the space before it was put there by us
-        else:
-            piece = " " + word
-        # A cut is right where the text before ends, and the piece after its first character goes on,
-        # with something else than white space; the first character is then a run of its own.
-        if out and (out[-1][-1:].isspace() or not out[-1] or len(piece) < 2 or piece[1].isspace()):
-            out[-1] += piece
-        else:
-            out.append(piece)
-    return out
+        pieces = [_PIECE.findall(t) for t in texts]
+        known = self.cache.get
+        rows = [list(map(known, p)) for p in pieces]
+        new = {p for names, ids in zip(pieces, rows, strict=True) for p, x in zip(names, ids, strict=True) if x is None}
+        if not new:
+            return list(map(b"".join, rows))
+        halves = {p: tuple(filter(None, m.groups())) for p in new if (m := _MARKED.fullmatch(p))}
+        whole = sorted((new - halves.keys()).union(*halves.values()).difference(self.cache))
+        found: dict[str, bytes] = {}
+        for at in range(0, len(whole), 4096):
+            part = whole[at : at + 4096]
+            found.update(zip(part, self._ids(part), strict=True))
+        found.update({p: b"".join(known(x) or found[x] for x in parts) for p, parts in halves.items()})
+        if len(self.cache) < self.cache_pieces:  # frequent pieces come early; what is met later is met rarely
+            self.cache.update(found)
+        return [
+            b"".join([found[p] if x is None else x for p, x in zip(names, ids, strict=True)]) for names, ids in zip(pieces, rows, strict=True)
+        ]
+
+
+@lru_cache(maxsize=2)
+def shared_encoder(path: str) -> PieceEncoder:
+    """One encoder for all tasks of a worker, so that they share its pieces."""
+    return PieceEncoder(path)
 
 
 class ShardWriter:
@@ -181,7 +185,7 @@ class ShardReader:
 
 def write_token_files(
     docs: DataFrame, workspace: Workspace, path: str, *, end_id: int = END_ID, length: int = SEQUENCE,
-    batch_sequences: int = BATCH_SEQUENCES, encoder: Callable[[str], PieceEncoder] = PieceEncoder,
+    batch_sequences: int = BATCH_SEQUENCES, encoder: Callable[[str], PieceEncoder] = shared_encoder,
 ) -> DataFrame:
     """Write every whole text, ``end_id`` after each, in ascending doc_id order; returns the manifest.
 
@@ -190,10 +194,10 @@ def write_token_files(
     An empty table writes no file.
     """
     folder = workspace.path("tokens")
-    if "://" not in folder:
-        folder = folder if folder.startswith("file:") else f"file://{folder}"
-    elif folder.startswith("file:/") and not folder.startswith("file:///"):
-        folder = "file://" + folder.removeprefix("file:")
+    if folder.startswith("file:"):
+        folder = "file:///" + folder.removeprefix("file:").lstrip("/")
+    elif "://" not in folder:
+        folder = f"file://{folder}"
 
     def encode(batches):
         writer, coder = None, None
