@@ -13,6 +13,12 @@ component would not change it, so no group is expanded into pairs.  Pairs whose
 are left out, and pairs whose sketches (``NIBBLE`` bits of every MinHash value) put their similarity below
 ``DOUBTFUL``, four standard errors under 0.75.
 
+A document that shares a shortest prefix with more than ``REACH`` others in an order is crowded: the
+neighbours it is compared with need not be the similar ones.  Among the crowded documents all links between
+different components are found exactly, by a prefix-filter join: with the shingles of every set ordered
+from rare to frequent, two similar sets have a first common shingle so early that the rest of each can hold
+the needed overlap.  Postings of a frequent shingle are dealt to pairs of blocks, so no task has all of them.
+
 At a similarity of 0.75 two documents share a prefix of two in an order with a probability of 0.5625, and
 in at least one of 24 with 1 - 3e-9; the sketches refuse 3 pairs in 100,000.
 """
@@ -39,6 +45,8 @@ SIMILAR = 75  # percent
 NIBBLE = 4
 SLICES = 4
 DOUBTFUL = 0.62
+BUCKETS = 1 << 18  # of shingle hashes, for counts that only order shingles and size blocks
+BLOCK = 1000  # postings
 _CHUNK = 1 << 20
 _EQUAL = np.array([(x >> 4 == 0) + (x & 15 == 0) for x in range(256)], np.uint8)  # nibbles of a xor that agree
 _SEEDS = np.random.default_rng(41).integers(1, 1 << 63, (2, TREES * DEPTH), dtype=np.uint64)
@@ -131,10 +139,11 @@ def _rows_of_trees(heads: DataFrame) -> DataFrame:
     return heads.select("doc_key", "n_shingles", "component", "signature").mapInArrow(rows, _ROW)
 
 
-def _neighbours(rows: pa.Table, reach: int) -> pa.RecordBatch:
+def _neighbours(rows: pa.Table, reach: int, crowds: bool = False) -> pa.RecordBatch:
     """Pairs of sorted rows at most ``reach`` apart with a common prefix.
 
-    Where rows have sketches, only pairs of different components that may be similar.
+    Where rows have sketches, only pairs of different components that may be similar.  With ``crowds``
+    also each row of a longer run of one prefix, as a pair with itself.
     """
     n = rows.num_rows
     place = rows.column("place").to_pylist()
@@ -158,17 +167,27 @@ def _neighbours(rows: pa.Table, reach: int) -> pa.RecordBatch:
             chance = 1 / (1 << NIBBLE)
             i = i[(share - chance) / (1 - chance) >= DOUBTFUL]
         out.append(np.stack([np.minimum(key[i], key[i + j]), np.maximum(key[i], key[i + j])]))
+    if crowds and n > reach + 1:
+        i = np.flatnonzero((prefix[reach + 1 :] == prefix[: -reach - 1]).all(axis=1))
+        runs = np.zeros(n + 1, np.int64)
+        runs[i] += 1
+        runs[i + reach + 2] -= 1
+        crowded = np.unique(key[np.cumsum(runs[:-1]) > 0])
+        out.append(np.stack([crowded, crowded]))
     found = np.concatenate(out, axis=1)
     return pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], ["a", "b"])
 
 
-def forest_neighbours(rows: DataFrame, workspace: Workspace, *, reach: int) -> DataFrame:
+def forest_neighbours(rows: DataFrame, workspace: Workspace, *, reach: int, crowds: bool = False) -> DataFrame:
     """Different pairs ``a, b`` of neighbours in all orders, of which rows are given.
 
+    With ``crowds`` also ``a, a`` of every row in a run of one prefix longer than the neighbours reach.
+
     Orders are range-partitioned, so a region of any size is spread out.  Each task also reports the
     rows at its two ends; these few are sorted again by tree, which pairs neighbours across tasks.
     """
     order = ["tree", "place", "doc_key"]
+    hold = reach + crowds
     kind = f"{_PAIR}, edge struct<{', '.join(f.replace(' ', ': ', 1) for f in _ROW.split(', '))}>"
     types = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
     fields = [pa.field(name, types[t]) for name, t in (f.split() for f in _ROW.split(", "))]
@@ -185,11 +204,11 @@ def forest_neighbours(rows: DataFrame, workspace: Workspace, *, reach: int) -> D
         for batch in batches:
             now = pa.Table.from_batches([batch])
             if kept is None:
-                yield pack(_neighbours(now.slice(0, 0), reach), now.slice(0, reach))
+                yield pack(_neighbours(now.slice(0, 0), reach), now.slice(0, hold))
             else:  # the last rows of the batch before, of which pairs among themselves come twice
                 now = pa.concat_tables([kept, now])
-            yield pack(_neighbours(now, reach), now.slice(0, 0))
-            kept = now.slice(max(0, now.num_rows - reach)).combine_chunks()
+            yield pack(_neighbours(now, reach, crowds), now.slice(0, 0))
+            kept = now.slice(max(0, now.num_rows - hold)).combine_chunks()
         if kept is not None:
             yield pack(_neighbours(kept.slice(0, 0), reach), kept)
 
@@ -197,7 +216,7 @@ def forest_neighbours(rows: DataFrame, workspace: Workspace, *, reach: int) -> D
     edges = found.filter("edge IS NOT NULL").select("edge.*").distinct()
 
     def join(table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([_neighbours(table.sort_by([(c, "ascending") for c in order]), reach)])
+        return pa.Table.from_batches([_neighbours(table.sort_by([(c, "ascending") for c in order]), reach, crowds)])
 
     across = workspace.write(edges.groupBy("tree").applyInArrow(join, _PAIR), "across")
     return found.filter("edge IS NULL").drop("edge").unionByName(across).distinct()
@@ -225,6 +244,122 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").select("a", "b", "set_of_a", "set_of_b").mapInArrow(confirm, "a bigint, b bigint")
 
 
+def _bucket(x: np.ndarray) -> np.ndarray:
+    return (mix(x) & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
+def _postings(sets: list[bytes], often: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Shingles that may be the first one common with a similar set, the set of each, its size, and how many
+    shingles of the set begin there; in one order of all shingles, the rare ones first."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets)) // 8
+    x = np.frombuffer(b"".join(sets), np.uint64)
+    of = np.repeat(np.arange(len(sets)), sizes)
+    times = often[_bucket(x)]
+    order = np.lexsort((x, times, of))
+    x, times, size = x[order], times[order], sizes[of]
+    left = size - (np.arange(len(x)) - (np.cumsum(sizes) - sizes)[of])
+    smallest = -(-SIMILAR * size // 100)  # a similar set has as many shingles at least
+    keep = ((100 + SIMILAR) * left >= SIMILAR * (size + smallest)) & (times > 1)
+    return x[keep], of[keep], size[keep], left[keep]
+
+
+def _joined(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Pairs within the groups of sorted rows that may be similar by their first common shingle."""
+    shingle, one, other, own, key, component, size, left = (c.to_numpy() for c in rows.columns)
+    new = (shingle[1:] != shingle[:-1]) | (one[1:] != one[:-1]) | (other[1:] != other[:-1])
+    starts = np.concatenate([[0], np.flatnonzero(new) + 1, [len(shingle)]])
+    end = np.repeat(starts[1:], np.diff(starts))
+    i, j, out, held = np.arange(len(shingle)), 1, [], 0
+    while len(i := i[i + j < end[i]]):
+        k = i + j
+        good = (component[i] != component[k]) & ((one[i] == other[i]) | (own[i] != own[k]))
+        good &= (100 + SIMILAR) * np.minimum(left[i], left[k]) >= SIMILAR * (size[i] + size[k])
+        a, b = key[i[good]], key[k[good]]
+        out.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+        held += len(a)
+        if held > _CHUNK:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(out, axis=1)], ["a", "b"])
+            out, held = [], 0
+        j += 1
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(out, axis=1)], ["a", "b"])
+
+
+def crowded_pairs(crowd: DataFrame, workspace: Workspace, *, block: int = BLOCK) -> DataFrame:
+    """Pairs ``a, b`` of ``doc_key, component, shingles`` that hold every similar pair of different components.
+
+    The driver gets numbers per bucket, and a bucket that several shingles share only costs time.
+    """
+    spark = crowd.sparkSession
+
+    def count(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            found, n = np.unique(_bucket(np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.uint64)), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["bucket", "n"])
+
+    counted = crowd.select("shingles").mapInArrow(count, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(BUCKETS, np.int64)
+    often[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
+    often = spark.sparkContext.broadcast(often)
+
+    def survey(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            x, of, size, left = _postings(batch.column("shingles").to_pylist(), often.value)
+            found = _bucket(x)
+            order = np.argsort(found, kind="stable")
+            found, component = found[order], batch.column("component").to_numpy()[of[order]]
+            short = ((100 + SIMILAR) * left >= 2 * SIMILAR * size)[order]  # may be the smaller set of a pair
+            first = np.flatnonzero(np.diff(found, prepend=-1))
+            if len(first):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found[first]), pa.array(np.diff(first, append=len(found))), pa.array(np.add.reduceat(short.astype(np.int64), first)),
+                     pa.array(np.minimum.reduceat(component, first)), pa.array(np.maximum.reduceat(component, first))],
+                    ["bucket", "n", "short", "low", "high"],
+                )
+
+    surveyed = crowd.mapInArrow(survey, "bucket bigint, n bigint, short bigint, low bigint, high bigint").groupBy("bucket")
+    surveyed = surveyed.agg(F.sum("n").alias("n"), F.sum("short").alias("short"), F.min("low").alias("low"), F.max("high").alias("high"))
+    surveyed = surveyed.filter("short > 0 AND low < high").select("bucket", "n").toArrow()
+    blocks = np.zeros(BUCKETS, np.int64)  # none where no pair can be
+    blocks[surveyed["bucket"].to_numpy()] = -(-surveyed["n"].to_numpy() // block)
+    blocks = spark.sparkContext.broadcast(blocks)
+    names = ["shingle", "one", "other", "own", "doc_key", "component", "size", "remaining"]
+
+    def deal(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            x, of, size, left = _postings(batch.column("shingles").to_pylist(), often.value)
+            n = blocks.value[_bucket(x)]
+            keys, components_ = (batch.column(c).to_numpy()[of] for c in ("doc_key", "component"))
+            own = (mix(keys.astype(np.uint64)) % np.maximum(n, 1).astype(np.uint64)).astype(np.int64)
+            ends = np.cumsum(n)
+            at = 0
+            while at < len(n):  # a posting meets every block, so it comes as often
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _CHUNK, "right")))
+                times = n[at:to]
+                row = np.repeat(np.arange(at, to), times)
+                block_ = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in (x[row].view(np.int64), np.minimum(own[row], block_), np.maximum(own[row], block_), own[row],
+                                           keys[row], components_[row], size[row], left[row])], names)
+                at = to
+
+    def join(batches: Iterator[pa.RecordBatch]):
+        kept = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            now = (pa.concat_tables([kept, now]) if kept is not None else now).combine_chunks()
+            last = [now.column(c).to_numpy() for c in names[:3]]
+            open_ = np.logical_and.reduce([c == c[-1] for c in last]) if now.num_rows else np.empty(0, bool)
+            cut = now.num_rows - int(open_.sum())  # the last group may go on
+            kept = now.slice(cut)
+            yield from _joined(now.slice(0, cut))
+        if kept is not None:
+            yield from _joined(kept)
+
+    dealt = crowd.mapInArrow(deal, ", ".join(f"{c} bigint" for c in names))
+    return dealt.repartition(*names[:3]).sortWithinPartitions(*names[:3]).mapInArrow(join, _PAIR).distinct()
+
+
 def near_duplicates(docs: DataFrame, workspace: Workspace) -> DataFrame:
     """``doc_key, doc_id, n_shingles, component_id, component_key`` of every document row.
 
@@ -265,12 +400,21 @@ def near_duplicates(docs: DataFrame, workspace: Workspace) -> DataFrame:
     found = components(workspace.write(_confirmed(first, sets), "links-1"), workspace)
 
     joined = heads.drop("component").join(found, F.col("doc_key") == F.col("node"), "left").withColumn("component", F.coalesce("component", "doc_key"))
-    wide = forest_neighbours(_rows_of_trees(joined), workspace, reach=REACH)
+    wide = forest_neighbours(_rows_of_trees(joined), workspace, reach=REACH, crowds=True)
+    crowded = workspace.write(wide.filter("a = b").select(F.col("a").alias("doc_key")), "crowded")
     # What the first round has refused is refused again.
-    second = workspace.write(wide.join(first, ["a", "b"], "left_anti"), "pairs-2")
+    second = workspace.write(wide.filter("a < b").join(first, ["a", "b"], "left_anti"), "pairs-2")
     more = workspace.write(_confirmed(second, sets), "links-2")
     stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     found = components(stars.unionByName(more), workspace)
+    if not crowded.isEmpty():
+        crowd = crowded.join(found, F.col("doc_key") == F.col("node"), "left").select("doc_key", F.coalesce("component", "doc_key").alias("component"))
+        crowd = workspace.write(sets.join(crowd, "doc_key"), "crowd")
+        third = workspace.write(crowded_pairs(crowd, workspace), "pairs-3")
+        rest = workspace.write(_confirmed(third, crowd.select("doc_key", "shingles")), "links-3")
+        workspace.remove(crowd)
+        stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = components(stars.unionByName(rest), workspace)
     for part in parts:
         workspace.remove(part)
 

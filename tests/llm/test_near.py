@@ -2,10 +2,12 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
+import palisade.llm.near as near
 from palisade.llm.graph import components
-from palisade.llm.near import near_digest
+from palisade.llm.near import crowded_pairs, near_digest
 from palisade.llm.tables import Workspace
 from tests.conftest import TEST_DATA
 
@@ -76,6 +78,40 @@ def test_few_rows(spark, rows):
     assert run(spark, rows) == brute(rows)
 
 
+def crowd(n, pairs, seed):
+    """Texts of one template that are not similar, the first ones each with a similar one."""
+    draw = random.Random(seed)
+    base = [f"w{i}" for i in range(120)]
+
+    def own(words, part):
+        return words[: 120 - part] + [f"o{draw.randrange(10**9)}" for _ in range(part)]
+
+    texts = [own(base, draw.randrange(31, 34)) for _ in range(n)]
+    texts += [" ".join(own(t, 12)).split() for t in texts[:pairs]]
+    keys = draw.sample(range(10**6), len(texts))
+    return [(k, " ".join(t)) for k, t in zip(keys, texts, strict=True)]
+
+
+def test_crowded_template(spark, monkeypatch):
+    rows = crowd(300, 60, 5)
+    monkeypatch.setattr(near, "REACH", 2)
+    want = brute(rows)
+    assert sum(not kept for *_, kept in want) == 60
+    assert run(spark, rows) == want
+
+
+def test_blocks_hold_every_similar_pair(spark):
+    rows = sorted(crowd(150, 40, 6) + copies(60, 150, 2, 1, 2 * 10**6))
+    x, first = near.shingle_sets([t.encode() for _, t in rows])
+    sets = [set(x[a:b].tolist()) for a, b in zip(first, first[1:], strict=False)]
+    want = {(rows[i][0], rows[j][0]) for j in range(len(sets)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    table = [(k, k, bytearray(np.sort(x[first[i] : first[i + 1]]).tobytes())) for i, (k, _) in enumerate(rows)]
+    docs = spark.createDataFrame(table, "doc_key bigint, component bigint, shingles binary")
+    for block in (7, 1000):
+        got = {tuple(r) for r in crowded_pairs(docs, Workspace(spark, "test"), block=block).collect()}
+        assert got >= want and len(want) > 100
+
+
 def test_components(spark, monkeypatch):
     import palisade.llm.graph as graph
 
