@@ -11,7 +11,7 @@ neighbours in ``FIRST_TREES`` orders, which join most of every group, however la
 to ``REACH`` places apart in all orders, of documents that are not in one component yet.  Links inside a
 component would not change it, so no group is expanded into pairs.  Pairs whose sizes cannot be similar
 are left out, and pairs whose sketches (``NIBBLE`` bits of every MinHash value) put their similarity below
-``DOUBTFUL``, four standard errors under 0.75.
+``DOUBTFUL``, six standard errors under 0.75.
 
 A document that shares a shortest prefix with more than ``REACH`` others in an order is crowded: the
 neighbours it is compared with need not be the similar ones.  Among the crowded documents all links between
@@ -20,7 +20,7 @@ from rare to frequent, two similar sets have a first common shingle so early tha
 the needed overlap.  Postings of a frequent shingle are dealt to pairs of blocks, so no task has all of them.
 
 At a similarity of 0.75 two documents share a prefix of two in an order with a probability of 0.5625, and
-in at least one of 24 with 1 - 3e-9; the sketches refuse 3 pairs in 100,000.
+in at least one of 24 with 1 - 3e-9; the sketches refuse 3 pairs in 1,000,000,000.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ REACH = 16
 SIMILAR = 75  # percent
 NIBBLE = 4
 SLICES = 4
-DOUBTFUL = 0.62
+DOUBTFUL = 0.549
 BUCKETS = 1 << 18  # of shingle hashes, for counts that only order shingles and size blocks
 BLOCK = 1000  # postings
 _CHUNK = 1 << 20

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from collections import defaultdict
@@ -112,6 +113,13 @@ def test_blocks_hold_every_similar_pair(spark):
         assert got >= want and len(want) > 100
 
 
+def test_sketches_lose_no_more_than_the_forest():
+    n, chance = near.TREES * near.DEPTH, 1 / (1 << near.NIBBLE)
+    p = 0.75 + 0.25 * chance
+    refused = [k for k in range(n + 1) if (k / n - chance) / (1 - chance) < near.DOUBTFUL]
+    assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in refused) < 3e-9
+
+
 def test_components(spark, monkeypatch):
     import palisade.llm.graph as graph
 
