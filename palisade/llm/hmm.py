@@ -1,9 +1,10 @@
 """Scoring texts with a hidden Markov language model.
 
-Tokens are the words of a text and one end.  Of the training words, the most frequent (``HEAD`` at most,
-words of equal count together) are symbols of their own, all others share one symbol and are told apart by their smoothed share of the rest; the end
-is a symbol too.  Baum-Welch trains the latent states: tasks run forward and backward over their
-documents and emit expected counts per symbol, which Spark adds up; the driver only sees sums, of a
+Tokens are the words of a text and one end.  Every training word has emissions of its own, and so have the
+end and an unseen word.  Those of the most frequent words (``HEAD`` at most, words of equal count together)
+are an array; those of all others are a table, which each round joins with the words of each document and
+writes anew from the expected counts.  Where to cut between the two changes no result.  Baum-Welch trains the latent states: tasks run forward and backward over their
+documents and emit expected counts per word, which Spark adds up; the driver only sees sums, of a
 size fixed by the number of states and symbols.  ``WARM_ROUNDS`` rounds over one fold of the documents
 each bring the states near (each fold once), ``FULL_ROUNDS`` rounds count over all training documents.
 
@@ -18,13 +19,15 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palisade.llm.bytewords import mix
 from palisade.llm.langid import fold_of
 from palisade.llm.tables import Workspace, slices
 
@@ -80,6 +83,20 @@ class Vocabulary:
         share = np.concatenate([self.counts, [self.rare_tokens, self.n_ends]]) + SMOOTHING
         return share / share.sum()
 
+    def shares(self) -> tuple[np.ndarray, float]:
+        """Smoothed shares where every word has one: of the symbols, 'rare' being an unseen word, and of a count of one."""
+        share = np.concatenate([self.counts, [0, self.n_ends]]) + SMOOTHING
+        total = share.sum() + self.rare_tokens + SMOOTHING * (self.n_words - len(self.words))
+        return share / total, 1 / total
+
+
+def spread(words: list[bytes], states: int, seed: int) -> np.ndarray:
+    """Positive random factors, words x states, that depend on the word alone."""
+    names = np.array([int.from_bytes(blake2b(w, digest_size=8).digest(), "little") for w in words], np.uint64)
+    draws = [(mix(names ^ np.random.default_rng([seed, i]).integers(1 << 63, dtype=np.uint64)) >> np.uint64(11)) / 2.0**53 for i in range(2 * states)]
+    normal = [np.sqrt(-2 * np.log1p(-u)) * np.cos(2 * np.pi * v) for u, v in zip(draws[::2], draws[1::2], strict=True)]
+    return np.exp(0.7 * np.stack(normal, axis=1))
+
 
 @dataclass
 class HiddenMarkov:
@@ -87,13 +104,17 @@ class HiddenMarkov:
     later: np.ndarray  # of segments that are not the first of a text, for training only
     move: np.ndarray
     emit: np.ndarray  # symbols x states
+    total: np.ndarray  # by which the numbers of the table of other words are divided
 
     @classmethod
-    def random(cls, vocabulary: Vocabulary, states: int = STATES, seed: int = SEED) -> HiddenMarkov:
+    def random(cls, vocabulary: Vocabulary, states: int = STATES, seed: int = SEED, others: np.ndarray | None = None) -> HiddenMarkov:
+        """``others``: what the words beside the symbols add up to in each state."""
         draw = np.random.default_rng(seed)
-        emit = vocabulary.unigrams()[:, None] * np.exp(0.7 * draw.normal(size=(vocabulary.size, states)))
+        share = vocabulary.unigrams() if others is None else vocabulary.shares()[0]
+        emit = share[:, None] * spread([*vocabulary.words, b" rare", b" end"], states, seed)
+        total = emit.sum(axis=0) + (0 if others is None else others)
         even = np.full(states, 1 / states)
-        return cls(even, even, draw.dirichlet(np.full(states, 2.0), states), emit / emit.sum(axis=0))
+        return cls(even, even, draw.dirichlet(np.full(states, 2.0), states), emit / total, total)
 
     def log10_likelihood(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Of each of several sequences that lie one after the other (each has one symbol at least)."""
@@ -149,12 +170,14 @@ class HiddenMarkov:
         counts[v + states + 1] += heads[~first].sum(axis=0)
         counts[v + states + 2, :2] += [sum(float(np.log10(s).sum()) for s in scales), len(symbols)]
 
-    def updated(self, counts: np.ndarray, vocabulary: Vocabulary) -> HiddenMarkov:
+    def updated(self, counts: np.ndarray, vocabulary: Vocabulary, others: np.ndarray | None = None) -> HiddenMarkov:
         v, states = len(self.emit), len(self.start)
-        emit = counts[:v] + PRIOR * vocabulary.unigrams()[:, None]
+        share = vocabulary.unigrams() if others is None else vocabulary.shares()[0]
+        emit = counts[:v] + PRIOR * share[:, None]
+        total = emit.sum(axis=0) + (0 if others is None else others)
         move = counts[v : v + states] + 1
         start, later = counts[v + states] + 1, counts[v + states + 1] + 1
-        return HiddenMarkov(start / start.sum(), later / later.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+        return HiddenMarkov(start / start.sum(), later / later.sum(), move / move.sum(axis=1, keepdims=True), emit / total, total)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -190,14 +213,17 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         logs[rare] = 0
         for batch in batches:
             for part in slices(iter([batch]), "text", 4 << 20):
-                out = {k: [] for k in ("symbols", "n_tokens", "base", "n_head", "n_rare", "rare")}
+                out = {k: [] for k in ("symbols", "places", "n_tokens", "base", "n_head", "n_rare", "rare")}
                 for text in part.column("text").to_pylist():
                     found = words_of(text)
                     ids = [voc.words.get(w, rare) for w in found]
-                    others = Counter(w for w, i in zip(found, ids, strict=True) if i == rare)
+                    outside = [w for w, i in zip(found, ids, strict=True) if i == rare]
+                    others = Counter(outside)
+                    place = {w: k for k, w in enumerate(others)}
                     ids.append(end)
                     ids = np.array(ids, np.uint16)
                     out["symbols"].append(ids.tobytes())
+                    out["places"].append(np.array([place[w] for w in outside], np.int32).tobytes())
                     out["n_tokens"].append(len(ids))
                     out["base"].append(float(logs[ids].sum()))
                     n_rare = others.total()
@@ -205,7 +231,7 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                     out["n_rare"].append(n_rare)
                     out["rare"].append([{"word": w, "times": n} for w, n in others.items()])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("held_out"), pa.array(out["symbols"], pa.binary()),
+                    [part.column("doc_id"), part.column("held_out"), pa.array(out["symbols"], pa.binary()), pa.array(out["places"], pa.binary()),
                      pa.array(out["n_tokens"], pa.int64()), pa.array(out["base"], pa.float64()),
                      pa.array(out["n_head"], pa.int64()), pa.array(out["n_rare"], pa.int64()),
                      pa.array(out["rare"], pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])))],
@@ -213,76 +239,169 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 )
 
     return docs.mapInArrow(
-        encode, f"doc_id {kind}, held_out boolean, symbols binary, n_tokens bigint, base double, n_head bigint, "
+        encode, f"doc_id {kind}, held_out boolean, symbols binary, places binary, n_tokens bigint, base double, n_head bigint, "
         "n_rare bigint, rare array<struct<word: binary, times: bigint>>",
     ).withColumn("row", F.monotonically_increasing_id())
 
 
-def _expected(encoded: DataFrame, model: HiddenMarkov) -> DataFrame:
+def other_words(counted: DataFrame, vocabulary: Vocabulary, workspace: Workspace, *, states: int = STATES) -> DataFrame | None:
+    """``word, n, e0, ...``: the words that are no symbols, and what their first emissions are in proportion to."""
+    if vocabulary.n_words == len(vocabulary.words):
+        return None
+    unit = vocabulary.shares()[1]
+
+    def begin(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            share = (batch.column("n").to_numpy() + SMOOTHING) * unit
+            e = share[:, None] * spread(batch.column("word").to_pylist(), states, SEED) if len(share) else np.empty((0, states))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, e.T.copy())], ["word", "n", *_names("e", states)])
+
+    outside = counted.filter(F.col("n") < int(vocabulary.counts.min())) if len(vocabulary.counts) else counted
+    return workspace.write(outside.select("word", "n").mapInArrow(begin, "word binary, n bigint, " + _doubles("e", states)), "others")
+
+
+def _names(letter: str, states: int) -> list[str]:
+    return [f"{letter}{s}" for s in range(states)]
+
+
+def _doubles(letter: str, states: int) -> str:
+    return ", ".join(f"{c} double" for c in _names(letter, states))
+
+
+def _sums(others: DataFrame | None, states: int) -> np.ndarray | None:
+    if others is None:
+        return None
+    return np.array(others.agg(*(F.sum(c) for c in _names("e", states))).first(), float)
+
+
+def _with_others(encoded: DataFrame, others: DataFrame | None, states: int) -> DataFrame:
+    """Each document as a row of ``k`` -1, followed by one row for each of its words in the table ``others``."""
+    names = _names("e", states)
+    empty = F.lit(None).cast("binary")
+    docs = encoded.select("row", F.lit(-1).alias("k"), "symbols", "places", empty.alias("word"), *(F.lit(None).cast("double").alias(c) for c in names))
+    if others is None:
+        return docs
+    met = encoded.select("row", F.posexplode("rare").alias("k", "x")).select("row", "k", F.col("x.word").alias("word"))
+    met = met.join(others.select("word", *names), "word")
+    met = met.select("row", "k", empty.alias("symbols"), empty.alias("places"), "word", *names)
+    return docs.unionByName(met).repartition("row").sortWithinPartitions("row", "k")
+
+
+def _texts(batches: Iterator[pa.RecordBatch], model: HiddenMarkov):
+    """Rows and symbols of some documents at a time, a model that has their words as further symbols, and these words."""
+    rare, names = len(model.emit) - 2, _names("e", len(model.start))
+    docs, words, emits, held = [], [], [], 0
+
+    def ready():
+        out = []
+        for _, ids, places, known in docs:
+            if len(places):  # a word that is not in the table is an unseen one
+                symbol = np.full(places.max() + 1, rare)
+                for k, first in known:
+                    symbol[k] = rare + 2 + first + np.arange(len(k))
+                ids[ids == rare] = symbol[places]
+            out.append(ids)
+        return [d[0] for d in docs], out, replace(model, emit=np.concatenate([model.emit, *emits])) if words else model, words
+
+    for batch in batches:
+        k = batch.column("k").to_numpy()
+        heads = np.flatnonzero(k < 0)
+        ends = np.append(heads, len(k))
+        known = batch.column("word").to_pylist() if len(heads) < len(k) else []
+        e = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names], axis=1) if known else None
+        rows, symbols, places = (batch.column(c).to_pylist() for c in ("row", "symbols", "places"))
+
+        def add(a: int, b: int) -> None:
+            if a < b:  # words of the document that came last
+                docs[-1][3].append((k[a:b], len(words)))
+                words.extend(known[a:b])
+                emits.append(e[a:b] / model.total)
+
+        add(0, ends[0])
+        for a, b in zip(heads.tolist(), ends[1:].tolist(), strict=True):
+            if held > _TRAIN_TOKENS:
+                yield ready()
+                docs, words, emits, held = [], [], [], 0
+            ids = np.frombuffer(symbols[a], np.uint16).astype(np.int64)
+            docs.append((rows[a], ids, np.frombuffer(places[a], np.int32), []))
+            held += len(ids)
+            add(a + 1, b)
+    if docs:
+        yield ready()
+
+
+def _expected(encoded: DataFrame, model: HiddenMarkov, others: DataFrame | None = None) -> DataFrame:
+    """``symbol, word, c0, ...``: summed expected counts, a word where there is no symbol."""
     shared = encoded.sparkSession.sparkContext.broadcast(model)
     states = len(model.start)
+    columns = _names("c", states)
 
     def expect(batches: Iterator[pa.RecordBatch]):
-        hmm = shared.value
-        counts = np.zeros((len(hmm.emit) + states + 3, states))
-
-        def add(texts: list[np.ndarray]) -> None:
+        size = len(shared.value.emit)
+        total = np.zeros((size + states + 3, states))
+        for _, texts, hmm, words in _texts(batches, shared.value):
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             pieces = -(-sizes // SEGMENT)
             of = np.repeat(np.arange(len(texts)), pieces)
             place = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            hmm.expected_counts(np.concatenate(texts).astype(np.int64), np.minimum(sizes[of] - place * SEGMENT, SEGMENT), place == 0, counts)
-
-        texts, held = [], 0
-        for batch in batches:
-            for data in batch.column("symbols").to_pylist():
-                ids = np.frombuffer(data, np.uint16)
-                texts.append(ids)
-                held += len(ids)
-                if held > _TRAIN_TOKENS:
-                    add(texts)
-                    texts, held = [], 0
-        if texts:
-            add(texts)
-        met = np.flatnonzero(counts.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), *(pa.array(counts[met, s]) for s in range(states))],
-                                         ["symbol", *(f"c{s}" for s in range(states))])
-
-    columns = [f"c{s}" for s in range(states)]
-    emitted = encoded.select("symbols").mapInArrow(expect, "symbol bigint, " + ", ".join(f"{c} double" for c in columns))
-    return emitted.groupBy("symbol").agg(*(F.sum(c).alias(c) for c in columns))
-
-
-def baum_welch(encoded: DataFrame, vocabulary: Vocabulary, workspace: Workspace, *, states: int = STATES,
-               warm: int = WARM_ROUNDS, full: int = FULL_ROUNDS) -> tuple[HiddenMarkov, list[float]]:
-    """The trained model, and the mean log10 likelihood of a token before each round's update."""
-    model, history = HiddenMarkov.random(vocabulary, states), []
+            counts = np.zeros((len(hmm.emit) + states + 3, states))
+            hmm.expected_counts(np.concatenate(texts), np.minimum(sizes[of] - place * SEGMENT, SEGMENT), place == 0, counts)
+            total[:size] += counts[:size]
+            total[size:] += counts[len(hmm.emit) :]
+            if words:
+                own = counts[size : size + len(words)]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(own), pa.int64()), pa.array(words, pa.binary()), *map(pa.array, own.T.copy())],
+                                                 ["symbol", "word", *columns])
+        met = np.flatnonzero(total.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.nulls(len(met), pa.binary()), *map(pa.array, total[met].T.copy())],
+                                         ["symbol", "word", *columns])
+
+    emitted = _with_others(encoded, others, states).mapInArrow(expect, "symbol bigint, word binary, " + _doubles("c", states))
+    return emitted.groupBy("symbol", "word").agg(*(F.sum(c).alias(c) for c in columns))
+
+
+def trained(encoded: DataFrame, vocabulary: Vocabulary, others: DataFrame | None, workspace: Workspace, *, states: int = STATES,
+            warm: int = WARM_ROUNDS, full: int = FULL_ROUNDS) -> tuple[HiddenMarkov, DataFrame | None, list[float]]:
+    """The trained model, its table of other words, and the mean log10 likelihood of a token before each round's update."""
+    model, history = HiddenMarkov.random(vocabulary, states, others=_sums(others, states)), []
+    unit, columns = vocabulary.shares()[1], _names("c", states)
     for i in range(warm + full):
         part = encoded
         if i < warm:
             part = encoded.filter(F.pmod(F.xxhash64(F.lit(SEED), "row"), F.lit(WARM_FOLDS)) == i % WARM_FOLDS)
-        summed = workspace.write(_expected(part, model), f"expected-{i}")
-        found = summed.toPandas()
-        workspace.remove(summed)
+        summed = workspace.write(_expected(part, model, others), f"expected-{i}")
+        found = summed.filter("word IS NULL").select("symbol", *columns).toPandas()
         counts = np.zeros((vocabulary.size + states + 3, states))
-        counts[found["symbol"].to_numpy()] = found[[f"c{s}" for s in range(states)]].to_numpy()
+        counts[found["symbol"].to_numpy()] = found[columns].to_numpy()
         total, tokens = counts[-1, :2]
         history.append(total / tokens if tokens else 0.0)
-        model = model.updated(counts, vocabulary)
+        if others is not None:
+            own = summed.filter("word IS NOT NULL").select(F.col("word").alias("of"), *columns)
+            prior = PRIOR * unit * (F.col("n") + SMOOTHING)
+            new = others.select("word", "n").join(own, F.col("word") == F.col("of"), "left")
+            new = new.select("word", "n", *((F.coalesce(c, F.lit(0.0)) + prior).alias(f"e{s}") for s, c in enumerate(columns)))
+            old, others = others, workspace.write(new, f"others-{i}")
+            workspace.remove(old)
+        workspace.remove(summed)
+        model = model.updated(counts, vocabulary, _sums(others, states))
+    return model, others, history
+
+
+def baum_welch(encoded: DataFrame, vocabulary: Vocabulary, workspace: Workspace, **training) -> tuple[HiddenMarkov, list[float]]:
+    """The trained model, and the mean log10 likelihood of a token before each round's update, where all words are symbols."""
+    model, _, history = trained(encoded, vocabulary, None, workspace, **training)
     return model, history
 
 
-def _score(encoded: DataFrame, model: HiddenMarkov) -> DataFrame:
+def _score(encoded: DataFrame, model: HiddenMarkov, others: DataFrame | None) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            texts = [np.frombuffer(x, np.uint16) for x in batch.column("symbols").to_pylist()]
-            if texts:
-                found = shared.value.log10_likelihood(np.concatenate(texts), np.fromiter(map(len, texts), np.int64, len(texts)))
-                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found)], ["row", "path_score"])
+        for rows, texts, hmm, _ in _texts(batches, shared.value):
+            found = hmm.log10_likelihood(np.concatenate(texts), np.fromiter(map(len, texts), np.int64, len(texts)))
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(found)], ["row", "path_score"])
 
-    return encoded.select("row", "symbols").mapInArrow(score, "row bigint, path_score double")
+    return _with_others(encoded, others, len(model.start)).mapInArrow(score, "row bigint, path_score double")
 
 
 def read_vocabulary(train: DataFrame, counted: DataFrame, head: int = HEAD) -> Vocabulary:
@@ -314,7 +433,8 @@ def score_texts(docs: DataFrame, workspace: Workspace, *, folds: int = 10, held:
     counted = workspace.write(count_words(train), "counts")
     vocabulary = read_vocabulary(train, counted, head)
     encoded = workspace.write(_encode(rows, vocabulary), "encoded")
-    model, _ = baum_welch(encoded.filter("NOT held_out"), vocabulary, workspace, **training)
+    others = other_words(counted, vocabulary, workspace, states=training.get("states", STATES))
+    model, others, _ = trained(encoded.filter("NOT held_out"), vocabulary, others, workspace, **training)
 
     rare = encoded.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.times")
     n = F.coalesce(F.col("n"), F.lit(0))
@@ -322,15 +442,15 @@ def score_texts(docs: DataFrame, workspace: Workspace, *, folds: int = 10, held:
         F.sum(F.col("times") * F.log10(n + SMOOTHING)).alias("logs"),
         F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"),
     )
-    scored = _score(encoded, model).withColumnRenamed("row", "of")
+    scored = _score(encoded, model, others).withColumnRenamed("row", "of")
     logs = F.coalesce("logs", F.lit(0.0))
     return (
-        encoded.drop("symbols", "rare").join(scored, F.col("row") == F.col("of")).join(rare, "row", "left")
+        encoded.drop("symbols", "places", "rare").join(scored, F.col("row") == F.col("of")).join(rare, "row", "left")
         .select(
             "doc_id", "held_out", "n_tokens",
             (F.col("n_head") + F.coalesce("known", F.lit(0))).alias("n_known"),
             F.lit(vocabulary.n_tokens).cast("long").alias("train_tokens"),
             (F.col("base") + logs - F.col("n_rare") * float(np.log10(vocabulary.base_total))).alias("base_score"),
-            (F.col("path_score") + logs - F.col("n_rare") * float(np.log10(vocabulary.rare_total))).alias("score"),
+            F.col("path_score").alias("score"),
         )
     )

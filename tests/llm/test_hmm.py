@@ -104,3 +104,11 @@ def test_training_helps_held_out_texts(spark):
     sizes = np.array([len(r) for r in rows])
     single = np.log10(voc.unigrams())
     assert model.log10_likelihood(np.concatenate(rows), sizes).sum() > single[np.concatenate(rows)].sum()
+
+
+def test_words_beyond_the_head_have_emissions_of_their_own(spark):
+    docs = spark.read.parquet(f"{TEST_DATA}/documents.parquet").select("doc_id", "text").filter("doc_id % 4 = 0")
+    docs = docs.unionByName(spark.createDataFrame([(10**6 + i, t) for i, t in ROWS if i is not None], "doc_id bigint, text string"))
+    few, all_ = (sorted((tuple(r) for r in score_texts(docs, Workspace(spark, "test"), head=head, warm=1, full=2).collect()), key=str) for head in (40, 65_000))
+    assert [r[:5] for r in few] == [r[:5] for r in all_]
+    assert np.allclose([r[5:] for r in few], [r[5:] for r in all_], rtol=1e-7)
