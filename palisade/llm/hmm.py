@@ -5,8 +5,8 @@ end and an unseen word.  Those of the most frequent words (``HEAD`` at most, wor
 are an array; those of all others are a table, which each round joins with the words of each document and
 writes anew from the expected counts.  Where to cut between the two changes no result.  Baum-Welch trains the latent states: tasks run forward and backward over their
 documents and emit expected counts per word, which Spark adds up; the driver only sees sums, of a
-size fixed by the number of states and symbols.  ``WARM_ROUNDS`` rounds over one fold of the documents
-each bring the states near (each fold once), ``FULL_ROUNDS`` rounds count over all training documents.
+size fixed by the number of states and symbols.  ``FULL_ROUNDS`` rounds count over all training documents;
+a caller may ask for rounds over one fold of them before.  A round without tokens changes nothing.
 
 Training cuts texts into segments of ``SEGMENT`` tokens, so that many run side by side.  Scores are the
 exact likelihood of whole texts by the scaled forward recursion.
@@ -35,8 +35,8 @@ HEAD = 65_000  # with two more symbols, ids fit 16 bits
 STATES = 8
 SEGMENT = 128
 WARM_FOLDS = 8
-WARM_ROUNDS = 8
-FULL_ROUNDS = 2
+WARM_ROUNDS = 0
+FULL_ROUNDS = 10
 SMOOTHING = 0.1
 PRIOR = 50.0  # pseudo-counts of a state's emissions, spread as the corpus is
 SEED = 29
@@ -375,6 +375,9 @@ def trained(encoded: DataFrame, vocabulary: Vocabulary, others: DataFrame | None
         counts[found["symbol"].to_numpy()] = found[columns].to_numpy()
         total, tokens = counts[-1, :2]
         history.append(total / tokens if tokens else 0.0)
+        if not tokens:
+            workspace.remove(summed)
+            continue
         if others is not None:
             own = summed.filter("word IS NOT NULL").select(F.col("word").alias("of"), *columns)
             prior = PRIOR * unit * (F.col("n") + SMOOTHING)

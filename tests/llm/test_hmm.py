@@ -112,3 +112,14 @@ def test_words_beyond_the_head_have_emissions_of_their_own(spark):
     few, all_ = (sorted((tuple(r) for r in score_texts(docs, Workspace(spark, "test"), head=head, warm=1, full=2).collect()), key=str) for head in (40, 65_000))
     assert [r[:5] for r in few] == [r[:5] for r in all_]
     assert np.allclose([r[5:] for r in few], [r[5:] for r in all_], rtol=1e-7)
+
+
+def test_rounds_count_all_documents_and_empty_folds_change_nothing(spark):
+    docs = spark.createDataFrame([(1, "the cat sat on the mat", False)], "doc_id bigint, text string, held_out boolean").coalesce(1)
+    workspace = Workspace(spark, "test")
+    voc = read_vocabulary(docs, workspace.write(count_words(docs), "counts"))
+    encoded = workspace.write(_encode(docs, voc), "encoded")
+    model, _ = baum_welch(encoded, voc, workspace, warm=8, full=0)  # seven folds are empty
+    assert np.ptp(model.emit, axis=1).max() > 1e-3
+    _, history = baum_welch(encoded, voc, workspace)
+    assert len(history) == 10 and all(b >= a - 1e-3 for a, b in zip(history, history[1:], strict=False)) and min(map(abs, history)) > 0
