@@ -64,7 +64,8 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added)) if added else None  # such a string in a text is one token, no pieces
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.split = "use_regex=True" in str(self.tokenizer.pre_tokenizer) and self.tokenizer.normalizer is None
         self.cache: dict[str, bytes] = {}
@@ -78,6 +79,10 @@ class PieceEncoder:
         """The ids of each text as little-endian integers of ``kind``."""
         if not self.split:
             return self._ids(texts)
+        if self.added and (at := [i for i, t in enumerate(texts) if self.added.search(t)]):
+            whole = dict(zip(at, self._ids([texts[i] for i in at]), strict=True))
+            rest = iter(self.encode([t for i, t in enumerate(texts) if i not in whole]))
+            return [whole[i] if i in whole else next(rest) for i in range(len(texts))]
         pieces = [_PIECE.findall(t) for t in texts]
         known = self.cache.get
         rows = [list(map(known, p)) for p in pieces]

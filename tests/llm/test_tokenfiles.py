@@ -50,3 +50,10 @@ def test_sequences_and_masks(spark):
             ids.extend(values[mask].tolist())
     want = [x for _, t in sorted(ROWS[:4]) for x in [*TOKENIZER.encode(t or "", add_special_tokens=False).ids, 2]]
     assert ids == want
+
+
+def test_added_tokens_keep_the_tokenizers_ids():
+    texts = ["one two", "a <|endoftext|> b<|endoftext|>", "", "three."]
+    want = [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in want[1]
+    assert [np.frombuffer(x, CODER.kind).tolist() for x in CODER.encode(texts)] == want
