@@ -212,7 +212,14 @@ def with_known_language(docs: DataFrame) -> DataFrame:
     """The rows whose text has a language: all but null texts and those without a letter."""
     packed = docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias("row"))
     network = fit_language_network(packed)
-    return predict_language(packed, network, "row").filter(F.col("lang_pred") != UNKNOWN).select("row.*") if network else docs
+    if network:
+        return predict_language(packed, network, "row").filter(F.col("lang_pred") != UNKNOWN).select("row.*")
+
+    def lettered(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            yield batch.filter(pa.array([any(map(str.isalpha, t or "")) for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(lettered, docs.schema)
 
 
 def language_digest(docs: DataFrame, *, folds: int = 4, held: int = 2) -> DataFrame:

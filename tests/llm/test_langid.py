@@ -1,6 +1,6 @@
 import numpy as np
 
-from palisade.llm.langid import BATCH, ByteNetwork, cut, fit_language_network, language_digest, predict_language, train
+from palisade.llm.langid import BATCH, ByteNetwork, cut, fit_language_network, language_digest, predict_language, train, with_known_language
 from tests.conftest import TEST_DATA
 
 
@@ -45,3 +45,9 @@ def test_odd_rows(spark):
     unlabelled = docs.filter("lang IS NULL")
     assert [r.lang_pred for r in language_digest(unlabelled).collect()] == ["und"]
     assert language_digest(docs.filter("false")).collect() == []
+
+
+def test_letterless_texts_go_without_labels_too(spark):
+    rows = [(1, "the mat", None), (2, None, None), (3, "", None), (4, "12 ... ½", None), (5, "é", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert sorted(r.doc_id for r in with_known_language(docs).collect()) == [1, 5]
