@@ -87,15 +87,15 @@ def crowd(n, pairs, seed):
     def own(words, part):
         return words[: 120 - part] + [f"o{draw.randrange(10**9)}" for _ in range(part)]
 
-    texts = [own(base, draw.randrange(31, 34)) for _ in range(n)]
-    texts += [" ".join(own(t, 12)).split() for t in texts[:pairs]]
+    texts = [own(base, draw.randrange(20, 23)) for _ in range(n)]
+    texts += [own(t, 15) for t in texts[:pairs]]
     keys = draw.sample(range(10**6), len(texts))
     return [(k, " ".join(t)) for k, t in zip(keys, texts, strict=True)]
 
 
 def test_crowded_template(spark, monkeypatch):
     rows = crowd(300, 60, 5)
-    monkeypatch.setattr(near, "REACH", 2)
+    monkeypatch.setattr(near, "REACH", 1)
     want = brute(rows)
     assert sum(not kept for *_, kept in want) == 60
     assert run(spark, rows) == want
