@@ -13,6 +13,7 @@ from palisade.llm.langid import language_digest
 from palisade.llm.leaks import LEAKS_SQL, leaks_digest
 from palisade.llm.mixing import mix_digest
 from palisade.llm.near import near_digest
+from palisade.llm.negatives import NEGATIVES_SQL, negatives_digest
 from palisade.llm.pii import fit_tagger, pii_digest
 from palisade.llm.repeats import repeats_digest
 from palisade.llm.secrets import secrets_digest, secrets_sql
@@ -93,3 +94,8 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op5_repeated_passages")
 def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats_digest(documents(spark, sf_dir), Workspace(spark, "op5"))
+
+
+@_query("op13_hard_negatives", NEGATIVES_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives_digest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), Workspace(spark, "op13"))
