@@ -17,6 +17,7 @@ from palisade.llm.negatives import NEGATIVES_SQL, negatives_digest
 from palisade.llm.pii import fit_tagger, pii_digest
 from palisade.llm.repeats import repeats_digest
 from palisade.llm.secrets import secrets_digest, secrets_sql
+from palisade.llm.simhash import simhash_digest
 from palisade.llm.tables import Workspace, documents
 from palisade.llm.tokenfiles import token_digest
 
@@ -99,3 +100,8 @@ def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op13_hard_negatives", NEGATIVES_SQL)
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives_digest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), Workspace(spark, "op13"))
+
+
+@_query("op12_simhash")
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_digest(documents(spark, sf_dir), Workspace(spark, "op12"))
