@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from palisade.llm.dialogues import REPAIR_SQL, repair_digest
 from palisade.llm.exact import exact_duplicates
 from palisade.llm.hmm import score_texts
 from palisade.llm.langid import language_digest
@@ -105,3 +106,8 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op12_simhash")
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_digest(documents(spark, sf_dir), Workspace(spark, "op12"))
+
+
+@_query("op11_conversation_repair", REPAIR_SQL)
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digest(spark.read.parquet(f"{sf_dir}/conversations.parquet"), Workspace(spark, "op11"))
