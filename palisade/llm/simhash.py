@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palisade.llm.bytewords import FOLD, NOT_SPACE
@@ -42,6 +42,7 @@ from palisade.llm.tables import Workspace, slices
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 REACH = 4  # rows of a cell that a row is compared with in the first round
+PER_TASK = 20_000  # fingerprints that a task maps to cells
 BATCH = 4 << 20  # bytes of text at a time
 _CHUNK = 1 << 18  # hashes at a time
 _PAIRS_OF_EACH_TWO = 0x5555555555555555
@@ -85,39 +86,41 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), values], ["doc_id", "fingerprint"])
 
 
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
-
-
 def _mask(bands: list[int]) -> int:
-    return _signed(sum(3 << 2 * i for b in bands for i in range(*BANDS[b])))
+    return sum(3 << 2 * i for b in bands for i in range(*BANDS[b]))
 
 
-def segment_counts(value: Column) -> Column:
+def segment_counts(value: np.ndarray) -> np.ndarray:
     """The set bits of the 32 segments of two bits, in two bits each."""
-    shifted, low = F.shiftrightunsigned(value, 1), F.lit(_PAIRS_OF_EACH_TWO)
-    both, one = value.bitwiseAND(shifted).bitwiseAND(low), value.bitwiseXOR(shifted).bitwiseAND(low)
-    return F.shiftleft(both, 1).bitwiseOR(one)
+    return value - (value >> np.uint64(1) & np.uint64(_PAIRS_OF_EACH_TWO))
 
 
-def grid_cells(value: Column) -> Column:
-    """An array of structs ``(without, cell)``: the band left out, and own and neighbouring cells of the other two.
+def grid_cells(value: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Band left out, cells and their fingerprints: own and neighbouring cells of the other two bands.
 
-    An element is null where a segment has no next count.
+    A segment that has no next count has no neighbour there.
     """
-    counts, cells = segment_counts(value), []
+    counts = segment_counts(value)
     for without in range(3):
-        left_out = F.lit(without).cast("byte").alias("without")
         bands = [b for b in range(3) if b != without]
-        own = counts.bitwiseAND(F.lit(_mask(bands)))
-        cells.append(F.struct(left_out, own.alias("cell")))
+        own = counts & np.uint64(_mask(bands))
+        yield without, own, value
         for i in (i for b in bands for i in range(*BANDS[b])):
-            here = F.shiftrightunsigned(own, 2 * i).bitwiseAND(F.lit(3).cast("long"))
-            rest = own.bitwiseAND(F.lit(~_signed(3 << 2 * i)))
-            for step, allowed in ((1, here < 2), (-1, here > 0)):
-                moved = rest.bitwiseOR(F.shiftleft(here + step, 2 * i))
-                cells.append(F.when(allowed, F.struct(left_out, moved.alias("cell"))))
-    return F.array(*cells)
+            here, unit = own >> np.uint64(2 * i) & np.uint64(3), np.uint64(1 << 2 * i)
+            yield without, own[here < 2] + unit, value[here < 2]
+            yield without, own[here > 0] - unit, value[here > 0]
+
+
+_CELL = "without tinyint, cell bigint, value bigint"
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        value = batch.column("value").to_numpy().view(np.uint64)
+        for without, cell, of in grid_cells(value):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(of), without, np.int8)), pa.array(cell.view(np.int64)), pa.array(of.view(np.int64))], ["without", "cell", "value"]
+            )
 
 
 _MET = "without tinyint, cell bigint, a bigint, b bigint"
@@ -171,8 +174,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def linked_fingerprints(distinct: DataFrame, workspace: Workspace) -> DataFrame:
     """``node, component`` of every fingerprint (column ``value``, each once) that has a link; exact."""
-    cells = distinct.select("value", F.explode(grid_cells(F.col("value"))).alias("at")).filter("at IS NOT NULL")
-    cells = cells.select("at.without", "at.cell", "value")
+    # About a hundred rows come of each.
+    cells = distinct.repartition(1 + distinct.count() // PER_TASK).mapInArrow(_cells, _CELL)
     order = ["without", "cell", "value"]
     met = workspace.write(cells.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours, _MET), "neighbours")
     found = components(met.filter("a <> b").select("a", "b").distinct(), workspace)
