@@ -10,8 +10,8 @@ cheapest sequences of edits the one whose initials come first in ASCII order is
 The search is iterative-deepening A*: depth first, in ASCII order of the edits, under a bound that rises to the
 smallest cost seen beyond it, with a lower bound of the rest's cost and a table of states that have failed with at
 least as much left to spend.  The first accepting path is the answer.  The edits so far matter only by the role
-that must come next, one of four states.  So a long conversation is searched in blocks of ``BLOCK`` rows, for every
-state before and after, with insertions only before a row; blocks are then chained.  Every path of a block has the
+that must come next, one of four states.  So a conversation of more than ``WHOLE`` rows is searched in blocks of
+``BLOCK`` rows (short ones, as the bound has to rise far for the dearest pairs of states), for every state before and after, with insertions only before a row; blocks are then chained.  Every path of a block has the
 same number of rows in it and ends with a row, so no path starts another, and the chain's first cheapest path is
 made of the blocks' first cheapest ones.
 
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from palisade.llm.tables import Workspace
 
-BLOCK, PIECE = 32, 1_024  # rows
+WHOLE, BLOCK, PIECE = 32, 4, 1_024  # rows
 SPACE = " \t\n\x0b\x0c\r"
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5  # costs
 #: States: nothing yet; a system row, then user; user, then assistant; assistant, then user or the end.
@@ -148,7 +148,7 @@ def table_of(rows: str) -> Table:
 
 def whole(rows: str) -> str:
     """The initials for all rows of a conversation."""
-    if len(rows) <= BLOCK:
+    if len(rows) <= WHOLE:
         return cheapest(rows, START, None)[1]
     states = range(4)
     blocks = [rows[i : i + BLOCK] for i in range(0, len(rows), BLOCK)]

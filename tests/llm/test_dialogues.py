@@ -103,8 +103,9 @@ def test_conversations_equal_brute_force(spark):
     assert got == brute(rows) and len({r[7] for r in got}) > 10
 
 
-@pytest.mark.parametrize(("block", "piece"), [(32, 1024), (3, 7), (1, 1)])
-def test_noisy_and_long_conversations(spark, monkeypatch, block, piece):
+@pytest.mark.parametrize(("longest", "block", "piece"), [(32, 4, 1024), (2, 3, 7), (0, 1, 1)])
+def test_noisy_and_long_conversations(spark, monkeypatch, longest, block, piece):
+    monkeypatch.setattr(dialogues, "WHOLE", longest)
     monkeypatch.setattr(dialogues, "BLOCK", block)
     monkeypatch.setattr(dialogues, "PIECE", piece)
     draw = random.Random(4)
