@@ -7,17 +7,16 @@ from itertools import combinations
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palisade.config import CORRELATION_LIMIT, DERIVED_FEATURE_COLUMNS, VARIANCE_FLOOR, FeatureSettings
 from palisade.functions.cells import align, finite_table
+from palisade.operators.correlation import correlated_columns
 from palisade.operators.fitted import HasState
 from palisade.operators.quantiles import exact_quantiles
 from palisade.schema import numeric_columns, quoted
 
-MAX_CORRELATED_COLUMNS = 8192  # the p x p matrix goes to the driver
 INFORMATION_BINS = 10
 
 
@@ -151,11 +150,10 @@ def uncorrelated_features(df: DataFrame, features: list[str], limit: float = COR
     """
     if len(features) < 2:
         return list(features)
-    if len(features) > MAX_CORRELATED_COLUMNS:
-        raise ValueError(f"{len(features)} features are too many for one correlation matrix")
-    vectors = assemble(df.select(*[F.col(quoted(c)) for c in features]), features, "_v").select("_v")
-    matrix = abs(Correlation.corr(vectors, "_v", "pearson").first()[0].toArray())
-    return [c for j, c in enumerate(features) if not (matrix[:j, j] > limit).any()]
+    # At most one number per column comes to the driver.
+    late = correlated_columns(df, features, limit).select("second").distinct().collect()
+    dropped = {r["second"] for r in late}
+    return [c for j, c in enumerate(features) if j not in dropped]
 
 
 def derived_names(features: list[str], interactions: bool, squares: bool) -> tuple[list, list]:

@@ -200,6 +200,49 @@ def rule_text(rules: DataFrame, flags: tuple[str, ...] = SignatureSettings().bin
     )
 
 
+def _keys_of(df: DataFrame, rules: DataFrame, flags: tuple[str, ...]):
+    """For each set of columns that rules use and the table has: the cells of a row, and the rules' keys."""
+    sets = sorted(tuple(r["columns"]) for r in rules.select("columns").distinct().collect())  # sets of columns, not rules
+    for columns in sets:
+        if all(c in df.columns for c in columns):
+            cells = [F.when(F.col(quoted(c)) == 1, "1") if c in flags else F.col(quoted(c)).cast("string") for c in columns]
+            own = rules.filter(F.col("columns") == F.array(*[F.lit(c) for c in columns]))
+            keys = [F.col("values")[i].alias(f"_value{i}") for i in range(len(columns))]
+            same = reduce(and_, [cell == F.col(f"_value{i}") for i, cell in enumerate(cells)])
+            yield own, keys, same
+
+
+def with_rule_hits(
+    df: DataFrame, rules: DataFrame, output: str = "sig", flags: tuple[str, ...] = SignatureSettings().binary_columns
+) -> DataFrame:
+    """Add 1 where any rule of a table (``columns, values``) matches, else 0, for any number of rules.
+
+    One equi-join per set of columns with the different keys of its rules, so expressions grow with the sets of
+    columns and not with the rules.  Rows are kept one to one.  A rule on an absent column never matches, nor does
+    a missing value.
+    """
+    names, hit = df.columns, F.lit(False)
+    for n, (own, keys, same) in enumerate(_keys_of(df, rules, flags)):
+        marks = own.select(*keys).distinct().withColumn(f"_hit{n}", F.lit(True))
+        value_columns = [c for c in marks.columns if c.startswith("_value")]
+        df = df.join(marks, same, "left").drop(*value_columns)
+        hit = hit | F.col(f"_hit{n}").isNotNull()
+    return df.select(*[F.col(quoted(c)) for c in names], hit.cast("int").alias(output))
+
+
+def rule_matches(
+    df: DataFrame, rules: DataFrame, row_id: str, flags: tuple[str, ...] = SignatureSettings().binary_columns
+) -> DataFrame:
+    """``(row_id, rank)``: every rule that matches a row, from the same joins."""
+    found = [
+        df.join(own.select(*keys, "rank"), same).select(F.col(quoted(row_id)).alias(row_id), "rank")
+        for own, keys, same in _keys_of(df, rules, flags)
+    ]
+    if not found:
+        return df.sparkSession.createDataFrame([], df.select(row_id).schema.add("rank", rules.schema["rank"].dataType))
+    return reduce(DataFrame.unionByName, found)
+
+
 class SignatureMiner(Estimator, HasState):
     def __init__(self, settings: SignatureSettings | None = None, label: str = "label", output: str = "sig"):
         super().__init__()
