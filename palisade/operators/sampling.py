@@ -1,46 +1,82 @@
-"""Exact splits, class balancing and class weights.
+"""Exact splits, class balancing and class weights, for any number of classes.
 
-Nothing here sorts or shuffles whole rows.  A draw per row is cut at an exact rank: the draws are
-counted by their leading bits (a few numbers per class), the one counting cell that holds the
-cut is looked at row by row, and the cut itself, one row per class, comes back as a filter.
+A draw per row is cut at an exact rank: the draws are counted by their leading bits, the one counting cell that holds
+the cut is looked at row by row, and the cuts come back as a table of one row per class that is joined.  Sizes and
+cuts of classes stay tables throughout; the driver sees totals only.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from palisade.config import HOLDOUT_FRACTION, RANDOM_SEED
 from palisade.functions.draws import DRAW_BITS, hashed_draw
+from palisade.operators.running import running_totals
 from palisade.schema import quoted
+from palisade.session import cut_lineage, shared_folder
 
 ROWS_PER_CELL = 4096
-BROADCAST_ROWS = 100_000
+TREE_BITS = 8  # of the draw that one level of the bootstrap's tree looks at
 
 
-def class_counts(df: DataFrame, label: str | None) -> dict[object, int]:
-    """Rows per class, one number per class on the driver."""
-    key = F.col(quoted(label)) if label else F.lit(0)
-    rows = df.groupBy(key.alias("_class")).agg(F.count(F.lit(1)).alias("n")).collect()
-    return {r["_class"]: r["n"] for r in rows}
+def _settled(df: DataFrame, name: str) -> DataFrame:
+    """A table of classes, materialised so that Spark knows its size when it plans a join with it."""
+    out = cut_lineage(df, name)
+    if shared_folder(df.sparkSession) is None:
+        out.count()
+    return out
+
 
+def class_sizes(df: DataFrame, label: str | None) -> DataFrame:
+    """``(_class, n)``: the rows of each class; a missing label is a class."""
+    key = F.col(quoted(label)) if label else F.lit(0)
+    return _settled(df.groupBy(key.alias("_class")).agg(F.count(F.lit(1)).alias("n")), "classes")
 
-def _class_order(c) -> tuple:
-    return (c is None, str(type(c)), c if c is not None else 0)
 
+def with_train_sizes(classes: DataFrame, holdout: float, of: str = "n", output: str = "train") -> DataFrame:
+    """Add the training rows of each class; the total is exact and leftovers go to the largest remainders.
 
-def train_sizes(counts: dict[object, int], holdout: float) -> dict[object, int]:
-    """Training rows per class; the total is exact and leftovers go to the largest remainders."""
-    total = sum(counts.values())
+    Among equal remainders the smaller classes, by value, come first, a missing one last.  A remainder depends on
+    a class's size only, so the remainders are counted, the one at which the leftovers run out is found by running
+    totals, and only the classes that have it are ranked.
+    """
+    total = classes.agg(F.sum(of)).first()[0] or 0
     train = total - math.ceil(holdout * total - 1e-9)
-    share = {c: n * train / total for c, n in counts.items()}
-    sizes = {c: math.floor(v) for c, v in share.items()}
-    order = sorted(counts, key=_class_order)
-    for c in sorted(order, key=lambda c: sizes[c] - share[c])[: train - sum(sizes.values())]:
-        sizes[c] += 1
-    return sizes
+    if total == 0:
+        return _settled(classes.withColumn(output, F.lit(0).cast("bigint")), "sizes")
+    product = F.col(of).cast("decimal(19,0)") * F.lit(train).cast("decimal(19,0)")
+    whole = F.lit(total).cast("decimal(19,0)")
+    shared = _settled(
+        classes.withColumn("_left", (product % whole).cast("bigint")).withColumn("_floor", ((product - product % whole) / whole).cast("bigint")), "shares"
+    )
+    leftover = train - shared.agg(F.sum("_floor")).first()[0]
+    more = F.lit(False)
+    if leftover > 0:
+        remainders = shared.groupBy("_left").agg(F.count(F.lit(1)).alias("classes"))
+        upto = running_totals(remainders, "_left", ["classes"], descending=True)
+        last = upto.filter((F.col("classes_before") < leftover) & (F.col("classes_before") + F.col("classes") >= leftover)).first()
+        more = F.col("_left") > last["_left"]
+        take = leftover - last["classes_before"]
+        if take < last["classes"]:
+            tied = shared.filter(F.col("_left") == last["_left"])
+            missing = tied.filter(F.col("_class").isNull()).count()  # comes last
+            ranked = running_totals(tied.filter(F.col("_class").isNotNull()).select("_class", F.lit(1).alias("one")), "_class", ["one"])
+            chosen = ranked.filter(F.col("one_before") < take).select(F.col("_class").alias("_chosen"))
+            shared = shared.join(chosen, F.col("_class") == F.col("_chosen"), "left")
+            more = more | F.col("_chosen").isNotNull()
+            if missing and take == last["classes"]:
+                more = more | F.col("_class").isNull()
+        else:
+            more = F.col("_left") >= last["_left"]
+    sized = shared.withColumn(output, F.col("_floor") + F.when(more, 1).otherwise(0))
+    return _settled(sized.select(*classes.columns, output), "sizes")
 
 
 def _drawn(df: DataFrame, label: str | None, row_id: str, draw: Column | None, seed: int) -> DataFrame:
@@ -51,41 +87,40 @@ def _drawn(df: DataFrame, label: str | None, row_id: str, draw: Column | None, s
     )
 
 
-def _cell(rows: int) -> Column:
+def _cell_bits(rows: int) -> int:
     """Leading bits of the draw, enough of them that one cell holds few rows."""
-    bits = max(1, min(DRAW_BITS, (rows // ROWS_PER_CELL).bit_length()))
-    return F.shiftright("_draw", DRAW_BITS - bits)
+    return max(1, min(DRAW_BITS, (rows // ROWS_PER_CELL).bit_length()))
 
 
-def _cuts(drawn: DataFrame, row_id: str, ends: list[tuple[object, int, int]]) -> dict[tuple, tuple]:
-    """For each (class, part, rank): the draw and id of the row with that rank within the class."""
-    spark = drawn.sparkSession
-    kind = drawn.schema["_class"].dataType.simpleString()
-    wanted = F.broadcast(spark.createDataFrame(ends, f"_of {kind}, part int, end bigint"))
-    largest = max(end for _, _, end in ends)
-    keys = drawn.select("_class", _cell(largest).alias("_cell"), "_draw", F.col(quoted(row_id)).alias("_id"))
+def _cell(bits: int) -> Column:
+    return F.shiftright("_draw", DRAW_BITS - bits)
+
 
+def _cuts(drawn: DataFrame, row_id: str, classes: DataFrame, ends: list[str]) -> DataFrame:
+    """``_of`` and, for each end, the struct ``_cut<i>`` (draw, id) of the class's row of that rank; null for rank 0."""
+    bits = _cell_bits(classes.agg(F.max(F.greatest(*ends, F.lit(0)))).first()[0] or 1)
+    keys = drawn.select("_class", _cell(bits).alias("_cell"), "_draw", F.col(quoted(row_id)).alias("_id"))
     per_cell = keys.groupBy("_class", "_cell").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("_class").orderBy("_cell"))
-    holding = (
-        per_cell.select("_class", "_cell", (upto - F.col("n")).alias("before"), upto.alias("upto"))
-        .join(wanted, F.col("_class").eqNullSafe(F.col("_of")))
-        .filter((F.col("before") < F.col("end")) & (F.col("end") <= F.col("upto")))
-        .select("_of", F.col("_cell").alias("_at"), "part", (F.col("end") - F.col("before")).alias("rank"))
-    )
-    cells = holding.collect()  # one row per wanted cut
-    if not cells:
-        return {}
-    lookup = F.broadcast(spark.createDataFrame(cells, holding.schema))
-    inside = keys.join(lookup, F.col("_class").eqNullSafe(F.col("_of")) & (F.col("_cell") == F.col("_at")))
-    place = F.row_number().over(Window.partitionBy("_of", "part").orderBy("_draw", "_id"))
+    placed = running_totals(per_cell, "_cell", ["n"], by=("_class",))
+    wanted = classes.select(
+        F.col("_class").alias("_of"), F.inline(F.array(*[F.struct(F.lit(i).alias("part"), F.col(e).cast("bigint").alias("end")) for i, e in enumerate(ends)]))
+    ).filter("end > 0")
+    holding = _settled(
+        placed.join(wanted, F.col("_class").eqNullSafe(F.col("_of")) & (F.col("n_before") < F.col("end")) & (F.col("end") <= F.col("n_before") + F.col("n")))
+        .select("_of", F.col("_cell").alias("_at"), "part", (F.col("end") - F.col("n_before")).alias("rank")),
+        "holding",
+    )
+    inside = keys.join(holding, F.col("_class").eqNullSafe(F.col("_of")) & (F.col("_cell") == F.col("_at")))
+    place = F.row_number().over(Window.partitionBy("_of", "part").orderBy("_draw", "_id"))  # the rows of a cell
     found = inside.withColumn("place", place).filter(F.col("place") == F.col("rank"))
-    return {(r["_of"], r["part"]): (r["_draw"], r["_id"]) for r in found.collect()}
+    cut = F.struct(F.col("_draw").alias("draw"), F.col("_id").alias("id"))
+    return found.groupBy("_of").agg(*[F.max(F.when(F.col("part") == i, cut)).alias(f"_cut{i}") for i in range(len(ends))])
 
 
 def split_parts(
     df: DataFrame,
-    sizes: dict[object, list[int]],
+    classes: DataFrame,
+    ends: list[str],
     *,
     label: str | None,
     row_id: str,
@@ -93,76 +128,66 @@ def split_parts(
     draw: Column | None = None,
     seed: int = RANDOM_SEED,
 ) -> DataFrame:
-    """Number the parts of a random partition: part i of class c has exactly ``sizes[c][i]`` rows.
+    """Number the parts of a random partition: the first i + 1 parts of a class have the rows that ``ends[i]`` says.
 
-    Rows beyond the listed sizes get the next number.  ``row_id`` must be unique.
+    ``classes`` has a row per class: ``_class`` and the columns ``ends``, which do not decrease.  Rows beyond the
+    last end get the next number.  ``row_id`` must be unique.
     """
     drawn = _drawn(df, label, row_id, draw, seed)
-    ends = [(c, i, sum(parts[: i + 1])) for c, parts in sizes.items() for i in range(len(parts))]
-    reached = [e for e in ends if e[2] > 0]
-    cuts = _cuts(drawn, row_id, reached) if reached else {}
-    # A cut is (draw, id): rows beyond it belong to a later part.
-    before_all, after_all = (-1, None), (1 << DRAW_BITS, None)
-    n_cuts = max(len(parts) for parts in sizes.values())
-    table = []
-    for c, parts in sizes.items():
-        row = [c]
-        for i in range(n_cuts):
-            if i >= len(parts):
-                row += after_all
-            else:
-                row += before_all if sum(parts[: i + 1]) == 0 else cuts.get((c, i), after_all)
-        table.append(tuple(row))
-    class_kind = drawn.schema["_class"].dataType.simpleString()
-    id_kind = df.schema[row_id].dataType.simpleString()
-    names = "".join(f", _draw{i} bigint, _id{i} {id_kind}" for i in range(n_cuts))
-    lookup = df.sparkSession.createDataFrame(table, f"_of {class_kind}{names}")  # one row per class
+    lookup = _settled(_cuts(drawn, row_id, classes, ends), "cuts")
+    marked = drawn.join(lookup, F.col("_class").eqNullSafe(F.col("_of")), "left")  # Spark broadcasts it if it is small
     part = F.lit(0)
-    for i in range(n_cuts):
-        beyond = (F.col("_draw") > F.col(f"_draw{i}")) | (
-            (F.col("_draw") == F.col(f"_draw{i}")) & (F.col(quoted(row_id)) > F.col(f"_id{i}"))
-        )
+    for i in range(len(ends)):
+        cut = F.col(f"_cut{i}")
+        beyond = cut.isNull() | (F.col("_draw") > cut["draw"]) | ((F.col("_draw") == cut["draw"]) & (F.col(quoted(row_id)) > cut["id"]))
         part = part + F.when(beyond, 1).otherwise(0)
-    # One row per class and cut; Spark's own estimate of a local table decides, unless they are certainly few.
-    lookup = F.broadcast(lookup) if len(table) <= BROADCAST_ROWS else lookup
-    marked = drawn.join(lookup, F.col("_class").eqNullSafe(F.col("_of")), "left")
     return marked.select(*[F.col(quoted(c)) for c in df.columns], part.alias(output))
 
 
-def holdout_split(
+def holdout_parts(
     df: DataFrame,
     *,
     row_id: str,
     label: str | None,
     fraction: float = HOLDOUT_FRACTION,
+    output: str = "part",
     draw: Column | None = None,
     seed: int = RANDOM_SEED,
-) -> tuple[DataFrame, DataFrame]:
-    """(train, holdout) with exact sizes; ``label=None`` splits without classes."""
-    sizes = train_sizes(class_counts(df, label), fraction)
-    marked = split_parts(
-        df, {c: [n] for c, n in sizes.items()}, label=label, row_id=row_id, output="_part", draw=draw, seed=seed
-    )
-    return tuple(marked.filter(F.col("_part") == i).drop("_part") for i in (0, 1))
+) -> DataFrame:
+    """Mark the training rows 0 and the holdout 1, with exact sizes; ``label=None`` splits without classes."""
+    classes = with_train_sizes(class_sizes(df, label), fraction)
+    return split_parts(df, classes, ["train"], label=label, row_id=row_id, output=output, draw=draw, seed=seed)
 
 
-def three_way_split(
+def three_way_parts(
     df: DataFrame,
     *,
     row_id: str,
     label: str | None,
     test: float = HOLDOUT_FRACTION,
     validation: float = HOLDOUT_FRACTION,
+    output: str = "part",
     draw: Column | None = None,
     seed: int = RANDOM_SEED,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(train, validation, test) in one draw; every row lands in exactly one part."""
-    counts = class_counts(df, label)
-    seen = train_sizes(counts, test)
-    train = train_sizes(seen, validation)
-    sizes = {c: [train[c], seen[c] - train[c]] for c in counts}
-    marked = split_parts(df, sizes, label=label, row_id=row_id, output="_part", draw=draw, seed=seed)
-    return tuple(marked.filter(F.col("_part") == i).drop("_part") for i in (0, 1, 2))
+) -> DataFrame:
+    """Mark training, validation and test rows 0, 1 and 2 in one draw; every row lands in exactly one part."""
+    seen = with_train_sizes(class_sizes(df, label), test, output="seen")
+    classes = with_train_sizes(seen, validation, of="seen")
+    return split_parts(df, classes, ["train", "seen"], label=label, row_id=row_id, output=output, draw=draw, seed=seed)
+
+
+def _pieces(marked: DataFrame, n: int) -> tuple[DataFrame, ...]:
+    return tuple(marked.filter(F.col("_part") == i).drop("_part") for i in range(n))
+
+
+def holdout_split(df: DataFrame, **settings) -> tuple[DataFrame, DataFrame]:
+    """(train, holdout) of :func:`holdout_parts`."""
+    return _pieces(holdout_parts(df, output="_part", **settings), 2)
+
+
+def three_way_split(df: DataFrame, **settings) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(train, validation, test) of :func:`three_way_parts`."""
+    return _pieces(three_way_parts(df, output="_part", **settings), 3)
 
 
 def undersample(
@@ -170,71 +195,84 @@ def undersample(
 ) -> DataFrame:
     """Every class cut to the size of the smallest one, without replacement."""
     df = df.filter(F.col(quoted(label)).isNotNull())
-    counts = class_counts(df, label)
-    smallest = min(counts.values())
-    marked = split_parts(
-        df, {c: [smallest] for c in counts}, label=label, row_id=row_id, output="_part", draw=draw, seed=seed
-    )
-    return marked.filter(F.col("_part") == 0).drop("_part")
-
-
-def _numbered(df: DataFrame, row_id: str, largest: int) -> DataFrame:
-    """Dense row numbers 0.. per ``_class``, from windows over small cells of draws."""
-    celled = df.withColumn("_cell", _cell(largest))
-    per_cell = celled.groupBy("_class", "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("_class").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_cell.select("_class", "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy("_class", "_cell").orderBy("_draw", quoted(row_id)))
-    return (
-        celled.withColumn("_inside", inside)
-        .join(offsets, ["_class", "_cell"])
-        .withColumn("_index", F.col("_offset") + F.col("_inside") - 1)
-        .drop("_offset", "_inside", "_cell")
-    )
+    classes = class_sizes(df, label)
+    smallest = classes.agg(F.min("n")).first()[0] or 0
+    classes = classes.withColumn("end", F.lit(smallest).cast("bigint"))
+    marked = split_parts(df, classes, ["end"], label=label, row_id=row_id, output="_part", draw=draw, seed=seed)
+    return _pieces(marked, 1)[0]
+
+
+def _shared_out(seed: int):
+    """Split the picks of a node among its children, in proportion to their rows and at random."""
+
+    def run(children: pa.Table) -> pa.Table:
+        order = np.argsort(children.column("_node").to_numpy())
+        children = children.take(pa.array(order))
+        n = children.column("n").to_numpy()
+        draw = np.random.default_rng([seed, children.column("_hash")[0].as_py() % (1 << 63), children.column("_parent")[0].as_py()])
+        picks = draw.multinomial(children.column("_picks")[0].as_py(), n / n.sum())
+        return children.drop_columns(["_picks", "_parent"]).append_column("_picks", pa.array(picks, pa.int64()))
+
+    return run
+
+
+def _bootstrapped(seed: int, schema: list[str]):
+    """Give the rows of a cell, which come one after the other, the cell's picks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, times = None, np.empty(0, np.int64)
+        for batch in batches:
+            out = np.empty(batch.num_rows, np.int64)
+            keys = list(zip(*[batch.column(c).to_pylist() for c in ("_hash", "_cell")], strict=True))
+            starts = [i for i in range(len(keys)) if (keys[i - 1] if i else at) != keys[i]]
+            for begin, end in zip([0, *starts], [*starts, len(keys)], strict=True):
+                if begin in starts:
+                    at = keys[begin]
+                    n, picks = (batch.column(c)[begin].as_py() for c in ("_n", "_picks"))
+                    times = np.random.default_rng([seed + 1, at[0] % (1 << 63), at[1]]).multinomial(picks, np.full(n, 1 / n))
+                out[begin:end], times = times[: end - begin], times[end - begin :]
+            kept = [batch.column(c) for c in schema]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(out)], [*schema, "_times"])
+
+    return run
 
 
 def oversample(df: DataFrame, *, row_id: str, label: str, seed: int = RANDOM_SEED) -> DataFrame:
     """Every class smaller than the largest becomes a bootstrap of that size; the largest stays.
 
-    The picks are generated as a distributed range and joined to numbered rows.  Classes of at
-    most BROADCAST_ROWS rows are broadcast to the picks, so a tiny class does not turn into a hot
-    join key; larger classes have at least that many evenly drawn keys and are shuffled.
+    A bootstrap is the number of times that each row is picked.  The picks of a class are split down a tree over the
+    leading bits of the rows' draws, each node's among its children by a multinomial draw in proportion to their
+    rows, and at last among the rows of a cell.  The draws depend on the seed, the class and the node, so the result
+    is the same under any partitioning.  Rows are shuffled once, by small cells; there is no table of picks.  Rows
+    without a class are left out.
     """
-    spark = df.sparkSession
-    counts = {c: n for c, n in class_counts(df, label).items() if c is not None}
-    largest = max(counts.values())
-    smaller = sorted((c for c, n in counts.items() if n < largest), key=_class_order)
     names = df.columns
-    pieces = [df.filter(F.col(quoted(label)).isin([c for c, n in counts.items() if n == largest]))]
-
-    tiny, used = [], 0
-    for c in sorted(smaller, key=lambda c: counts[c]):
-        if used + counts[c] <= BROADCAST_ROWS:
-            tiny.append(c)
-            used += counts[c]
-    for group, small in ((tiny, True), ([c for c in smaller if c not in tiny], False)):
-        if not group:
-            continue
-        kind = df.schema[label].dataType
-        sizes = F.element_at(F.array(*[F.lit(counts[c]) for c in group]), F.col("_at"))
-        labels = F.element_at(F.array(*[F.lit(c).cast(kind) for c in group]), F.col("_at"))
-        at = F.expr(f"CAST(id DIV {largest} AS INT) + 1")
-        picks = (
-            spark.range(largest * len(group))
-            .withColumn("_at", at)
-            .select(
-                labels.alias("_class"),
-                F.pmod(hashed_draw(seed + 1, F.col("id"), F.col("_at")), sizes).alias("_index"),
-            )
-        )
-        members = _drawn(df.filter(F.col(quoted(label)).isin(group)), label, row_id, None, seed)
-        rows = _numbered(members, row_id, max(counts[c] for c in group))
-        joined = picks.join(F.broadcast(rows) if small else rows, ["_class", "_index"])
-        pieces.append(joined.select(*[F.col(quoted(c)) for c in names]))
-    result = pieces[0]
-    for piece in pieces[1:]:
-        result = result.unionByName(piece)
-    return result
+    classes = class_sizes(df.filter(F.col(quoted(label)).isNotNull()), label)
+    largest = classes.agg(F.max("n")).first()[0] or 0
+    hashed = F.xxhash64(F.col("_class").cast("string"))
+    smaller = classes.filter(F.col("n") < largest).select(F.col("_class").alias("_of"))
+    drawn = _drawn(df, label, row_id, None, seed).join(smaller, F.col("_class") == F.col("_of"), "left_semi")
+    levels = -(-_cell_bits(largest) // TREE_BITS)
+    bits = TREE_BITS * levels
+    cells = _settled(drawn.groupBy("_class", _cell(bits).alias("_cell")).agg(F.count(F.lit(1)).alias("n")), "cells")
+    picks = smaller.select(F.col("_of").alias("_class"), F.lit(0).cast("bigint").alias("_parent"), F.lit(largest).cast("bigint").alias("_picks"))
+    kind = df.schema[label].dataType.simpleString()
+    for level in range(1, levels + 1):
+        below = TREE_BITS * (levels - level)
+        nodes = cells.groupBy("_class", F.shiftright("_cell", below).alias("_node")).agg(F.sum("n").alias("n"))
+        nodes = nodes.withColumn("_parent", F.shiftright("_node", TREE_BITS)).withColumn("_hash", hashed)
+        shared = nodes.join(picks.select("_class", "_parent", "_picks"), ["_class", "_parent"]).select("_class", "_hash", "_node", "_parent", "n", "_picks")
+        split = shared.groupBy("_class", "_parent").applyInArrow(_shared_out(seed), f"_class {kind}, _hash bigint, _node bigint, n bigint, _picks bigint")
+        picks = _settled(split.select("_class", F.col("_node").alias("_parent"), "_picks", "n", "_hash"), "picks")
+    leaves = picks.select(F.col("_class").alias("_of"), F.col("_parent").alias("_at"), F.col("n").alias("_n"), "_picks", "_hash")
+    rows = drawn.withColumn("_cell", _cell(bits)).join(leaves, (F.col("_class") == F.col("_of")) & (F.col("_cell") == F.col("_at")))
+    rows = rows.select(*[F.col(quoted(c)) for c in names], "_hash", "_cell", "_draw", "_n", "_picks")
+    spread = rows.repartition("_hash", "_cell").sortWithinPartitions("_hash", "_cell", "_draw", quoted(row_id))
+    counted = spread.mapInArrow(_bootstrapped(seed, names), T.StructType([*df.schema.fields, T.StructField("_times", T.LongType())]))
+    repeated = counted.filter("_times > 0").withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int"))))
+    whole = classes.filter(F.col("n") == largest).select(F.col("_class").alias("_of"))
+    kept = df.join(whole, F.col(quoted(label)) == F.col("_of"), "left_semi")
+    return kept.select(*[F.col(quoted(c)) for c in names]).unionByName(repeated.select(*[F.col(quoted(c)) for c in names]))
 
 
 def balance(df: DataFrame, *, row_id: str, label: str, strategy: str = "oversample", seed: int = RANDOM_SEED):

@@ -420,9 +420,8 @@ def _split_sql(stratified: bool) -> str:
 
 def _split(spark: SparkSession, sf_dir: str, label: str | None) -> DataFrame:
     df = labelled(spark, sf_dir).select("row_id", "label")
-    parts = sampling.holdout_split(df, row_id="row_id", label=label, draw=portable_draw(42, F.col("row_id")))
-    named = [p.withColumn("part", F.lit(n)) for p, n in zip(parts, ("train", "holdout"))]
-    return named[0].unionByName(named[1])
+    marked = sampling.holdout_parts(df, row_id="row_id", label=label, draw=portable_draw(42, F.col("row_id")))
+    return marked.withColumn("part", F.when(F.col("part") == 0, "train").otherwise("holdout"))
 
 
 @query("stratified_split", _split_sql(True))
@@ -442,10 +441,7 @@ def plain_split(spark, sf_dir):
 )
 def three_way_split(spark, sf_dir):
     df = labelled(spark, sf_dir).select("row_id", "label")
-    parts = sampling.three_way_split(df, row_id="row_id", label="label")
-    marked = parts[0].withColumn("part", F.lit(0))
-    for i in (1, 2):
-        marked = marked.unionByName(parts[i].withColumn("part", F.lit(i)))
+    marked = sampling.three_way_parts(df, row_id="row_id", label="label")
     n = F.count(F.lit(1))
     shares = {"train_share": 0, "validation_share": 1, "test_share": 2}
     return marked.agg(
@@ -455,6 +451,46 @@ def three_way_split(spark, sf_dir):
     )
 
 
+def _sizes_sql(name: str, of: str, source: str, output: str) -> str:
+    """Largest-remainder sizes of four fifths of the rows that ``source`` counts per class c."""
+    return f"""{name}_total AS (SELECT sum({of}) AS total, sum({of}) - CAST(ceil(CAST(0.2 AS DOUBLE) * sum({of}) - CAST(1e-9 AS DOUBLE)) AS BIGINT) AS train FROM {source}),
+    {name} AS (SELECT s.*, CAST({of} * train // total AS BIGINT)
+      + CASE WHEN row_number() OVER (ORDER BY {of} * train % total DESC, c) <= train - sum({of} * train // total) OVER () THEN 1 ELSE 0 END AS {output}
+      FROM {source} s, {name}_total)"""
+
+
+_BY_PART = """WITH drawn AS (SELECT row_id, c, CAST('0x' || substr(md5('42:' || row_id), 1, 15) AS BIGINT) AS draw FROM (
+  SELECT ((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber AS row_id, l_partkey AS c FROM lineitem)),
+  counts AS (SELECT c, CAST(count(*) AS HUGEINT) AS n FROM drawn GROUP BY c), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY draw, row_id) AS place FROM drawn)"""
+
+
+def _parts_of_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    row_id = F.expr(views.ROW_ID).alias("row_id")
+    return views.table(spark, sf_dir, "lineitem").select(row_id, F.col("l_partkey").alias("part_key"))
+
+
+@query(
+    "split_of_many_classes",
+    f"""{_BY_PART}, {_sizes_sql('sizes', 'n', 'counts', 'train_rows')}
+    SELECT row_id, c AS part_key, CASE WHEN place <= train_rows THEN 0 ELSE 1 END AS part FROM placed JOIN sizes USING (c)""",
+)
+def split_of_many_classes(spark, sf_dir):
+    df = _parts_of_lineitem(spark, sf_dir)
+    return sampling.holdout_parts(df, row_id="row_id", label="part_key", draw=portable_draw(42, F.col("row_id")))
+
+
+@query(
+    "three_way_rows",
+    f"""{_BY_PART}, {_sizes_sql('seen_sizes', 'n', 'counts', 'seen')}, again AS (SELECT c, CAST(seen AS HUGEINT) AS seen FROM seen_sizes),
+    {_sizes_sql('sizes', 'seen', 'again', 'train_rows')}
+    SELECT row_id, c AS part_key, CASE WHEN place <= train_rows THEN 0 WHEN place <= seen THEN 1 ELSE 2 END AS part FROM placed JOIN sizes USING (c)""",
+)
+def three_way_rows(spark, sf_dir):
+    df = _parts_of_lineitem(spark, sf_dir)
+    return sampling.three_way_parts(df, row_id="row_id", label="part_key", draw=portable_draw(42, F.col("row_id")))
+
+
 @query(
     "undersampled_rows",
     f"""{WITH_CONN}, drawn AS (SELECT row_id, label, row_number() OVER (PARTITION BY label

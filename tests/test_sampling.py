@@ -50,11 +50,38 @@ def test_plain_split(spark, n, fraction):
     assert holdout.count() == math.ceil(fraction * n) and train.count() == n - math.ceil(fraction * n)
 
 
-def test_train_sizes_add_up():
-    for sizes in ({0: 5, 1: 3, 2: 2}, {0: 1, 1: 1, 2: 1}, {"a": 333, "b": 334, None: 333}):
-        train = sampling.train_sizes(sizes, 0.2)
-        assert sum(train.values()) == sum(sizes.values()) - math.ceil(0.2 * sum(sizes.values()))
-        assert all(0 <= train[c] <= sizes[c] for c in sizes)
+def train_sizes(counts, holdout):
+    """Largest remainders, ties to the smaller class, none last."""
+    total = sum(counts.values())
+    train = total - math.ceil(holdout * total - 1e-9)
+    sizes = {c: n * train // total for c, n in counts.items()}
+    order = sorted(counts, key=lambda c: (-(counts[c] * train % total), c is None, c if c is not None else 0))
+    for c in order[: train - sum(sizes.values())]:
+        sizes[c] += 1
+    return sizes
+
+
+@pytest.mark.parametrize("sizes", [{0: 5, 1: 3, 2: 2}, {0: 1, 1: 1, 2: 1}, {"a": 333, "b": 334, None: 333}, {None: 1, 1: 1}, {3: 7}, dict.fromkeys(range(500), 3)])
+def test_train_sizes_add_up(spark, sizes):
+    kind = "string" if "a" in sizes else "int"
+    classes = spark.createDataFrame(list(sizes.items()), f"_class {kind}, n bigint")
+    for holdout in (0.2, 0.5, 0.0, 1.0):
+        train = {r["_class"]: r["train"] for r in sampling.with_train_sizes(classes, holdout).collect()}
+        assert sum(train.values()) == sum(sizes.values()) - math.ceil(holdout * sum(sizes.values()))
+        assert train == train_sizes(sizes, holdout)
+
+
+def test_classes_as_many_as_rows(spark):
+    df = spark.range(5000).select(F.col("id").alias("row_id"), (F.col("id") % 2500).alias("label"))
+    marked = sampling.three_way_parts(df, row_id="row_id", label="label")
+    assert dict(marked.groupBy("part").count().collect()) == {0: 3200, 1: 800, 2: 1000}
+
+
+def test_split_of_no_rows(spark):
+    df = spark.createDataFrame([], "row_id bigint, label string")
+    assert [p.count() for p in sampling.three_way_split(df, row_id="row_id", label="label")] == [0, 0, 0]
+    assert sampling.undersample(df, row_id="row_id", label="label").count() == 0
+    assert sampling.oversample(df, row_id="row_id", label="label").count() == 0
 
 
 def test_three_parts_lose_no_row(skewed):
@@ -76,10 +103,11 @@ def test_undersample(skewed):
     assert len(set(ids(out))) == 90
 
 
-@pytest.mark.parametrize("broadcast_rows", [100_000, 50, 0])
-def test_oversample(skewed, monkeypatch, broadcast_rows):
-    """All small classes broadcast, only the tiny one, and none."""
-    monkeypatch.setattr(sampling, "BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("rows_per_cell", [4096, 50, 1])
+def test_oversample(skewed, monkeypatch, rows_per_cell):
+    """One level of the tree, and several."""
+    monkeypatch.setattr(sampling, "ROWS_PER_CELL", rows_per_cell)
+    monkeypatch.setattr(sampling, "TREE_BITS", 3)
     out = sampling.oversample(skewed, row_id="row_id", label="label").cache()
     assert counts(out) == {"big": 2700, "mid": 2700, "tiny": 2700}
     own = {r["row_id"]: tuple(r) for r in skewed.collect()}
@@ -89,6 +117,23 @@ def test_oversample(skewed, monkeypatch, broadcast_rows):
     assert len(set(ids(out.filter("label = 'big'")))) == 2700
 
 
+def test_bootstrap_depends_on_rows_and_seed_only(skewed):
+    def rows(df, seed=42):
+        return Counter(r["row_id"] for r in sampling.oversample(df, row_id="row_id", label="label", seed=seed).collect())
+
+    assert rows(skewed) == rows(skewed.repartition(9, "x")) != rows(skewed, 1)
+
+
+def test_bootstrap_picks_are_independent(spark, monkeypatch):
+    """Times that a row is picked have the mean and variance of a multinomial draw."""
+    monkeypatch.setattr(sampling, "ROWS_PER_CELL", 16)
+    df = spark.range(5000).select(F.col("id").alias("row_id"), F.when(F.col("id") < 1000, "few").otherwise("many").alias("label"))
+    out = sampling.oversample(df, row_id="row_id", label="label").filter("label = 'few'")
+    times = [r["n"] for r in df.filter("label = 'few'").join(out.groupBy("row_id").agg(F.count("*").alias("n")), "row_id", "left").fillna(0).collect()]
+    mean = sum(times) / 1000
+    assert mean == 4.0 and 3.3 < sum((t - mean) ** 2 for t in times) / 1000 < 4.8
+
+
 def test_balance_strategies(skewed):
     assert sampling.balance(skewed, row_id="row_id", label="label", strategy="undersample").count() == 90
     with pytest.raises(ValueError):
