@@ -7,7 +7,6 @@ cuts of classes stay tables throughout; the driver sees totals only.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,39 +43,36 @@ def with_train_sizes(classes: DataFrame, holdout: float, of: str = "n", output:
     """Add the training rows of each class; the total is exact and leftovers go to the largest remainders.
 
     Among equal remainders the smaller classes, by value, come first, a missing one last.  A remainder depends on
-    a class's size only, so the remainders are counted, the one at which the leftovers run out is found by running
-    totals, and only the classes that have it are ranked.
+    a class's size only, so all but the last choice is made on the table of different sizes, which has at most the
+    square root of twice the rows; only the classes with the remainder at which the leftovers run out are ranked.
     """
-    total = classes.agg(F.sum(of)).first()[0] or 0
-    train = total - math.ceil(holdout * total - 1e-9)
-    if total == 0:
-        return _settled(classes.withColumn(output, F.lit(0).cast("bigint")), "sizes")
-    product = F.col(of).cast("decimal(19,0)") * F.lit(train).cast("decimal(19,0)")
-    whole = F.lit(total).cast("decimal(19,0)")
-    shared = _settled(
-        classes.withColumn("_left", (product % whole).cast("bigint")).withColumn("_floor", ((product - product % whole) / whole).cast("bigint")), "shares"
-    )
-    leftover = train - shared.agg(F.sum("_floor")).first()[0]
-    more = F.lit(False)
-    if leftover > 0:
-        remainders = shared.groupBy("_left").agg(F.count(F.lit(1)).alias("classes"))
-        upto = running_totals(remainders, "_left", ["classes"], descending=True)
-        last = upto.filter((F.col("classes_before") < leftover) & (F.col("classes_before") + F.col("classes") >= leftover)).first()
-        more = F.col("_left") > last["_left"]
-        take = leftover - last["classes_before"]
-        if take < last["classes"]:
-            tied = shared.filter(F.col("_left") == last["_left"])
-            missing = tied.filter(F.col("_class").isNull()).count()  # comes last
-            ranked = running_totals(tied.filter(F.col("_class").isNotNull()).select("_class", F.lit(1).alias("one")), "_class", ["one"])
-            chosen = ranked.filter(F.col("one_before") < take).select(F.col("_class").alias("_chosen"))
-            shared = shared.join(chosen, F.col("_class") == F.col("_chosen"), "left")
-            more = more | F.col("_chosen").isNotNull()
-            if missing and take == last["classes"]:
-                more = more | F.col("_class").isNull()
-        else:
-            more = F.col("_left") >= last["_left"]
-    sized = shared.withColumn(output, F.col("_floor") + F.when(more, 1).otherwise(0))
-    return _settled(sized.select(*classes.columns, output), "sizes")
+    size = F.col("_n").cast("decimal(19,0)")
+    everywhere = Window.partitionBy(F.lit(0))
+    total = F.greatest(F.sum(F.col("_n") * F.col("classes")).over(everywhere), F.lit(1))
+    train = F.col("total") - F.ceil(F.lit(holdout) * F.col("total") - F.lit(1e-9))
+    product = size * F.col("train").cast("decimal(19,0)")
+    whole = F.col("total").cast("decimal(19,0)")
+    leftover = F.col("train") - F.sum(F.col("floor") * F.col("classes")).over(everywhere)
+    upto, same = F.sum("classes").over(everywhere.orderBy(F.desc("left"))), F.sum("classes").over(Window.partitionBy("left"))
+    rule = _settled(
+        classes.groupBy(F.col(of).cast("bigint").alias("_n")).agg(F.count(F.lit(1)).alias("classes"))
+        .withColumn("total", total).withColumn("train", train)
+        .withColumn("left", (product % whole).cast("bigint")).withColumn("floor", ((product - product % whole) / whole).cast("bigint"))
+        .withColumns({"leftover": leftover, "upto": upto, "same": same})
+        .withColumn("take", F.greatest(F.lit(0), F.least("same", F.col("leftover") - F.col("upto") + F.col("same"))))
+        .select("_n", "floor", "left", "take", "same"),
+        "sizes",
+    )
+    sized = classes.join(rule, F.col(of) == F.col("_n"))
+    more = F.col("take") == F.col("same")
+    last = rule.filter((F.col("take") > 0) & (F.col("take") < F.col("same"))).first()
+    if last:
+        tied = sized.filter((F.col("left") == last["left"]) & F.col("_class").isNotNull())  # a missing one comes last
+        ranked = running_totals(tied.select("_class", F.lit(1).alias("one")), "_class", ["one"])
+        chosen = ranked.filter(F.col("one_before") < last["take"]).select(F.col("_class").alias("_chosen"))
+        sized = sized.join(chosen, F.col("_class") == F.col("_chosen"), "left")
+        more = more | F.col("_chosen").isNotNull()
+    return sized.select(*classes.columns, (F.col("floor") + F.when(more, 1).otherwise(0)).alias(output))
 
 
 def _drawn(df: DataFrame, label: str | None, row_id: str, draw: Column | None, seed: int) -> DataFrame:
@@ -101,7 +97,8 @@ def _cuts(drawn: DataFrame, row_id: str, classes: DataFrame, ends: list[str]) ->
     bits = _cell_bits(classes.agg(F.max(F.greatest(*ends, F.lit(0)))).first()[0] or 1)
     keys = drawn.select("_class", _cell(bits).alias("_cell"), "_draw", F.col(quoted(row_id)).alias("_id"))
     per_cell = keys.groupBy("_class", "_cell").agg(F.count(F.lit(1)).alias("n"))
-    placed = running_totals(per_cell, "_cell", ["n"], by=("_class",))
+    upto = F.sum("n").over(Window.partitionBy("_class").orderBy("_cell"))  # a row for thousands of rows of a class
+    placed = per_cell.withColumn("n_before", upto - F.col("n"))
     wanted = classes.select(
         F.col("_class").alias("_of"), F.inline(F.array(*[F.struct(F.lit(i).alias("part"), F.col(e).cast("bigint").alias("end")) for i, e in enumerate(ends)]))
     ).filter("end > 0")
