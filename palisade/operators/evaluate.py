@@ -145,6 +145,21 @@ def confusion_matrix(df: DataFrame, y: str, prediction: str) -> DataFrame:
     )
 
 
+def confusion_cells(df: DataFrame, y: str, prediction: str) -> DataFrame:
+    """(actual, predicted, n) for any number of classes: the pairs that occur, and the diagonal of every class.
+
+    A class that is only true or only predicted has a diagonal of 0.  A missing label or prediction is a class.
+    """
+    pairs = df.groupBy(F.col(quoted(y)).alias("actual"), F.col(quoted(prediction)).alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(0).cast("bigint")
+    cells = F.array(
+        F.struct("actual", "predicted", "n"),
+        F.struct("actual", F.col("actual").alias("predicted"), none.alias("n")),
+        F.struct(F.col("predicted").alias("actual"), "predicted", none.alias("n")),
+    )
+    return pairs.select(F.inline(cells)).groupBy("actual", "predicted").agg(F.sum("n").alias("n"))
+
+
 def _per_class(df: DataFrame, y: str, prediction: str) -> DataFrame:
     """(class, tp, support, predicted) from the class-pair counts."""
     cells = df.groupBy(F.col(quoted(y)).alias("t"), F.col(quoted(prediction)).alias("p")).agg(

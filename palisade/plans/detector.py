@@ -20,6 +20,7 @@ from palisade.operators.preprocess import PreprocessModel, Preprocessor
 from palisade.operators.signatures import SignatureMiner, SignatureModel
 from palisade.schema import quoted
 from palisade.session import cut_lineage
+from palisade.sources.artifacts import names_below, new_version, publish, version_folder, versions
 from palisade.sources.runs import summary_rows
 
 
@@ -81,6 +82,7 @@ class TrainingRun:
     results: dict[str, DataFrame] = field(default_factory=dict)
     scored_validation: DataFrame | None = None
     scored_test: DataFrame | None = None
+    n_train: int | None = None
 
 
 def train_detector(
@@ -123,7 +125,7 @@ def train_detector(
         signatures,
         settings.fusion.threshold,
     )
-    run = TrainingRun(detector)
+    run = TrainingRun(detector, n_train=train.count())
     kept = [row_id, label, "sig", *[f"{k}_{m}" for m in names for k in ("p", "pred")], "p_ensemble", "p_attack"]
 
     def scored(df: DataFrame) -> DataFrame:
@@ -165,20 +167,24 @@ def with_actual(scored: DataFrame, label: str) -> DataFrame:
 
 
 def run_summary(run: TrainingRun, run_id: str, label: str = "label") -> DataFrame:
-    """A training run as long rows for the run store: results, counts, curve points, importances."""
+    """A training run as long rows for the run store: results, sizes, report, curve points, importances."""
     parts = [
         summary_rows(run_id, name, table, key="model" if "model" in table.columns else None)
         for name, table in run.results.items()
     ]
     scored = run.scored_test if run.scored_test is not None else run.scored_validation
+    sizes = {"n_train": run.n_train, "n_test": None if run.scored_test is None else run.scored_test.count()}
+    spark = SparkSession.active()
+    parts.append(summary_rows(run_id, "sizes", spark.createDataFrame([tuple(sizes.values())], ", ".join(f"{c} bigint" for c in sizes))))
     if scored is not None:
+        report = evaluate.classification_report(scored, label, "prediction")
+        parts.append(summary_rows(run_id, "report", report, key="class"))
         curve = evaluate.roc_curve(scored, label, "p_attack")
         parts += [
             summary_rows(run_id, "classes", evaluate.class_chart(scored, label), key="class"),
             summary_rows(run_id, "confusion", evaluate.confusion_matrix(scored, label, "prediction"), key="actual"),
             summary_rows(run_id, "roc", curve, key="threshold"),
         ]
-    spark = SparkSession.active()
     names = run.detector.features.output_columns
     for name, model in run.detector.learners.items():
         importance = learner_importance(model, names, spark)
@@ -195,24 +201,27 @@ def run_summary(run: TrainingRun, run_id: str, label: str = "label") -> DataFram
 
 
 def _write_json(spark: SparkSession, record: dict, path: str) -> None:
-    spark.createDataFrame([(json.dumps(record),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    spark.createDataFrame([(json.dumps(record),)], "value string").coalesce(1).write.text(path)
 
 
 def _read_json(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path).first()[0])
 
 
-def save_detector(detector: Detector, spark: SparkSession, path: str) -> None:
-    """One folder per part below ``path``, plus the rules as a readable table."""
-    path = path.rstrip("/")
-    detector.preprocess.write().overwrite().save(f"{path}/preprocess")
-    detector.features.write().overwrite().save(f"{path}/features")
-    for name, model in detector.learners.items():
-        PipelineModel([model]).write().overwrite().save(f"{path}/learners/{name}")
+def save_detector(detector: Detector, spark: SparkSession, path: str) -> str:
+    """Write a new version below ``path``, one folder per part and the rules as a readable table; gives its name.
+
+    Readers see it when all of it is there; versions before it stay.
+    """
+    name, folder = new_version(spark, path)
+    detector.preprocess.write().save(f"{folder}/preprocess")
+    detector.features.write().save(f"{folder}/features")
+    for model_name, model in detector.learners.items():
+        PipelineModel([model]).write().save(f"{folder}/learners/{model_name}")
     if detector.signatures is not None:
-        detector.signatures.write().overwrite().save(f"{path}/signatures")
-        detector.signatures.rules(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/rules")
-    _write_json(spark, {"threshold": detector.threshold}, f"{path}/threshold")
+        detector.signatures.write().save(f"{folder}/signatures")
+        detector.signatures.rules(spark).coalesce(1).write.parquet(f"{folder}/rules")
+    _write_json(spark, {"threshold": detector.threshold}, f"{folder}/threshold")
     _write_json(
         spark,
         {
@@ -220,46 +229,52 @@ def save_detector(detector: Detector, spark: SparkSession, path: str) -> None:
             "ensemble": asdict(detector.ensemble),
             "signatures": detector.signatures is not None,
         },
-        f"{path}/manifest",
+        f"{folder}/manifest",
     )
+    publish(spark, path, name)
+    return name
 
 
-def stored_threshold(spark: SparkSession, path: str) -> float:
+def stored_threshold(spark: SparkSession, path: str, version: str | None = None) -> float:
     """The tuned threshold of a saved detector, or the default when none was stored."""
+    if version is None and not versions(spark, path):
+        return FusionSettings().threshold
     try:
-        return float(_read_json(spark, f"{path.rstrip('/')}/threshold")["threshold"])
+        return float(_read_json(spark, f"{version_folder(spark, path, version)}/threshold")["threshold"])
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return FusionSettings().threshold
 
 
-def load_detector(spark: SparkSession, path: str) -> Detector:
-    path = path.rstrip("/")
-    manifest = _read_json(spark, f"{path}/manifest")
+def load_detector(spark: SparkSession, path: str, version: str | None = None) -> Detector:
+    """A saved detector, of the newest version unless one is named; all parts are of that version."""
+    folder = version_folder(spark, path, version)
+    version = folder.rpartition("/")[2]
+    manifest = _read_json(spark, f"{folder}/manifest")
     weights = manifest["ensemble"]["weights"]
     return Detector(
-        PreprocessModel.load(f"{path}/preprocess"),
-        FeatureModel.load(f"{path}/features"),
-        {m: PipelineModel.load(f"{path}/learners/{m}").stages[0] for m in manifest["learners"]},
+        PreprocessModel.load(f"{folder}/preprocess"),
+        FeatureModel.load(f"{folder}/features"),
+        {m: PipelineModel.load(f"{folder}/learners/{m}").stages[0] for m in manifest["learners"]},
         EnsembleSettings(manifest["ensemble"]["voting"], tuple(weights) if weights else None),
-        SignatureModel.load(f"{path}/signatures") if manifest["signatures"] else None,
-        stored_threshold(spark, path),
+        SignatureModel.load(f"{folder}/signatures") if manifest["signatures"] else None,
+        stored_threshold(spark, path, version),
     )
 
 
-def list_artifacts(spark: SparkSession, path: str) -> DataFrame:
-    """(artifact) names of what is stored of a detector."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def list_artifacts(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
+    """(artifact) names of what is stored of a detector, in the newest version unless one is named."""
+    folder = version_folder(spark, path, version)
+    tops = names_below(spark, folder, folders=True)
+    names = [n for t in tops for n in ([f"{t}/{m}" for m in names_below(spark, f"{folder}/{t}", folders=True)] if t == "learners" else [t])]
+    return spark.createDataFrame([(n,) for n in sorted(names)], "artifact string")
 
-    def below(name: str) -> list[str]:
-        inside = jvm.org.apache.hadoop.fs.Path(folder, name) if name else folder
-        return [f"{name}/{s.getPath().getName()}".lstrip("/") for s in fs.listStatus(inside) if s.isDirectory()]
 
-    names = [n for top in below("") for n in (below(top) if top == "learners" else [top])]
-    return spark.createDataFrame([(n,) for n in sorted(names)], "artifact string")
+def list_versions(spark: SparkSession, path: str) -> DataFrame:
+    """(version, threshold) of every published version, oldest first."""
+    rows = [(v, stored_threshold(spark, path, v)) for v in versions(spark, path)]
+    return spark.createDataFrame(rows, "version string, threshold double")
 
 
 def score_table(spark: SparkSession, path: str, df: DataFrame, threshold: float | None = None) -> DataFrame:

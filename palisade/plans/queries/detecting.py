@@ -372,6 +372,22 @@ def metric_bars(spark, sf_dir):
     return rounded(evaluate.metric_bars(_compared(spark, sf_dir)), 9)
 
 
+_GUESS = """CASE WHEN flag = 'S0' THEN 'syn_flood' WHEN land = 1 THEN 'land_loop' WHEN flag = 'REJ' THEN 'reject_scan'
+  WHEN duration = 6 THEN 'probe' WHEN flag IS NULL THEN NULL ELSE 'normal' END"""
+
+
+@query(
+    "confusion_cells",
+    f"""{WITH_CONN}, guessed AS (SELECT label AS actual, {_GUESS} AS predicted FROM conn),
+    cells AS (SELECT actual, predicted, count(*) AS n FROM guessed GROUP BY ALL
+      UNION ALL SELECT DISTINCT actual, actual, 0 FROM guessed UNION ALL SELECT DISTINCT predicted, predicted, 0 FROM guessed)
+    SELECT actual, predicted, CAST(sum(n) AS BIGINT) AS n FROM cells GROUP BY actual, predicted""",
+)
+def confusion_cells(spark, sf_dir):
+    guessed = views.conn(spark, sf_dir).select("label", F.expr(_GUESS).alias("guess"))
+    return evaluate.confusion_cells(guessed, "label", "guess")
+
+
 @query(
     "confusion_matrix",
     f"""{_FUSED} SELECT y AS actual, count(*) FILTER (WHERE prediction = 0) AS predicted_0,

@@ -166,3 +166,11 @@ def test_no_rows(spark):
 def test_a_class_that_is_only_predicted_has_a_row(spark):
     df = spark.createDataFrame([(0, 0), (0, 1)], "y int, pred int")
     assert [tuple(r) for r in evaluate.confusion_matrix(df, "y", "pred").collect()] == [(0, 1, 1), (1, 0, 0)]
+
+
+def test_confusion_of_many_classes(spark):
+    rows = [(0, 0), (2, 2), (1, 2), (1, 2), (None, 3)]
+    df = spark.createDataFrame(rows, "y int, pred int")
+    got = {(r["actual"], r["predicted"]): r["n"] for r in evaluate.confusion_cells(df, "y", "pred").collect()}
+    assert got == {(0, 0): 1, (1, 1): 0, (2, 2): 1, (1, 2): 2, (None, 3): 1, (None, None): 0, (3, 3): 0}
+    assert evaluate.confusion_cells(df.limit(0), "y", "pred").count() == 0

@@ -24,6 +24,7 @@ from palisade.operators.features import assemble
 from palisade.operators.preprocess import Preprocessor
 from palisade.plans import detector as jobs
 from palisade.sources import runs
+from palisade.sources.artifacts import version_folder, versions
 from palisade.sources.connections import write_table
 from palisade.streaming.scoring import arriving, score_arriving
 
@@ -150,6 +151,20 @@ def test_run_summary_keeps_the_last_run(spark, run, tmp_path):
     assert {r[0] for r in last.select("run_id").distinct().collect()} == {"2024-02"}
     sections = {r[0] for r in last.select("section").distinct().collect()}
     assert {"Models", "confusion", "roc", "classes", "importance of random_forest"} <= sections
+    stored = {(r["section"], r["key"]): r["value"] for r in last.collect()}
+    assert len(stored) == last.count()
+    assert stored["sizes", "n_train"] == str(run.n_train) and stored["sizes", "n_test"] == str(run.scored_test.count())
+    assert float(stored["report", "Attack.recall"]) > 0.8
+
+
+def test_repeated_append_leaves_one_copy(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    table = spark.createDataFrame([(0, 5), (1, 7)], "class int, n int")
+    for run_id in ("a", "b", "a", "a"):
+        runs.append_summary(runs.summary_rows(run_id, "classes", table, key="class"), path)
+    everything = spark.read.schema(runs.SCHEMA).parquet(path)
+    assert dict(everything.groupBy("run_id").count().collect()) == {"a": 2, "b": 2}
+    assert {r["run_id"] for r in runs.last_summary(spark, path).collect()} == {"b"}
 
 
 def test_fusion_beats_the_flat_threshold_when_models_say_normal(run):
@@ -229,11 +244,37 @@ def test_saved_detector_scores_the_same(spark, run, traffic, tmp_path):
     listed = {r[0] for r in jobs.list_artifacts(spark, path).collect()}
     parts = {"features", "manifest", "preprocess", "rules", "signatures", "threshold"}
     assert listed == parts | {f"learners/{m}" for m in PAIR}
-    assert spark.read.parquet(f"{path}/rules").count() == run.detector.signatures.rule_count
+    assert spark.read.parquet(f"{version_folder(spark, path)}/rules").count() == run.detector.signatures.rule_count
     lines = dict(jobs.load_detector(spark, path).summary(spark).collect())
     assert lines["models"] == "2"
 
 
+def test_failed_save_leaves_the_old_version(spark, run, tmp_path, monkeypatch):
+    path = str(tmp_path / "detector")
+    first = jobs.save_detector(run.detector, spark, path)
+
+    def broken(*_):
+        raise OSError("the disk is full")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(jobs, "_write_json", broken)
+        with pytest.raises(OSError):
+            jobs.save_detector(run.detector, spark, path)
+    assert versions(spark, path) == [first]
+    assert jobs.load_detector(spark, path).threshold == run.detector.threshold
+
+    other = jobs.Detector(run.detector.preprocess, run.detector.features, run.detector.learners, run.detector.ensemble, None, 0.25)
+    second = jobs.save_detector(other, spark, path)
+    assert [r[0] for r in jobs.list_versions(spark, path).collect()] == [first, second]
+    assert jobs.stored_threshold(spark, path) == 0.25 and jobs.load_detector(spark, path).signatures is None
+    assert jobs.load_detector(spark, path, first).signatures is not None and jobs.stored_threshold(spark, path, first) == run.detector.threshold
+    assert "rules" not in {r[0] for r in jobs.list_artifacts(spark, path).collect()}
+    with pytest.raises(FileNotFoundError):
+        jobs.load_detector(spark, path, "000000099-none")
+    with pytest.raises(FileNotFoundError):
+        jobs.load_detector(spark, str(tmp_path / "nothing"))
+
+
 def test_kernel_machine_survives_saving(spark, parts, tmp_path):
     run = jobs.train_detector(parts[0], settings=SETTINGS, learners=("kernel_machine",))
     path = str(tmp_path / "kernel")
