@@ -2,9 +2,14 @@
 
 Every batch of documents is a shard.  The words of a shard are hashed, and the suffixes (word
 positions) that can begin a benchmark window are sorted by their first ``WINDOW`` words: the shard's
-suffix array, without the suffixes that no test suffix can meet.  Every test suffix is binary-searched
-in it; the run of training suffixes that begin with it gives the places of verbatim copies, and
-neighbouring places on one diagonal join into the longest match.
+suffix array, without the suffixes that no test suffix can meet.  Equal windows of the benchmark are
+one class; each is binary-searched in the shard once, however many items share it, so a document has
+at most one hit per word and window size.
+
+The benchmark has a suffix array too, over the classes of its windows.  From the first hit word on, the
+interval of test suffixes that agree with the document is narrowed class by class until none is left:
+the longest passage that some item holds verbatim, and one place of it.  The next match begins at the
+first hit window after.  The items of a document are those of the classes that it hits.
 
 Documents are read once and not shuffled: the benchmark is the stated query set.  It goes to the tasks
 in blocks of at most ``BLOCK_BYTES`` of text; a larger one is searched block by block, and the matches
@@ -14,6 +19,7 @@ of a document are joined afterwards.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,15 +40,69 @@ _FILTER_BITS = 22
 
 @dataclass
 class TestSuffixes:
-    """Windows of benchmark items in suffix form; ``size`` words of each count, ``item`` numbers the ids."""
+    """Windows of benchmark items by class of equal ones, and the suffix array over the classes."""
 
     ids: list[str]
-    keys: np.ndarray  # big-endian word hashes, WINDOW of them, zero beyond the window
-    size: np.ndarray
-    item: np.ndarray
-    place: np.ndarray  # word at which the window starts in its item
+    keys: np.ndarray  # of each class: big-endian word hashes, WINDOW of them, zero beyond the window
+    size: np.ndarray  # of each class: words
+    kind: np.ndarray  # of each window: its class
+    item: np.ndarray  # of each window: its item
+    place: np.ndarray  # of each window: the word at which it starts in its item
+    order: np.ndarray  # windows sorted by the classes from there to the end of the item
+    low: np.ndarray  # where a class begins in ``order``, and the end
+    holders: np.ndarray  # items of class 0, of class 1, ...
+    holders_low: np.ndarray
     seeds: dict[int, np.ndarray]  # filter of the first words, by how many of them
 
+    def ahead(self, window: int, n: int) -> int:
+        """The class n windows later in the same item, -1 beyond its end."""
+        at = window + n
+        return self.kind[at] if at < len(self.kind) and self.item[at] == self.item[window] else -1
+
+    def passages(self, starts: list[int], kinds: list[int]) -> list[tuple[int, int, int, int]]:
+        """(first word, item, first word in the item, words) of the windows found in a text, in order of their words."""
+        out = [(s, k) for s, k in zip(starts, kinds, strict=True) if self.size[k] < WINDOW]
+        out = [(s, self.order[self.low[k]], self.size[k]) for s, k in out]
+        full = [(s, k) for s, k in zip(starts, kinds, strict=True) if self.size[k] == WINDOW]
+        i = 0
+        while i < len(full):
+            start, kind = full[i]
+            low, high, n = self.low[kind], self.low[kind + 1], 1
+            while i + n < len(full) and full[i + n][0] == start + n:
+                low, high = self._narrow(low, high, n, full[i + n][1])
+                if low < 0:
+                    break
+                found, n = low, n + 1
+            out.append((start, self.order[self.low[kind] if n == 1 else found], WINDOW + n - 1))
+            i += n
+        return sorted((int(s), int(self.item[w]), int(self.place[w]), int(words)) for s, w, words in out)
+
+    def _narrow(self, low: int, high: int, n: int, kind: int) -> tuple[int, int]:
+        """The part of an interval of ``order`` whose suffixes go on with a class, or (-1, -1)."""
+        if high - low == 1:
+            return (low, high) if self.ahead(self.order[low], n) == kind else (-1, -1)
+        low = bisect_left(self.order, kind, low, high, key=lambda w: self.ahead(w, n))
+        high = bisect_right(self.order, kind, low, high, key=lambda w: self.ahead(w, n))
+        return (low, high) if low < high else (-1, -1)
+
+    def items_of(self, kinds: np.ndarray) -> list[str]:
+        met = {i for k in np.unique(kinds) for i in self.holders[self.holders_low[k] : self.holders_low[k + 1]].tolist()}
+        return sorted({self.ids[i] for i in met})
+
+
+def suffix_order(kind: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Windows sorted by the classes from there to the end of their item, by prefix doubling."""
+    rank, step, n = kind.astype(np.int64), 1, len(kind)
+    while True:
+        ahead = np.full(n, -1)
+        ahead[: n - step] = np.where(item[step:] == item[: n - step], rank[step:], -1)
+        order = np.lexsort((ahead, rank))
+        new = np.empty(n, np.int64)
+        new[order] = np.cumsum((np.diff(rank[order], prepend=rank[order[:1]]) != 0) | (np.diff(ahead[order], prepend=ahead[order[:1]]) != 0))
+        if n == 0 or step >= n or new.max() == rank.max():
+            return order
+        rank, step = new, 2 * step
+
 
 def _rows_of(hashes: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
     """The suffixes at some words as byte strings of fixed width; words beyond the text are zero."""
@@ -69,17 +129,23 @@ def suffixes_of(items: list[tuple[str, str | None]]) -> TestSuffixes:
     place = np.arange(len(item)) - np.repeat(np.cumsum(windows) - windows, windows)
     at = found.first[item] + place
     keys = _rows_of(found.hash, at, size[item]) if len(item) else np.empty(0, f"S{8 * WINDOW}")
+    keys, first, kind = np.unique(keys, return_index=True, return_inverse=True)
+    order, every = suffix_order(kind, item), np.arange(len(keys) + 1)
+    held = np.unique(np.stack([kind, item], axis=1), axis=0).reshape(-1, 2)
     seeds = {}
     for n in range(1, _SEED + 1):
         mine = at[size[item] == n] if n < _SEED else at[size[item] >= n]
         if len(mine):
             seeds[n] = np.zeros(1 << _FILTER_BITS, bool)
             seeds[n][_seed(found.hash, n)[mine]] = True
-    return TestSuffixes([i for i, _ in items], keys, size[item], item, place, seeds)
+    return TestSuffixes(
+        [i for i, _ in items], keys, size[item][first], kind, item, place, order, np.searchsorted(kind[order], every),
+        held[:, 1], np.searchsorted(held[:, 0], every), seeds,
+    )
 
 
 def search_shard(texts: list[bytes], tests: TestSuffixes) -> tuple[np.ndarray, np.ndarray]:
-    """Words per text, and rows (text, first word, item, first word in the item, words) of all windows found."""
+    """Words per text, and rows (text, first word, class) of all windows found, sorted."""
     found = words(texts, ALPHANUMERIC)
     counts = np.diff(found.first)
     wanted = np.zeros(len(found.hash), bool)
@@ -88,7 +154,7 @@ def search_shard(texts: list[bytes], tests: TestSuffixes) -> tuple[np.ndarray, n
             wanted[: len(wanted) - n + 1] |= seeds[_seed(found.hash, n)]
     at = np.flatnonzero(wanted)
     if not len(at):
-        return counts, np.empty((0, 5), np.int64)
+        return counts, np.empty((0, 3), np.int64)
     left = found.first[found.text[at] + 1] - at
     keys = _rows_of(found.hash, at, left)
     order = np.argsort(keys, kind="stable")  # the suffix array
@@ -103,23 +169,8 @@ def search_shard(texts: list[bytes], tests: TestSuffixes) -> tuple[np.ndarray, n
     hit = at[np.arange(len(test)) - np.repeat(np.cumsum(n) - n, n) + low[test]]
     text = found.text[hit]
     inside = hit + tests.size[test] <= found.first[text + 1]
-    rows = np.stack([text, hit - found.first[text], tests.item[test], tests.place[test], tests.size[test]], axis=1)
-    return counts, rows[inside]
-
-
-def longest(rows: np.ndarray) -> np.ndarray:
-    """Join overlapping windows of one text and item on one diagonal into longest verbatim matches."""
-    if not len(rows):
-        return rows
-    text, start, item, place, _ = rows.T
-    rows = rows[np.lexsort((start, start - place, item, text))]
-    text, start, item, place, size = rows.T
-    same = (text[1:] == text[:-1]) & (item[1:] == item[:-1]) & (np.diff(start - place) == 0) & (np.diff(start) == 1)
-    first = np.concatenate(([True], ~same))
-    group = np.cumsum(first) - 1
-    out = rows[first].copy()
-    np.maximum.at(out[:, 4], group, start + size - out[group, 1])
-    return out
+    rows = np.stack([text, hit - found.first[text], test], axis=1)[inside]
+    return counts, rows[np.lexsort(rows.T[::-1])]
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("item_id", pa.string()), ("item_start", pa.int32()), ("words", pa.int32())])
@@ -145,29 +196,32 @@ def _search(docs: DataFrame, tests: TestSuffixes) -> DataFrame:
             for part in slices(iter([batch]), "text", SHARD_BYTES):
                 texts = [(t or "").encode() for t in part.column("text").to_pylist()]
                 counts, rows = search_shard(texts, shared.value)
-                rows = longest(rows)
                 bounds = np.searchsorted(rows[:, 0], np.arange(len(texts) + 1))
-                spans = pa.StructArray.from_arrays([
-                    pa.array(rows[:, 1], pa.int32()), pa.array([shared.value.ids[i] for i in rows[:, 2]], pa.string()),
-                    pa.array(rows[:, 3], pa.int32()), pa.array(rows[:, 4], pa.int32()),
-                ], fields=list(_SPAN))
+                spans, items = [[] for _ in texts], [[] for _ in texts]
+                for i in np.flatnonzero(np.diff(bounds)).tolist():
+                    _, starts, kinds = rows[bounds[i] : bounds[i + 1]].T
+                    found = shared.value.passages(starts.tolist(), kinds.tolist())
+                    spans[i] = [dict(zip(_SPAN.names, (s, shared.value.ids[x], p, n), strict=True)) for s, x, p, n in found]
+                    items[i] = shared.value.items_of(kinds)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_key"), part.column("doc_id"), pa.array(counts, pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), spans)],
-                    ["doc_key", "doc_id", "n_words", "matches"],
+                     pa.array(spans, pa.list_(_SPAN)), pa.array(items, pa.list_(pa.string()))],
+                    ["doc_key", "doc_id", "n_words", "matches", "items"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(matches, f"doc_key bigint, doc_id {kind}, n_words bigint, "
-                           "matches array<struct<start: int, item_id: string, item_start: int, words: int>>")
+                           "matches array<struct<start: int, item_id: string, item_start: int, words: int>>, items array<string>")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, workspace: Workspace, *, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_key, doc_id, n_words, matches``: per document row all longest verbatim matches of benchmark windows.
+    """``doc_key, doc_id, n_words, matches, items``: per document row its verbatim matches with the benchmark.
 
-    A match is (start, item_id, item_start, words), counted in words.  Null and empty texts have no
+    A match is (start, item_id, item_start, words), counted in words: from the first hit window that no
+    match before it holds, the longest passage that one item holds too, and one of its places there.
+    ``items`` are all items of which a window occurs.  Null and empty texts have no
     words, an item without words has no window, a null item_id is written ``null``, and items that
-    repeat an id share it.  Without items nothing matches.
+    repeat an id share it.  Without items nothing matches; an empty table gives no rows.
     """
     keyed = with_key(docs, workspace)
     found = [_search(keyed, suffixes_of(block)) for block in _blocks(benchmark, block_bytes)]
@@ -178,7 +232,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, workspace: Workspace, *, b
         out = out.unionByName(workspace.write(more, "matches"))
     return out.groupBy("doc_key").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-        F.flatten(F.collect_list("matches")).alias("matches"),
+        F.flatten(F.collect_list("matches")).alias("matches"),  # a list per block of the benchmark
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
 
 
@@ -189,15 +244,14 @@ def leaks_digest(docs: DataFrame, benchmark: DataFrame, workspace: Workspace, **
     def digests(batches):
         for batch in batches:
             n_hit, n_items, shas = [], [], []
-            for spans in batch.column("matches").to_pylist():
+            for spans, items in zip(batch.column("matches").to_pylist(), batch.column("items").to_pylist(), strict=True):
                 covered = reach = 0
                 for start, end in sorted((x["start"], x["start"] + x["words"]) for x in spans):
                     covered += max(0, end - max(start, reach))
                     reach = max(reach, end)
-                items = sorted({x["item_id"] for x in spans})
                 n_hit.append(covered)
                 n_items.append(len(items))
-                shas.append(hashlib.sha256(",".join(items).encode()).hexdigest())
+                shas.append(hashlib.sha256(",".join(sorted(items)).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_words"), pa.array(n_hit, pa.int64()),
                  pa.array(n_items, pa.int64()), pa.array(shas, pa.string()), pa.array([x > 0 for x in n_hit], pa.bool_())],

@@ -63,3 +63,30 @@ def test_empty_tables(spark):
     assert leaks_digest(*frames(spark, []), Workspace(spark, "test")).collect() == []
     got = leaks_digest(*frames(spark, DOCS, []), Workspace(spark, "test")).collect()
     assert sorted(map(tuple, got), key=str) == brute(DOCS, [])
+
+
+def test_longest_passage_of_any_item(spark):
+    """The longest passage decides, not the first item that shares a window."""
+    items = [(1, "a b c d e f g h i j"), (2, "x a b c d e f g h i j k l"), (3, "b c d e f g h i j k l m n")]
+    docs = [(1, "z a b c d e f g h i j k l m n o")]
+    row = find_leaks(*frames(spark, docs, items), Workspace(spark, "test")).first()
+    assert [tuple(m) for m in row.matches] == [(1, "2", 1, 12), (4, "3", 2, 11)] and row.items == ["1", "2", "3"]
+
+
+def test_a_window_that_many_items_and_places_share(spark):
+    """A thousand items and a thousand places of one window: hits grow with the places, not with the product."""
+    common = "one two three four five six seven eight nine ten"
+    items = [(i, f"{common} own{i} word{i}") for i in range(1000)]
+    docs = [(1, " ".join([common] * 1000)), (2, f"{common} own7 word7"), (3, "clean")]
+    found = {r.doc_id: r for r in find_leaks(*frames(spark, docs, items), Workspace(spark, "test")).collect()}
+    assert len(found[1].matches) == 1000 and len(found[1].items) == 1000
+    assert [tuple(m) for m in found[2].matches] == [(0, "7", 0, 12)] and found[3].matches == []
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in leaks_digest(*frames(spark, docs, items), Workspace(spark, "test")).collect()}
+    assert got == {1: (10_000, 1000), 2: (12, 1000), 3: (0, 0)}
+
+
+def test_text_ids(spark):
+    docs = spark.createDataFrame([("b", LONG), ("a", "clean"), (None, None)], "doc_id string, text string")
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    got = {r.doc_id: r.n_hit for r in leaks_digest(docs, items, Workspace(spark, "test")).collect()}
+    assert got == {"b": 30, "a": 0, None: 0}
