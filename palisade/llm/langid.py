@@ -18,10 +18,10 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palisade.llm.tables import slices
+from palisade.llm.tables import draw_of, slices
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -29,6 +29,7 @@ FILTERS = 16
 EMBEDDING = 8
 DOCS_PER_LANGUAGE = 300
 WINDOWS_PER_DOC = 6
+LEAST_SCORE = 0.4  # a text of no one language: 0.0 to 0.04 % of the texts of each test language score less
 STEPS = 350
 BATCH = 128
 SEED = 23
@@ -143,14 +144,24 @@ def fold_of(doc_id: Column | str, folds: int) -> Column:
 
 
 def sample_windows(docs: DataFrame, *, per_language: int = DOCS_PER_LANGUAGE, per_doc: int = WINDOWS_PER_DOC) -> DataFrame:
-    """``lang, window``: a repeatable sample of about that many labelled documents of each language."""
+    """``lang, window``: a repeatable sample of about that many labelled documents of each language.
+
+    Rows are drawn by a hash of id and text, more of them where rows that repeat both leave too few.
+    At most ``per_language * per_doc`` windows of a language are returned.
+    """
     labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND text <> ''").select("doc_id", "text", "lang")
+    draw = draw_of(SEED, "doc_id", "text")
     # One row per language, as many as the network has outputs on the driver: texts need no shuffle.
-    counts = [(r.lang, per_language * (1 << 20) / r["count"]) for r in labelled.groupBy("lang").count().collect()]
-    share = docs.sparkSession.createDataFrame(counts, "of string, below double")
-    drawn = labelled.join(F.broadcast(share), F.col("lang") == F.col("of")).filter(
-        F.pmod(F.xxhash64(F.lit(SEED), "doc_id", F.length("text")), F.lit(1 << 20)) < F.col("below")
-    )
+    sizes = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    below = {lang: 1.2 * per_language / n for lang, n in sizes.items()}
+    while True:
+        share = docs.sparkSession.createDataFrame(list(below.items()), "of string, below double")
+        drawn = labelled.join(F.broadcast(share), F.col("lang") == F.col("of")).filter(draw < F.col("below"))
+        met = {r.lang: r["count"] for r in drawn.groupBy("lang").count().collect()}
+        few = [lang for lang, n in sizes.items() if below[lang] < 1 and met.get(lang, 0) < per_language]
+        if not few:
+            break
+        below.update({lang: 8 * below[lang] for lang in few})
 
     def windows(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -163,7 +174,9 @@ def sample_windows(docs: DataFrame, *, per_language: int = DOCS_PER_LANGUAGE, pe
                 out += [found[i].tobytes() for i in pick]
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(out, pa.binary())], ["lang", "window"])
 
-    return drawn.select("doc_id", "text", "lang").mapInArrow(windows, "lang string, window binary")
+    found = drawn.select("doc_id", "text", "lang").mapInArrow(windows, "lang string, window binary")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(SEED), "window")))
+    return found.withColumn("place", place).filter(F.col("place") <= per_language * per_doc).drop("place")
 
 
 def fit_language_network(docs: DataFrame, **settings) -> ByteNetwork | None:
@@ -208,12 +221,17 @@ def predict_language(docs: DataFrame, network: ByteNetwork | None, *carry: str)
     return docs.select(*carry, "text").mapInArrow(predict, f"{kinds}, lang_pred string, score double")
 
 
-def with_known_language(docs: DataFrame) -> DataFrame:
-    """The rows whose text has a language: all but null texts and those without a letter."""
+def with_known_language(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows whose text the network finds to be of a language it has learned, with a score of ``least`` or more.
+
+    Null texts and texts without a letter go as well; where nothing is labelled, only these.  Repeated
+    rows get one verdict, an empty table stays empty, further columns are kept whatever their names.
+    """
     packed = docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias("row"))
     network = fit_language_network(packed)
     if network:
-        return predict_language(packed, network, "row").filter(F.col("lang_pred") != UNKNOWN).select("row.*")
+        judged = predict_language(packed, network, "row")
+        return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
 
     def lettered(batches: Iterator[pa.RecordBatch]):
         for batch in batches:

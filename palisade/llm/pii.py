@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palisade.llm.tables import Workspace, slices
+from palisade.llm.tables import Workspace, hash_sample, slices
 
 KINDS = ("email", "ip", "card", "phone")  # as listed in digests; tag 0 is 'none', tag i + 1 is kind i
 TAGS = len(KINDS) + 1
@@ -78,11 +78,16 @@ def _emails(text: str) -> Iterator[Span]:
         at = text.find("@", end if found else at + 1)
 
 
+def _is_byte(digits: str) -> bool:
+    digits = digits.lstrip("0")
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def base_spans(text: str) -> list[Span]:
     """By kind, then by start; matches that fail a rule are dropped without a second try."""
     out = list(_emails(text))
     if _DIGIT.search(text):
-        out += [(1, *m.span()) for m in _IP.finditer(text) if all(len(p) < 4000 and int(p) <= 255 for p in m.group().split("."))]
+        out += [(1, *m.span()) for m in _IP.finditer(text) if all(map(_is_byte, m.group().split(".")))]
         for m in _CARD.finditer(text):
             digits = "".join(filter(str.isdigit, m.group())) if m.end() - m.start() <= 40 else ""
             if 13 <= len(digits) <= 19 and luhn(digits):
@@ -381,10 +386,13 @@ def train(chars: np.ndarray, tags: np.ndarray, *, steps: int = STEPS, seed: int
 
 
 def training_windows(docs: DataFrame, *, sample: int = TRAIN_DOCS, per_doc: int = WINDOWS_PER_DOC) -> DataFrame:
-    """``chars, tags`` of windows of about ``sample`` documents: some around base spans, one anywhere."""
+    """``chars, tags`` of windows of about ``sample`` documents: some around base spans, one anywhere.
+
+    Rows are drawn by a hash of id and text.  Equal rows are drawn together, so the draw may be larger;
+    at most ``sample * (per_doc + 1)`` windows are returned in any case.
+    """
     rows = docs.select("doc_id", "text").filter("text IS NOT NULL AND text <> ''")
-    share = sample / max(1, docs.count())
-    drawn = rows.filter(F.pmod(F.xxhash64(F.lit(SEED), "doc_id", F.length("text")), F.lit(1 << 20)) < share * (1 << 20))
+    drawn = hash_sample(rows, sample, SEED)
 
     def windows(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -407,7 +415,8 @@ def training_windows(docs: DataFrame, *, sample: int = TRAIN_DOCS, per_doc: int
                     tags.append(label[at : at + TRAIN_WINDOW].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(chars, pa.binary()), pa.array(tags, pa.binary())], ["chars", "tags"])
 
-    return drawn.mapInArrow(windows, "chars binary, tags binary")
+    found = drawn.mapInArrow(windows, "chars binary, tags binary")
+    return found.orderBy(F.xxhash64(F.lit(SEED), "chars", "tags")).limit(sample * (per_doc + 1))
 
 
 def fit_tagger(docs: DataFrame, workspace: Workspace, *, steps: int = STEPS, **settings) -> Scorer | None:

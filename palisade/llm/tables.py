@@ -9,8 +9,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from palisade.session import scratch_path
 
@@ -88,11 +89,32 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def draw_of(seed: int, *columns: str) -> Column:
+    """A number in [0, 1) that depends on the columns of a row alone; equal rows have equal ones."""
+    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 40)) / float(1 << 40)
+
+
+def hash_sample(rows: DataFrame, size: int, seed: int) -> DataFrame:
+    """At least ``size`` rows, or all if there are fewer: those of the smallest hashes of id and text.
+
+    A few more are drawn than asked for.  Rows that repeat id and text come together; where they
+    leave a draw too small, the share of hashes grows until there are enough.
+    """
+    n, draw = rows.count(), draw_of(seed, "doc_id", "text")
+    share = 1.2 * size / max(n, 1)
+    while share < 1:
+        drawn = rows.filter(draw < share)
+        if drawn.count() >= size:
+            return drawn
+        share *= 8
+    return rows
+
+
 def with_key(docs: DataFrame, workspace: Workspace, *, extra: tuple[str, ...] = ()) -> DataFrame:
     """``doc_key, doc_id, text`` (and ``extra``), where ``doc_key`` names a row and follows doc_id.
 
     Keys are unique, not null and lie in [0, 2**35).  Where doc_id is all that already, it is the key.
-    Otherwise (nulls, repeated ids, negative or huge ids) the rows are sorted by doc_id (nulls first)
+    Otherwise (nulls, repeated ids, negative or huge ids, ids of another type) the rows are sorted by doc_id (nulls first)
     and text, numbered, and written once, so that every later pass sees the same numbers.
     """
     rows = docs.select("doc_id", "text", *extra)
@@ -102,7 +124,8 @@ def with_key(docs: DataFrame, workspace: Workspace, *, extra: tuple[str, ...] =
         F.min("doc_id").alias("low"),
         F.max("doc_id").alias("high"),
     ).first()
-    if seen.n == seen.different and (seen.n == 0 or (seen.low >= 0 and seen.high < 1 << KEY_BITS)):
+    numbers = isinstance(rows.schema["doc_id"].dataType, T.IntegralType)
+    if numbers and seen.n == seen.different and (seen.n == 0 or (seen.low >= 0 and seen.high < 1 << KEY_BITS)):
         return rows.select(F.col("doc_id").cast("long").alias("doc_key"), *rows.columns)
     place = F.monotonically_increasing_id()
     placed = workspace.write(

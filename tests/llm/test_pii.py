@@ -3,11 +3,12 @@ import re
 from itertools import product
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from palisade.llm import pii
-from palisade.llm.pii import Tagger, all_spans, base_spans, decode, fit_tagger, loss_and_gradients, luhn, pii_digest, tagged_spans
+from palisade.llm.pii import Tagger, all_spans, base_spans, decode, fit_tagger, loss_and_gradients, luhn, pii_digest, tagged_spans, training_windows
 from palisade.llm.tables import Workspace
 from tests.conftest import TEST_DATA
 
@@ -128,3 +129,20 @@ def test_odd_rows(spark):
             assert set(joined.split(",")) - {""} <= set(r.spans.split(","))
     assert pii_digest(docs.filter("false"), None).collect() == []
     assert fit_tagger(docs.filter("false"), Workspace(spark, "test")) is None
+
+
+@pytest.mark.parametrize("part, is_ip", [("0" * 5000 + "255", True), ("0" * 5000, True), ("0" * 5000 + "256", False), ("1" * 5000, False)])
+def test_long_parts_of_addresses(part, is_ip):
+    text = f"{part}.1.1.1"
+    assert (1, 0, len(text)) in base_spans(text) if is_ip else not any(k == 1 for k, *_ in base_spans(text))
+
+
+def test_sample_is_bounded_where_rows_repeat(spark):
+    same = spark.range(5000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'mail me at a@b.org now' AS text")
+    n = training_windows(same, sample=100).count()
+    assert 100 <= n <= 500
+    same_ids = spark.range(5000).selectExpr("CAST(7 AS BIGINT) AS doc_id", "concat('call +1 555 123 4', 100000 + id) AS text")
+    windows = sorted(tuple(r) for r in training_windows(same_ids, sample=100).collect())
+    assert 100 <= len(windows) <= 500
+    assert sorted(tuple(r) for r in training_windows(same_ids.repartition(7), sample=100).collect()) == windows
+    assert training_windows(same.filter("false")).count() == 0
