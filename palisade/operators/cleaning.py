@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from palisade.functions.cells import null_if_missing
 from palisade.operators.quantiles import exact_quantiles
+from palisade.operators.sketches import approximate_bounds, column_sketches
 from palisade.schema import quoted
 
 MASK_BITS = 62
@@ -117,11 +118,16 @@ def first_of_each(
 
 
 def outlier_bounds(
-    df: DataFrame, columns: list[str], method: str | None, multiplier: float = 1.5
+    df: DataFrame, columns: list[str], method: str | None, multiplier: float = 1.5, *, approximate: bool = False
 ) -> dict[str, tuple[float, float]]:
-    """Accepted range of each column; columns without spread have no z-score range."""
+    """Accepted range of each column; columns without spread have no z-score range.
+
+    ``approximate`` takes quartiles from sketches in one pass (their rank error is ``sketches.rank_error()``).
+    """
     if not method or not columns:
         return {}
+    if method == "iqr" and approximate:
+        return approximate_bounds(column_sketches(df, columns), multiplier)
     if method == "iqr":
         bounds = {}
         for c, (q1, q3) in exact_quantiles(df, columns, [0.25, 0.75]).items():

@@ -14,6 +14,7 @@ from palisade.config import CORRELATION_LIMIT, DERIVED_FEATURE_COLUMNS, VARIANCE
 from palisade.functions.cells import align, finite_table
 from palisade.operators.correlation import correlated_columns
 from palisade.operators.fitted import HasState
+from palisade.operators.neighbours import neighbour_information
 from palisade.operators.quantiles import exact_quantiles
 from palisade.schema import numeric_columns, quoted
 
@@ -118,6 +119,8 @@ def ranked_importance(df: DataFrame, features: list[str], label: str, method: st
         scores = f_scores(clean, features, label)
     elif method == "mutual_info":
         scores = information_scores(clean, features, label)
+    elif method == "mutual_info_neighbours":
+        scores = neighbour_information(clean, features, label)
     else:
         raise ValueError(f"unknown importance method {method!r}")
     return scores.orderBy(F.desc("score"), "feature")
