@@ -91,22 +91,26 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
 
 def draw_of(seed: int, *columns: str) -> Column:
     """A number in [0, 1) that depends on the columns of a row alone; equal rows have equal ones."""
-    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 40)) / float(1 << 40)
+    return _hash_bits(seed, *columns) / float(1 << 40)
+
+
+def _hash_bits(seed: int, *columns: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 40))
 
 
 def hash_sample(rows: DataFrame, size: int, seed: int) -> DataFrame:
     """At least ``size`` rows, or all if there are fewer: those of the smallest hashes of id and text.
 
-    A few more are drawn than asked for.  Rows that repeat id and text come together; where they
-    leave a draw too small, the share of hashes grows until there are enough.
+    Hashes are counted by their length in bits, so up to about twice as many rows are drawn, and more
+    where rows that repeat id and text come together.
     """
-    n, draw = rows.count(), draw_of(seed, "doc_id", "text")
-    share = 1.2 * size / max(n, 1)
-    while share < 1:
-        drawn = rows.filter(draw < share)
-        if drawn.count() >= size:
-            return drawn
-        share *= 8
+    draw = _hash_bits(seed, "doc_id", "text")
+    counts = dict(rows.groupBy(F.length(F.bin(draw)).alias("bits")).count().collect())  # 40 rows at most
+    drawn = 0
+    for bits in range(1, 40):
+        drawn += counts.get(bits, 0)
+        if drawn >= size:
+            return rows.filter(draw < (1 << bits))
     return rows
 
 
