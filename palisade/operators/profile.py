@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from palisade.functions.cells import missing, null_if_missing
 from palisade.operators.quantiles import exact_quantiles
-from palisade.schema import column_kinds, numeric_columns, quoted
+from palisade.schema import categorical_columns, column_kinds, numeric_columns, quoted
 
 
 def row_count(df: DataFrame) -> F.Column:
@@ -28,6 +28,23 @@ def table_shape(df: DataFrame) -> DataFrame:
     return counted.unionByName(known)
 
 
+def column_overview(df: DataFrame) -> DataFrame:
+    """(column, type, kind, present, missing) of every column, from one pass.
+
+    ``kind`` is numeric, categorical, or other, as dates and nested values are.
+    """
+    kinds = dict.fromkeys(numeric_columns(df), "numeric") | dict.fromkeys(categorical_columns(df), "categorical")
+    counted = df.agg(F.count(F.lit(1)).alias("rows"), F.array(*[F.count_if(missing(df, c)) for c in df.columns]).alias("gaps"))
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"), F.lit(t).alias("type"), F.lit(kinds.get(c, "other")).alias("kind"),
+            (F.col("rows") - F.col("gaps")[i]).alias("present"), F.col("gaps")[i].alias("missing"),
+        )
+        for i, (c, t) in enumerate(df.dtypes)
+    ]
+    return counted.select(F.inline(F.array(*rows)))
+
+
 def missing_counts(df: DataFrame) -> DataFrame:
     """(column, missing_count) for every column, from one pass."""
     counted = df.agg(*[F.count_if(missing(df, c)).alias(c) for c in df.columns])
