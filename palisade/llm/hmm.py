@@ -2,17 +2,18 @@
 
 Tokens are the words of a text and one end.  Every training word has emissions of its own, and so have the
 end and an unseen word.  Those of the most frequent words (``HEAD`` at most, words of equal count together)
-are an array; those of all others are a table, which each round joins with the words of each document and
-writes anew from the expected counts.  Where to cut between the two changes no result.  Baum-Welch trains the latent states: tasks run forward and backward over their
-documents and emit expected counts per word, which Spark adds up; the driver only sees sums, of a
-size fixed by the number of states and symbols.  ``FULL_ROUNDS`` rounds count over all training documents;
-a caller may ask for rounds over one fold of them before.  A round without tokens changes nothing.
+are an array that all tasks have.  The others are dealt to buckets by a hash, documents to blocks of about
+``BLOCK_TOKENS`` tokens.  A block holds each of its words once and sends one row to each bucket that
+has some of them: first the words, and in each round their expected counts.  The bucket adds up what the blocks sent
+and answers each with one row of new emissions, so what is shuffled are arrays, no single words.  Emissions are
+kept as 32-bit numbers on both sides, so that the cut between the two changes no result but by the order of sums.
+
+Baum-Welch trains the latent states: ``FULL_ROUNDS`` rounds count over all training documents;
+a caller may ask for rounds over one fold of the blocks before.  A round without tokens changes nothing.  The
+driver sees sums of a size fixed by the numbers of states and symbols, and one sum per bucket.
 
 Training cuts texts into segments of ``SEGMENT`` tokens, so that many run side by side.  Scores are the
 exact likelihood of whole texts by the scaled forward recursion.
-
-Counts of all words stay in a table.  Rare words of the documents are joined with it; frequent words
-never enter a shuffle, so no word is hot.
 """
 
 from __future__ import annotations
@@ -21,11 +22,14 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from hashlib import blake2b
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from palisade.llm.bytewords import mix
 from palisade.llm.langid import fold_of
@@ -41,7 +45,11 @@ SMOOTHING = 0.1
 PRIOR = 50.0  # pseudo-counts of a state's emissions, spread as the corpus is
 SEED = 29
 _COUNTER_WORDS = 200_000
-_TRAIN_TOKENS = 1 << 19
+_TRAIN_TOKENS = 1 << 19  # whose posteriors are held at a time
+_STEP_TOKENS = 1 << 17  # that one recursion takes side by side, which stay in a core's cache
+BLOCK_TOKENS = 1 << 22
+BUCKET_WORDS = 1 << 16
+_HEAD_SLICE = 2048  # symbols whose counts one task adds up
 
 
 @dataclass
@@ -98,6 +106,11 @@ def spread(words: list[bytes], states: int, seed: int) -> np.ndarray:
     return np.exp(0.7 * np.stack(normal, axis=1))
 
 
+def _short(emit: np.ndarray) -> np.ndarray:
+    """Rounded to what a 32-bit number holds."""
+    return emit.astype(np.float32).astype(np.float64)
+
+
 @dataclass
 class HiddenMarkov:
     start: np.ndarray
@@ -111,7 +124,7 @@ class HiddenMarkov:
         """``others``: what the words beside the symbols add up to in each state."""
         draw = np.random.default_rng(seed)
         share = vocabulary.unigrams() if others is None else vocabulary.shares()[0]
-        emit = share[:, None] * spread([*vocabulary.words, b" rare", b" end"], states, seed)
+        emit = _short(share[:, None] * spread([*vocabulary.words, b" rare", b" end"], states, seed))
         total = emit.sum(axis=0) + (0 if others is None else others)
         even = np.full(states, 1 / states)
         return cls(even, even, draw.dirichlet(np.full(states, 2.0), states), emit / total, total)
@@ -136,44 +149,77 @@ class HiddenMarkov:
 
     def expected_counts(self, symbols: np.ndarray, sizes: np.ndarray, first: np.ndarray, counts: np.ndarray) -> None:
         """Add the expected counts of sequences: rows of symbols, then of moves, start, later, and the likelihood."""
+        v, states = len(self.emit), len(self.start)
+        ends = np.cumsum(sizes)
+        held, place = [], []
+        at = 0
+        while at < len(sizes):  # sequences of about _STEP_TOKENS at a time
+            begin = ends[at] - sizes[at]
+            to = max(at + 1, int(np.searchsorted(ends, begin + _STEP_TOKENS, side="right")))
+            part = symbols[begin : ends[to - 1]]
+            gamma, order = self._posteriors(part, sizes[at:to], first[at:to], counts)
+            held.append(gamma)
+            place.append(order + begin)
+            at = to
+        ids = symbols.take(np.concatenate(place)) if place else symbols
+        for s in range(states):
+            weights = np.concatenate([g[s] for part in held for g in part]) if held else np.zeros(0)
+            counts[:v, s] += np.bincount(ids, weights, minlength=v)
+
+    def _posteriors(self, symbols: np.ndarray, sizes: np.ndarray, first: np.ndarray, counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """What the states' probabilities are at each step, states x sequences, and the tokens in that order; the rest is added."""
         order = np.argsort(-sizes, kind="stable")
         at, first = (np.cumsum(sizes) - sizes)[order], first[order]
-        longest, states = int(sizes.max(initial=0)), len(self.start)
+        longest, states, v = int(sizes.max(initial=0)), len(self.start), len(self.emit)
         active = len(sizes) - np.cumsum(np.bincount(sizes, minlength=longest + 1))
-        alphas, emits, scales = [], [], []
-        alpha = np.where(first[:, None], self.start, self.later)
+        alphas, emits, scales, places = [], [], [], []
+        back, one = np.ascontiguousarray(self.move.T), np.ones(states)
+        logs, product = 0.0, np.ones(0)
+        alpha = np.where(first, self.start[:, None], self.later[:, None])
         for t in range(longest):
             n = active[t]
-            emit = self.emit.take(symbols.take(at[:n] + t), axis=0)
-            alpha = (alpha if t == 0 else alpha[:n] @ self.move) * emit
-            scale = alpha.sum(axis=1, keepdims=True)
-            alpha /= scale
+            place = at[:n] + t
+            emit = self.emit.take(symbols.take(place), axis=0).T.copy()
+            alpha = (alpha if t == 0 else back @ alpha[:, :n]) * emit
+            scale = one @ alpha
+            if t % 8 == 0 or len(product) > n:  # logarithms of eight steps at a time
+                logs += float(np.log10(product).sum())
+                product = scale.copy()
+            else:
+                product *= scale
+            np.reciprocal(scale, out=scale)
+            alpha *= scale
             alphas.append(alpha)
             emits.append(emit)
             scales.append(scale)
-        v = len(self.emit)
-        gamma = np.empty((len(symbols), states))
-        beta = np.ones((0, states))
+            places.append(place)
+        logs += float(np.log10(product).sum())
+        moves = np.zeros((states, states))
+        beta = np.ones((states, 0))
         for t in range(longest - 1, -1, -1):
             n = active[t]
-            if len(beta) < n:  # sequences that end here
-                beta = np.concatenate([beta, np.ones((n - len(beta), states))])
-            gamma[at[:n] + t] = alphas[t] * beta
+            if beta.shape[1] < n:  # sequences that end here
+                beta = np.concatenate([beta, np.ones((states, n - beta.shape[1]))], axis=1)
             if t:
-                ahead = emits[t] * beta / scales[t]
-                counts[v : v + states] += (alphas[t - 1][:n].T @ ahead) * self.move
-                beta = ahead @ self.move.T
-        for s in range(states):
-            counts[:v, s] += np.bincount(symbols, gamma[:, s], minlength=v)
-        heads = gamma[at]
-        counts[v + states] += heads[first].sum(axis=0)
-        counts[v + states + 1] += heads[~first].sum(axis=0)
-        counts[v + states + 2, :2] += [sum(float(np.log10(s).sum()) for s in scales), len(symbols)]
+                ahead = emits[t]
+                ahead *= beta
+                ahead *= scales[t]
+                moves += alphas[t - 1][:, :n] @ ahead.T
+                alphas[t] = alphas[t] * beta
+                beta = self.move @ ahead
+            else:
+                alphas[0] = alphas[0] * beta
+        counts[v : v + states] += moves * self.move
+        if longest:
+            counts[v + states] += alphas[0][:, first].sum(axis=1)
+            counts[v + states + 1] += alphas[0][:, ~first].sum(axis=1)
+        counts[v + states + 2, :2] += [logs, len(symbols)]
+        return alphas, np.concatenate(places) if places else np.zeros(0, np.int64)
 
     def updated(self, counts: np.ndarray, vocabulary: Vocabulary, others: np.ndarray | None = None) -> HiddenMarkov:
         v, states = len(self.emit), len(self.start)
         share = vocabulary.unigrams() if others is None else vocabulary.shares()[0]
-        emit = counts[:v] + PRIOR * share[:, None]
+        emit = _short(counts[:v] + PRIOR * share[:, None])
         total = emit.sum(axis=0) + (0 if others is None else others)
         move = counts[v : v + states] + 1
         start, later = counts[v + states] + 1, counts[v + states + 1] + 1
@@ -201,210 +247,346 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _symbols(text: str | None, voc: Vocabulary) -> tuple[np.ndarray, list[bytes]]:
+    """The symbols of a text, the end included, and the words among them that have none, in order."""
+    found = words_of(text)
+    ids = [voc.words.get(w, voc.rare) for w in found]
+    outside = [w for w, i in zip(found, ids, strict=True) if i == voc.rare]
+    ids.append(voc.rare + 1)
+    return np.array(ids, np.uint16), outside
+
+
 def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Symbols and rare words of each document, and the part of its base score that needs no join."""
+    """``doc_id, held_out, symbols``: each document by itself, all words without a symbol being 'rare'."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # HEAD words at most
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]):
-        voc = shared.value
-        rare, end = voc.rare, voc.rare + 1
-        logs = np.log10((np.concatenate([voc.counts, [0, voc.n_ends]]) + SMOOTHING) / voc.base_total)
-        logs[rare] = 0
         for batch in batches:
-            for part in slices(iter([batch]), "text", 4 << 20):
-                out = {k: [] for k in ("symbols", "places", "n_tokens", "base", "n_head", "n_rare", "rare")}
-                for text in part.column("text").to_pylist():
-                    found = words_of(text)
-                    ids = [voc.words.get(w, rare) for w in found]
-                    outside = [w for w, i in zip(found, ids, strict=True) if i == rare]
-                    others = Counter(outside)
-                    place = {w: k for k, w in enumerate(others)}
-                    ids.append(end)
-                    ids = np.array(ids, np.uint16)
-                    out["symbols"].append(ids.tobytes())
-                    out["places"].append(np.array([place[w] for w in outside], np.int32).tobytes())
-                    out["n_tokens"].append(len(ids))
-                    out["base"].append(float(logs[ids].sum()))
-                    n_rare = others.total()
-                    out["n_head"].append(len(ids) - n_rare - (voc.n_ends == 0))
-                    out["n_rare"].append(n_rare)
-                    out["rare"].append([{"word": w, "times": n} for w, n in others.items()])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("held_out"), pa.array(out["symbols"], pa.binary()), pa.array(out["places"], pa.binary()),
-                     pa.array(out["n_tokens"], pa.int64()), pa.array(out["base"], pa.float64()),
-                     pa.array(out["n_head"], pa.int64()), pa.array(out["n_rare"], pa.int64()),
-                     pa.array(out["rare"], pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])))],
-                    ["doc_id", "held_out", *out],
-                )
+            symbols = [_symbols(t, shared.value)[0].tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(symbols, pa.binary())], ["doc_id", "held_out", "symbols"]
+            )
+
+    return docs.select("doc_id", "held_out", "text").mapInArrow(encode, f"doc_id {kind}, held_out boolean, symbols binary")
+
+
+_BLOCK = "block bigint, held_out array<boolean>, sizes binary, symbols binary, rare binary"
+
+
+class _Block:
+    """Documents that are gathered until they have tokens enough."""
+
+    def __init__(self, buckets: int):
+        self.buckets = buckets
+        self.ids, self.held, self.symbols, self.rare = [], [], [], []
+        self.words: dict[bytes, int] = {}
+        self.times: list[int] = []  # occurrences in training documents
+        self.tokens = 0
+
+    def add(self, doc_id, held_out: bool, symbols: np.ndarray, outside: list[bytes]) -> None:
+        self.ids.append(doc_id)
+        self.held.append(held_out)
+        self.symbols.append(symbols)
+        self.tokens += len(symbols)
+        for w in outside:
+            k = self.words.setdefault(w, len(self.words))
+            if k == len(self.times):
+                self.times.append(0)
+            self.times[k] += not held_out
+            self.rare.append(k)
+
+    def row(self, block: int) -> dict:
+        """The words are in the order of their buckets."""
+        words = list(self.words)
+        bucket = np.fromiter((crc32(w) % self.buckets for w in words), np.int64, len(words))
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(words), np.int32)
+        place[order] = np.arange(len(words), dtype=np.int32)
+        return {
+            "block": block, "held_out": self.held, "sizes": np.fromiter(map(len, self.symbols), np.int64, len(self.symbols)).tobytes(),
+            "symbols": np.concatenate(self.symbols).tobytes(), "rare": place[np.array(self.rare, np.int64)].tobytes(),
+            "ids": self.ids, "words": [words[i] for i in order], "times": np.array(self.times, np.int64)[order].tobytes(),
+            "buckets": bucket[order].tobytes(),
+        }
+
+
+def blocks_of(docs: DataFrame, vocabulary: Vocabulary, buckets: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """``block, held_out, sizes, symbols, rare, ids, words, times, buckets``: documents of a task, some millions of tokens a row."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # HEAD words at most
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    return docs.mapInArrow(
-        encode, f"doc_id {kind}, held_out boolean, symbols binary, places binary, n_tokens bigint, base double, n_head bigint, "
-        "n_rare bigint, rare array<struct<word: binary, times: bigint>>",
-    ).withColumn("row", F.monotonically_increasing_id())
+    def gather(batches: Iterator[pa.RecordBatch]):
+        part, n, block = TaskContext.get().partitionId() << 32, 0, _Block(buckets)
 
+        def ready() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([block.row(part + n)], schema)
 
-def other_words(counted: DataFrame, vocabulary: Vocabulary, workspace: Workspace, *, states: int = STATES) -> DataFrame | None:
-    """``word, n, e0, ...``: the words that are no symbols, and what their first emissions are in proportion to."""
-    if vocabulary.n_words == len(vocabulary.words):
-        return None
-    unit = vocabulary.shares()[1]
-
-    def begin(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            share = (batch.column("n").to_numpy() + SMOOTHING) * unit
-            e = share[:, None] * spread(batch.column("word").to_pylist(), states, SEED) if len(share) else np.empty((0, states))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, e.T.copy())], ["word", "n", *_names("e", states)])
+            schema = pa.schema([
+                ("block", pa.int64()), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.binary()), ("symbols", pa.binary()), ("rare", pa.binary()),
+                ("ids", pa.list_(batch.schema.field("doc_id").type)), ("words", pa.list_(pa.binary())), ("times", pa.binary()), ("buckets", pa.binary()),
+            ])
+            for piece in slices(iter([batch]), "text", 4 << 20):
+                columns = (piece.column(c).to_pylist() for c in ("doc_id", "held_out", "text"))
+                for doc_id, held_out, text in zip(*columns, strict=True):
+                    block.add(doc_id, held_out, *_symbols(text, shared.value))
+                    if block.tokens >= block_tokens:
+                        yield ready()
+                        n, block = n + 1, _Block(buckets)
+        if block.tokens:
+            yield ready()
+
+    return docs.select("doc_id", "held_out", "text").mapInArrow(
+        gather, f"{_BLOCK}, ids array<{kind}>, words array<binary>, times binary, buckets binary"
+    )
 
-    outside = counted.filter(F.col("n") < int(vocabulary.counts.min())) if len(vocabulary.counts) else counted
-    return workspace.write(outside.select("word", "n").mapInArrow(begin, "word binary, n bigint, " + _doubles("e", states)), "others")
 
+def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[dict]]]:
+    """Rows that follow each other and have the same key."""
+    held, last = [], None
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and row[key] != last:
+                yield last, held
+                held = []
+            last = row[key]
+            held.append(row)
+    if held:
+        yield last, held
 
-def _names(letter: str, states: int) -> list[str]:
-    return [f"{letter}{s}" for s in range(states)]
 
+_ROUND = "bucket int, block bigint, e binary"
 
-def _doubles(letter: str, states: int) -> str:
-    return ", ".join(f"{c} double" for c in _names(letter, states))
 
+def members_of(blocks: DataFrame, vocabulary: Vocabulary, *, states: int = STATES) -> DataFrame:
+    """``bucket, block, places, n, e``: which of a bucket's words a block has, their training counts and first emissions.
 
-def _sums(others: DataFrame | None, states: int) -> np.ndarray | None:
-    if others is None:
-        return None
-    return np.array(others.agg(*(F.sum(c) for c in _names("e", states))).first(), float)
-
-
-def _with_others(encoded: DataFrame, others: DataFrame | None, states: int) -> DataFrame:
-    """Each document as a row of ``k`` -1, followed by one row for each of its words in the table ``others``."""
-    names = _names("e", states)
-    empty = F.lit(None).cast("binary")
-    docs = encoded.select("row", F.lit(-1).alias("k"), "symbols", "places", empty.alias("word"), *(F.lit(None).cast("double").alias(c) for c in names))
-    if others is None:
-        return docs
-    met = encoded.select("row", F.posexplode("rare").alias("k", "x")).select("row", "k", F.col("x.word").alias("word"))
-    met = met.join(others.select("word", *names), "word")
-    met = met.select("row", "k", empty.alias("symbols"), empty.alias("places"), "word", *names)
-    return docs.unionByName(met).repartition("row").sortWithinPartitions("row", "k")
-
-
-def _texts(batches: Iterator[pa.RecordBatch], model: HiddenMarkov):
-    """Rows and symbols of some documents at a time, a model that has their words as further symbols, and these words."""
-    rare, names = len(model.emit) - 2, _names("e", len(model.start))
-    docs, words, emits, held = [], [], [], 0
-
-    def ready():
-        out = []
-        for _, ids, places, known in docs:
-            if len(places):  # a word that is not in the table is an unseen one
-                symbol = np.full(places.max() + 1, rare)
-                for k, first in known:
-                    symbol[k] = rare + 2 + first + np.arange(len(k))
-                ids[ids == rare] = symbol[places]
-            out.append(ids)
-        return [d[0] for d in docs], out, replace(model, emit=np.concatenate([model.emit, *emits])) if words else model, words
+    The row of block -1 has the counts of all words of the bucket, and the sum of the emissions.  A word that no training
+    document has counts 0 and has emissions that are no numbers.
+    """
+    unit = vocabulary.shares()[1]
 
-    for batch in batches:
-        k = batch.column("k").to_numpy()
-        heads = np.flatnonzero(k < 0)
-        ends = np.append(heads, len(k))
-        known = batch.column("word").to_pylist() if len(heads) < len(k) else []
-        e = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names], axis=1) if known else None
-        rows, symbols, places = (batch.column(c).to_pylist() for c in ("row", "symbols", "places"))
-
-        def add(a: int, b: int) -> None:
-            if a < b:  # words of the document that came last
-                docs[-1][3].append((k[a:b], len(words)))
-                words.extend(known[a:b])
-                emits.append(e[a:b] / model.total)
-
-        add(0, ends[0])
-        for a, b in zip(heads.tolist(), ends[1:].tolist(), strict=True):
-            if held > _TRAIN_TOKENS:
-                yield ready()
-                docs, words, emits, held = [], [], [], 0
-            ids = np.frombuffer(symbols[a], np.uint16).astype(np.int64)
-            docs.append((rows[a], ids, np.frombuffer(places[a], np.int32), []))
-            held += len(ids)
-            add(a + 1, b)
-    if docs:
-        yield ready()
-
-
-def _expected(encoded: DataFrame, model: HiddenMarkov, others: DataFrame | None = None) -> DataFrame:
-    """``symbol, word, c0, ...``: summed expected counts, a word where there is no symbol."""
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
-    states = len(model.start)
-    columns = _names("c", states)
+    def send(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for row in batch.to_pylist():
+                bucket, times = np.frombuffer(row["buckets"], np.int64), np.frombuffer(row["times"], np.int64)
+                cuts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+                runs = [slice(a, b) for a, b in zip(cuts, [*cuts[1:], len(bucket)], strict=False)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[cuts], pa.int32()), pa.array([row["block"]] * len(cuts), pa.int64()),
+                     pa.array([row["words"][r] for r in runs], pa.list_(pa.binary())),
+                     pa.array([times[r].tobytes() for r in runs], pa.binary())],
+                    ["bucket", "block", "words", "times"],
+                )
+
+    def meet(batches: Iterator[pa.RecordBatch]):
+        for bucket, rows in _groups(batches, "bucket"):
+            index: dict[bytes, int] = {}
+            places = [np.fromiter((index.setdefault(w, len(index)) for w in r["words"]), np.int32, len(r["words"])) for r in rows]
+            n = np.zeros(len(index), np.int64)
+            for r, place in zip(rows, places, strict=True):
+                n[place] += np.frombuffer(r["times"], np.int64)
+            e = (((n + SMOOTHING) * unit)[:, None] * spread(list(index), states, SEED)).astype(np.float32)
+            total = e[n > 0].sum(axis=0, dtype=np.float64)
+            e[n == 0] = np.nan
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([bucket] * (len(rows) + 1), pa.int32()), pa.array([-1, *(r["block"] for r in rows)], pa.int64()),
+                 pa.array([b"", *(p.tobytes() for p in places)], pa.binary()), pa.array([n.tobytes(), *(n[p].tobytes() for p in places)], pa.binary()),
+                 pa.array([total.tobytes(), *(e[p].tobytes() for p in places)], pa.binary())],
+                ["bucket", "block", "places", "n", "e"],
+            )
+
+    sent = blocks.select("block", "words", "times", "buckets").mapInArrow(send, "bucket int, block bigint, words array<binary>, times binary")
+    met = sent.repartition("bucket").sortWithinPartitions("bucket", "block")
+    return met.mapInArrow(meet, "bucket int, block bigint, places binary, n binary, e binary")
+
+
+def _answered(blocks: DataFrame, answers: DataFrame | None, counts: DataFrame | None = None) -> DataFrame:
+    """Each block as a row of bucket -1, followed by the emissions (and counts) that the buckets sent to it."""
+    parts = [c.partition(" ")[0] for c in _BLOCK.split(", ")]
+    whole = blocks.select(*parts, *[c for c in blocks.columns if c == "ids"])
+    nothing = F.lit(None).cast("binary")
+    whole = whole.withColumns({"bucket": F.lit(-1), "e": nothing, "n": nothing})
+    if answers is None:
+        return whole
+    sent = answers.filter("block >= 0").select("block", "bucket", "e", nothing.alias("n"))
+    if counts is not None:
+        sent = sent.unionByName(counts.filter("block >= 0").select("block", "bucket", nothing.alias("e"), "n"))
+    # n comes last, as nulls come first
+    return whole.unionByName(sent, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "bucket", F.col("n").isNotNull())
+
+
+def _with_words(model: HiddenMarkov, rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, HiddenMarkov]:
+    """Symbols, sizes and held-out marks of a block's documents, and the model with the block's words as further symbols."""
+    block, rare, states = rows[0], len(model.emit) - 2, len(model.start)
+    ids = np.frombuffer(block["symbols"], np.uint16).astype(np.int64)
+    found = [np.frombuffer(r["e"], np.float32).reshape(-1, states) for r in rows[1:] if r["e"] is not None]
+    if found:
+        ids[ids == rare] = rare + 2 + np.frombuffer(block["rare"], np.int32)
+        e = np.concatenate(found) / model.total
+        unseen = np.isnan(e[:, 0])
+        e[unseen] = model.emit[rare]
+        model = replace(model, emit=np.concatenate([model.emit, e]))
+    return ids, np.frombuffer(block["sizes"], np.int64), np.array(block["held_out"], bool), model
+
+
+def _expected(blocks: DataFrame, model: HiddenMarkov, vocabulary: Vocabulary, members: DataFrame | None, answers: DataFrame | None) -> DataFrame:
+    """One round: ``bucket, block, e``, the buckets' new emissions for each block.
+
+    Rows of block -1 are for the driver: the sum of a bucket's emissions, and (negative buckets) slices of the expected counts of symbols.
+    """
+    shared = blocks.sparkSession.sparkContext.broadcast(model)
+    states, unit = len(model.start), vocabulary.shares()[1]
+
+    def message(bucket, block, arrays: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket, pa.int32()), pa.array(block, pa.int64()), pa.array([a.tobytes() for a in arrays], pa.binary())], ["bucket", "block", "e"]
+        )
 
     def expect(batches: Iterator[pa.RecordBatch]):
         size = len(shared.value.emit)
         total = np.zeros((size + states + 3, states))
-        for _, texts, hmm, words in _texts(batches, shared.value):
-            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-            pieces = -(-sizes // SEGMENT)
-            of = np.repeat(np.arange(len(texts)), pieces)
-            place = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        for block, rows in _groups(batches, "block"):
+            ids, sizes, held_out, hmm = _with_words(shared.value, rows)
             counts = np.zeros((len(hmm.emit) + states + 3, states))
-            hmm.expected_counts(np.concatenate(texts), np.minimum(sizes[of] - place * SEGMENT, SEGMENT), place == 0, counts)
+            ends = np.cumsum(sizes)
+            for group in _runs(np.where(held_out, 0, sizes), _TRAIN_TOKENS):
+                texts = [ids[ends[i] - sizes[i] : ends[i]] for i in group if not held_out[i]]
+                if not texts:
+                    continue
+                own = np.fromiter(map(len, texts), np.int64, len(texts))
+                pieces = -(-own // SEGMENT)
+                of = np.repeat(np.arange(len(own)), pieces)
+                place = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                hmm.expected_counts(np.concatenate(texts), np.minimum(own[of] - place * SEGMENT, SEGMENT), place == 0, counts)
             total[:size] += counts[:size]
             total[size:] += counts[len(hmm.emit) :]
-            if words:
-                own = counts[size : size + len(words)]
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(own), pa.int64()), pa.array(words, pa.binary()), *map(pa.array, own.T.copy())],
-                                                 ["symbol", "word", *columns])
-        met = np.flatnonzero(total.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.nulls(len(met), pa.binary()), *map(pa.array, total[met].T.copy())],
-                                         ["symbol", "word", *columns])
-
-    emitted = _with_others(encoded, others, states).mapInArrow(expect, "symbol bigint, word binary, " + _doubles("c", states))
-    return emitted.groupBy("symbol", "word").agg(*(F.sum(c).alias(c) for c in columns))
+            sent = [r for r in rows[1:] if r["e"] is not None]
+            if sent:
+                cuts = np.cumsum([len(r["e"]) // (4 * states) for r in sent])[:-1]
+                own = np.split(counts[size : len(hmm.emit)].astype(np.float32), cuts)
+                yield message([r["bucket"] for r in sent], [block] * len(sent), own)
+        parts = [total[a : a + _HEAD_SLICE] for a in range(0, len(total), _HEAD_SLICE)]
+        yield message([-1 - i for i in range(len(parts))], [-1] * len(parts), parts)
+
+    def add(batches: Iterator[pa.RecordBatch]):
+        for bucket, rows in _groups(batches, "bucket"):
+            if bucket < 0:
+                yield message([bucket], [-1], [sum(np.frombuffer(r["e"], np.float64) for r in rows)])
+                continue
+            places = {r["block"]: np.frombuffer(r["places"], np.int32) for r in rows if r["places"] is not None}
+            n = next(np.frombuffer(r["n"], np.int64) for r in rows if r["block"] < 0)
+            e = np.zeros((len(n), states))
+            for r in rows:
+                if r["e"] is not None:
+                    e[places[r["block"]]] += np.frombuffer(r["e"], np.float32).reshape(-1, states)
+            e = (e + (PRIOR * unit * (n + SMOOTHING))[:, None]).astype(np.float32)
+            total = e[n > 0].sum(axis=0, dtype=np.float64)
+            e[n == 0] = np.nan
+            met = [b for b in places if b >= 0]
+            yield message([bucket] * (len(met) + 1), [-1, *met], [total, *(e[places[b]] for b in met)])
+
+    counted = _answered(blocks, answers).mapInArrow(expect, _ROUND)
+    if members is not None:
+        known = members.select("bucket", "block", F.when(F.col("block") >= 0, F.col("places")).alias("places"), F.when(F.col("block") < 0, F.col("n")).alias("n"))
+        counted = counted.unionByName(known, allowMissingColumns=True)
+    else:
+        counted = counted.withColumns({"places": F.lit(None).cast("binary"), "n": F.lit(None).cast("binary")})
+    return counted.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(add, _ROUND)
+
+
+def _runs(sizes: np.ndarray, limit: int) -> Iterator[range]:
+    """Places that follow each other, whose sizes add up to about ``limit``."""
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + limit, side="right")))
+        yield range(at, to)
+        at = to
+
+
+def _sums(answers: DataFrame | None) -> np.ndarray | None:
+    """What the emissions of all words beside the symbols add up to, from one row per bucket."""
+    if answers is None:
+        return None
+    return sum(np.frombuffer(r.e, np.float64) for r in answers.filter("block < 0 AND bucket >= 0").sort("bucket").select("e").collect())
 
 
-def trained(encoded: DataFrame, vocabulary: Vocabulary, others: DataFrame | None, workspace: Workspace, *, states: int = STATES,
+def trained(blocks: DataFrame, vocabulary: Vocabulary, members: DataFrame | None, workspace: Workspace, *, states: int = STATES,
             warm: int = WARM_ROUNDS, full: int = FULL_ROUNDS) -> tuple[HiddenMarkov, DataFrame | None, list[float]]:
-    """The trained model, its table of other words, and the mean log10 likelihood of a token before each round's update."""
-    model, history = HiddenMarkov.random(vocabulary, states, others=_sums(others, states)), []
-    unit, columns = vocabulary.shares()[1], _names("c", states)
+    """The trained model, the emissions of the other words, and the mean log10 likelihood of a token before each round's update."""
+    answers, history = members, []
+    model = HiddenMarkov.random(vocabulary, states, others=_sums(members))
     for i in range(warm + full):
-        part = encoded
+        part = blocks
         if i < warm:
-            part = encoded.filter(F.pmod(F.xxhash64(F.lit(SEED), "row"), F.lit(WARM_FOLDS)) == i % WARM_FOLDS)
-        summed = workspace.write(_expected(part, model, others), f"expected-{i}")
-        found = summed.filter("word IS NULL").select("symbol", *columns).toPandas()
-        counts = np.zeros((vocabulary.size + states + 3, states))
-        counts[found["symbol"].to_numpy()] = found[columns].to_numpy()
+            part = blocks.filter(F.pmod(F.xxhash64(F.lit(SEED), "block"), F.lit(WARM_FOLDS)) == i % WARM_FOLDS)
+        sent = None if answers is None else answers.join(part.select("block"), "block", "left_semi") if i < warm else answers
+        summed = workspace.write(_expected(part, model, vocabulary, members, sent), f"round-{i}")
+        found = {r.bucket: np.frombuffer(r.e, np.float64) for r in summed.filter("bucket < 0").select("bucket", "e").collect()}
+        rows = [found[b] for b in sorted(found, reverse=True)]
+        counts = np.concatenate(rows).reshape(-1, states) if rows else np.zeros((vocabulary.size + states + 3, states))
         total, tokens = counts[-1, :2]
         history.append(total / tokens if tokens else 0.0)
         if not tokens:
             workspace.remove(summed)
             continue
-        if others is not None:
-            own = summed.filter("word IS NOT NULL").select(F.col("word").alias("of"), *columns)
-            prior = PRIOR * unit * (F.col("n") + SMOOTHING)
-            new = others.select("word", "n").join(own, F.col("word") == F.col("of"), "left")
-            new = new.select("word", "n", *((F.coalesce(c, F.lit(0.0)) + prior).alias(f"e{s}") for s, c in enumerate(columns)))
-            old, others = others, workspace.write(new, f"others-{i}")
-            workspace.remove(old)
-        workspace.remove(summed)
-        model = model.updated(counts, vocabulary, _sums(others, states))
-    return model, others, history
+        if answers is not None:
+            if answers is not members:
+                workspace.remove(answers)
+            answers = summed
+        model = model.updated(counts, vocabulary, _sums(answers))
+        if answers is None:
+            workspace.remove(summed)
+    return model, answers, history
 
 
 def baum_welch(encoded: DataFrame, vocabulary: Vocabulary, workspace: Workspace, **training) -> tuple[HiddenMarkov, list[float]]:
     """The trained model, and the mean log10 likelihood of a token before each round's update, where all words are symbols."""
-    model, _, history = trained(encoded, vocabulary, None, workspace, **training)
+
+    def one_each(batches: Iterator[pa.RecordBatch]):
+        n, part = 0, TaskContext.get().partitionId() << 32
+        for batch in batches:
+            rows = [(s, len(s) // 2) for s in batch.column("symbols").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(part + n, part + n + len(rows)), pa.int64()), pa.array([[False]] * len(rows), pa.list_(pa.bool_())),
+                 pa.array([np.int64(k).tobytes() for _, k in rows], pa.binary()), pa.array([s for s, _ in rows], pa.binary()),
+                 pa.array([b""] * len(rows), pa.binary())],
+                ["block", "held_out", "sizes", "symbols", "rare"],
+            )
+            n += len(rows)
+
+    blocks = workspace.write(encoded.select("symbols").mapInArrow(one_each, _BLOCK), "blocks")
+    model, _, history = trained(blocks, vocabulary, None, workspace, **training)
     return model, history
 
 
-def _score(encoded: DataFrame, model: HiddenMarkov, others: DataFrame | None) -> DataFrame:
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
+def _score(blocks: DataFrame, model: HiddenMarkov, vocabulary: Vocabulary, members: DataFrame, answers: DataFrame) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, base_score, score`` of each document."""
+    spark = blocks.sparkSession
+    shared, known = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(vocabulary)
+    kind = blocks.schema["ids"].dataType.elementType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]):
-        for rows, texts, hmm, _ in _texts(batches, shared.value):
-            found = hmm.log10_likelihood(np.concatenate(texts), np.fromiter(map(len, texts), np.int64, len(texts)))
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(found)], ["row", "path_score"])
-
-    return _with_others(encoded, others, len(model.start)).mapInArrow(score, "row bigint, path_score double")
+        voc = known.value
+        head = np.concatenate([voc.counts, [0, voc.n_ends]])
+        for _, rows in _groups(batches, "block"):
+            ids, sizes, held_out, hmm = _with_words(shared.value, rows)
+            n = np.concatenate([head, *(np.frombuffer(r["n"], np.int64) for r in rows[1:] if r["n"] is not None)])
+            logs, seen = np.log10((n + SMOOTHING) / voc.base_total), n > 0
+            ends = np.cumsum(sizes)
+            starts = ends - sizes
+            path = np.concatenate([hmm.log10_likelihood(ids[starts[g.start] : ends[g.stop - 1]], sizes[g.start : g.stop]) for g in _runs(sizes, _TRAIN_TOKENS)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows[0]["ids"], doc_type), pa.array(held_out), pa.array(sizes),
+                 pa.array(np.add.reduceat(seen[ids].astype(np.int64), starts)), pa.array(np.add.reduceat(logs[ids], starts)), pa.array(path)],
+                ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
+            )
+
+    doc_type = to_arrow_type(blocks.schema["ids"].dataType.elementType)
+    result = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+    return _answered(blocks, answers, members).mapInArrow(score, result)
 
 
 def read_vocabulary(train: DataFrame, counted: DataFrame, head: int = HEAD) -> Vocabulary:
@@ -424,36 +606,27 @@ def read_vocabulary(train: DataFrame, counted: DataFrame, head: int = HEAD) -> V
     return Vocabulary({bytes(r.word): i for i, r in enumerate(top)}, counts, totals.tokens + ends, totals.different, ends)
 
 
-def score_texts(docs: DataFrame, workspace: Workspace, *, folds: int = 10, held: int = 0, head: int = HEAD, **training) -> DataFrame:
+def score_texts(
+    docs: DataFrame, workspace: Workspace, *, folds: int = 10, held: int = 0, head: int = HEAD, block_tokens: int = BLOCK_TOKENS,
+    bucket_words: int = BUCKET_WORDS, **training,
+) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``, all of whole texts.
 
     Learns from the documents whose id's crc32 modulo ``folds`` is not ``held``.  A null text is empty:
     it has the end alone.  Repeated rows are scored each.  With nothing to learn from, every token has
-    the same base probability and the model is the untrained one.
+    the same base probability and the model is the untrained one.  Sizes of blocks and buckets change no
+    result but by the order of sums.
     """
     rows = docs.select("doc_id", "text", (fold_of("doc_id", folds) == held).alias("held_out"))
     train = rows.filter("NOT held_out")
     counted = workspace.write(count_words(train), "counts")
     vocabulary = read_vocabulary(train, counted, head)
-    encoded = workspace.write(_encode(rows, vocabulary), "encoded")
-    others = other_words(counted, vocabulary, workspace, states=training.get("states", STATES))
-    model, others, _ = trained(encoded.filter("NOT held_out"), vocabulary, others, workspace, **training)
-
-    rare = encoded.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.times")
-    n = F.coalesce(F.col("n"), F.lit(0))
-    rare = rare.join(counted, "word", "left").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(n + SMOOTHING)).alias("logs"),
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"),
+    workspace.remove(counted)
+    states, outside = training.get("states", STATES), vocabulary.n_words - len(vocabulary.words)
+    blocks = workspace.write(blocks_of(rows, vocabulary, outside // bucket_words + 1, block_tokens), "blocks")
+    members = workspace.write(members_of(blocks, vocabulary, states=states), "members")
+    model, answers, _ = trained(blocks, vocabulary, members if outside else None, workspace, **training)
+    scored = _score(blocks, model, vocabulary, members, members if answers is None else answers)
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(vocabulary.n_tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
-    scored = _score(encoded, model, others).withColumnRenamed("row", "of")
-    logs = F.coalesce("logs", F.lit(0.0))
-    return (
-        encoded.drop("symbols", "places", "rare").join(scored, F.col("row") == F.col("of")).join(rare, "row", "left")
-        .select(
-            "doc_id", "held_out", "n_tokens",
-            (F.col("n_head") + F.coalesce("known", F.lit(0))).alias("n_known"),
-            F.lit(vocabulary.n_tokens).cast("long").alias("train_tokens"),
-            (F.col("base") + logs - F.col("n_rare") * float(np.log10(vocabulary.base_total))).alias("base_score"),
-            F.col("path_score").alias("score"),
-        )
-    )

@@ -123,3 +123,15 @@ def test_rounds_count_all_documents_and_empty_folds_change_nothing(spark):
     assert np.ptp(model.emit, axis=1).max() > 1e-3
     _, history = baum_welch(encoded, voc, workspace)
     assert len(history) == 10 and all(b >= a - 1e-3 for a, b in zip(history, history[1:], strict=False)) and min(map(abs, history)) > 0
+
+
+def test_sizes_of_blocks_and_buckets_change_nothing(spark):
+    docs = spark.read.parquet(f"{TEST_DATA}/documents.parquet").select("doc_id", "text").filter("doc_id % 4 = 0")
+    docs = docs.unionByName(spark.createDataFrame([(10**6 + i, t) for i, t in ROWS if i is not None], "doc_id bigint, text string"))
+    sizes = ({"block_tokens": 2_000, "bucket_words": 50}, {})
+    many, one = (sorted((tuple(r) for r in score_texts(docs, Workspace(spark, "test"), head=40, warm=1, full=2, **s).collect()), key=str) for s in sizes)
+    assert [r[:5] for r in many] == [r[:5] for r in one]
+    assert np.allclose([r[5] for r in many], [r[5] for r in one], rtol=1e-12)
+    # warm rounds see other folds where blocks differ, so only full rounds are held against each other
+    full, again = (sorted((tuple(r) for r in score_texts(docs, Workspace(spark, "test"), head=40, full=2, **s).collect()), key=str) for s in sizes)
+    assert np.allclose([r[6] for r in full], [r[6] for r in again], rtol=1e-7)
