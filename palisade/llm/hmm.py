@@ -18,10 +18,11 @@ exact likelihood of whole texts by the scaled forward recursion.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from hashlib import blake2b
+from itertools import chain, repeat
 from zlib import crc32
 
 import numpy as np
@@ -44,7 +45,7 @@ FULL_ROUNDS = 10
 SMOOTHING = 0.1
 PRIOR = 50.0  # pseudo-counts of a state's emissions, spread as the corpus is
 SEED = 29
-_COUNTER_WORDS = 200_000
+_COUNTER_WORDS = 500_000
 _TRAIN_TOKENS = 1 << 19  # whose posteriors are held at a time
 _STEP_TOKENS = 1 << 17  # that one recursion takes side by side, which stay in a core's cache
 BLOCK_TOKENS = 1 << 22
@@ -151,23 +152,17 @@ class HiddenMarkov:
         """Add the expected counts of sequences: rows of symbols, then of moves, start, later, and the likelihood."""
         v, states = len(self.emit), len(self.start)
         ends = np.cumsum(sizes)
-        held, place = [], []
-        at = 0
-        while at < len(sizes):  # sequences of about _STEP_TOKENS at a time
-            begin = ends[at] - sizes[at]
-            to = max(at + 1, int(np.searchsorted(ends, begin + _STEP_TOKENS, side="right")))
-            part = symbols[begin : ends[to - 1]]
-            gamma, order = self._posteriors(part, sizes[at:to], first[at:to], counts)
-            held.append(gamma)
-            place.append(order + begin)
-            at = to
-        ids = symbols.take(np.concatenate(place)) if place else symbols
+        gamma, place = np.empty((states, len(symbols))), np.empty(len(symbols), np.int64)
+        for part in _runs(sizes, _STEP_TOKENS):
+            at = slice(ends[part.start] - sizes[part.start], ends[part.stop - 1])
+            order = self._posteriors(symbols[at], sizes[part.start : part.stop], first[part.start : part.stop], counts, gamma[:, at])
+            place[at] = order + at.start
+        ids = symbols.take(place)
         for s in range(states):
-            weights = np.concatenate([g[s] for part in held for g in part]) if held else np.zeros(0)
-            counts[:v, s] += np.bincount(ids, weights, minlength=v)
+            counts[:v, s] += np.bincount(ids, gamma[s], minlength=v)
 
-    def _posteriors(self, symbols: np.ndarray, sizes: np.ndarray, first: np.ndarray, counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-        """What the states' probabilities are at each step, states x sequences, and the tokens in that order; the rest is added."""
+    def _posteriors(self, symbols: np.ndarray, sizes: np.ndarray, first: np.ndarray, counts: np.ndarray, out: np.ndarray) -> np.ndarray:
+        """Writes the states' probabilities step by step, states x tokens; returns the tokens' places in that order. The rest is added."""
         order = np.argsort(-sizes, kind="stable")
         at, first = (np.cumsum(sizes) - sizes)[order], first[order]
         longest, states, v = int(sizes.max(initial=0)), len(self.start), len(self.emit)
@@ -195,6 +190,7 @@ class HiddenMarkov:
             places.append(place)
         logs += float(np.log10(product).sum())
         moves = np.zeros((states, states))
+        begins = np.cumsum(active[:longest]) - active[:longest]
         beta = np.ones((states, 0))
         for t in range(longest - 1, -1, -1):
             n = active[t]
@@ -205,16 +201,17 @@ class HiddenMarkov:
                 ahead *= beta
                 ahead *= scales[t]
                 moves += alphas[t - 1][:, :n] @ ahead.T
-                alphas[t] = alphas[t] * beta
+                np.multiply(alphas[t], beta, out=out[:, begins[t] : begins[t] + n])
                 beta = self.move @ ahead
             else:
-                alphas[0] = alphas[0] * beta
+                np.multiply(alphas[0], beta, out=out[:, :n])
         counts[v : v + states] += moves * self.move
         if longest:
-            counts[v + states] += alphas[0][:, first].sum(axis=1)
-            counts[v + states + 1] += alphas[0][:, ~first].sum(axis=1)
+            heads = out[:, : active[0]]
+            counts[v + states] += heads[:, first].sum(axis=1)
+            counts[v + states + 1] += heads[:, ~first].sum(axis=1)
         counts[v + states + 2, :2] += [logs, len(symbols)]
-        return alphas, np.concatenate(places) if places else np.zeros(0, np.int64)
+        return np.concatenate(places) if places else np.zeros(0, np.int64)
 
     def updated(self, counts: np.ndarray, vocabulary: Vocabulary, others: np.ndarray | None = None) -> HiddenMarkov:
         v, states = len(self.emit), len(self.start)
@@ -250,10 +247,8 @@ def count_words(docs: DataFrame) -> DataFrame:
 def _symbols(text: str | None, voc: Vocabulary) -> tuple[np.ndarray, list[bytes]]:
     """The symbols of a text, the end included, and the words among them that have none, in order."""
     found = words_of(text)
-    ids = [voc.words.get(w, voc.rare) for w in found]
-    outside = [w for w, i in zip(found, ids, strict=True) if i == voc.rare]
-    ids.append(voc.rare + 1)
-    return np.array(ids, np.uint16), outside
+    ids = np.fromiter(chain(map(voc.words.get, found, repeat(voc.rare)), (voc.rare + 1,)), np.uint16, len(found) + 1)
+    return ids, [found[i] for i in np.flatnonzero(ids == voc.rare).tolist()]
 
 
 def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -280,8 +275,8 @@ class _Block:
     def __init__(self, buckets: int):
         self.buckets = buckets
         self.ids, self.held, self.symbols, self.rare = [], [], [], []
-        self.words: dict[bytes, int] = {}
-        self.times: list[int] = []  # occurrences in training documents
+        self.words: dict[bytes, int] = defaultdict()
+        self.words.default_factory = self.words.__len__  # a new word gets the next number
         self.tokens = 0
 
     def add(self, doc_id, held_out: bool, symbols: np.ndarray, outside: list[bytes]) -> None:
@@ -289,24 +284,21 @@ class _Block:
         self.held.append(held_out)
         self.symbols.append(symbols)
         self.tokens += len(symbols)
-        for w in outside:
-            k = self.words.setdefault(w, len(self.words))
-            if k == len(self.times):
-                self.times.append(0)
-            self.times[k] += not held_out
-            self.rare.append(k)
+        self.rare.append(np.fromiter(map(self.words.__getitem__, outside), np.int32, len(outside)))
 
     def row(self, block: int) -> dict:
         """The words are in the order of their buckets."""
         words = list(self.words)
+        trained = [r for r, out in zip(self.rare, self.held, strict=True) if not out]  # counts are of training documents
+        times = np.bincount(np.concatenate(trained), minlength=len(words)) if trained else np.zeros(len(words), np.int64)
         bucket = np.fromiter((crc32(w) % self.buckets for w in words), np.int64, len(words))
         order = np.argsort(bucket, kind="stable")
         place = np.empty(len(words), np.int32)
         place[order] = np.arange(len(words), dtype=np.int32)
         return {
             "block": block, "held_out": self.held, "sizes": np.fromiter(map(len, self.symbols), np.int64, len(self.symbols)).tobytes(),
-            "symbols": np.concatenate(self.symbols).tobytes(), "rare": place[np.array(self.rare, np.int64)].tobytes(),
-            "ids": self.ids, "words": [words[i] for i in order], "times": np.array(self.times, np.int64)[order].tobytes(),
+            "symbols": np.concatenate(self.symbols).tobytes(), "rare": place[np.concatenate(self.rare)].tobytes(),
+            "ids": self.ids, "words": [words[i] for i in order], "times": times.astype(np.int64)[order].tobytes(),
             "buckets": bucket[order].tobytes(),
         }
 
@@ -513,11 +505,11 @@ def _sums(answers: DataFrame | None) -> np.ndarray | None:
     return sum(np.frombuffer(r.e, np.float64) for r in answers.filter("block < 0 AND bucket >= 0").sort("bucket").select("e").collect())
 
 
-def trained(blocks: DataFrame, vocabulary: Vocabulary, members: DataFrame | None, workspace: Workspace, *, states: int = STATES,
+def trained(blocks: DataFrame, vocabulary: Vocabulary, members: DataFrame | None, workspace: Workspace, begun: DataFrame | None = None, *, states: int = STATES,
             warm: int = WARM_ROUNDS, full: int = FULL_ROUNDS) -> tuple[HiddenMarkov, DataFrame | None, list[float]]:
-    """The trained model, the emissions of the other words, and the mean log10 likelihood of a token before each round's update."""
-    answers, history = members, []
-    model = HiddenMarkov.random(vocabulary, states, others=_sums(members))
+    """From the first emissions ``begun``, which are removed when they are replaced: the trained model, the emissions of the other words, and the mean log10 likelihood of a token before each round's update."""
+    answers, history = begun, []
+    model = HiddenMarkov.random(vocabulary, states, others=_sums(begun))
     for i in range(warm + full):
         part = blocks
         if i < warm:
@@ -533,8 +525,7 @@ def trained(blocks: DataFrame, vocabulary: Vocabulary, members: DataFrame | None
             workspace.remove(summed)
             continue
         if answers is not None:
-            if answers is not members:
-                workspace.remove(answers)
+            workspace.remove(answers)
             answers = summed
         model = model.updated(counts, vocabulary, _sums(answers))
         if answers is None:
@@ -623,10 +614,15 @@ def score_texts(
     vocabulary = read_vocabulary(train, counted, head)
     workspace.remove(counted)
     states, outside = training.get("states", STATES), vocabulary.n_words - len(vocabulary.words)
-    blocks = workspace.write(blocks_of(rows, vocabulary, outside // bucket_words + 1, block_tokens), "blocks")
-    members = workspace.write(members_of(blocks, vocabulary, states=states), "members")
-    model, answers, _ = trained(blocks, vocabulary, members if outside else None, workspace, **training)
-    scored = _score(blocks, model, vocabulary, members, members if answers is None else answers)
+    whole = workspace.write(blocks_of(rows, vocabulary, outside // bucket_words + 1, block_tokens), "words")
+    met = workspace.write(members_of(whole, vocabulary, states=states), "met")
+    blocks = workspace.write(whole.drop("words", "times", "buckets"), "blocks")
+    members = workspace.write(met.drop("e"), "members")
+    begun = workspace.write(met.select("bucket", "block", "e"), "begun")
+    workspace.remove(whole)
+    workspace.remove(met)
+    model, answers, _ = trained(blocks, vocabulary, members if outside else None, workspace, begun if outside else None, **training)
+    scored = _score(blocks, model, vocabulary, members, begun if answers is None else answers)
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(vocabulary.n_tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
