@@ -119,6 +119,35 @@ def test_sparse_blocks_equal_one_matrix(spark, monkeypatch):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in got)
 
 
+def test_entries_of_very_many_columns(spark):
+    """The work grows with the entries: 200,000 columns, pairs that share no row, a column that is large and one that is constant."""
+    draw = np.random.default_rng(9)
+    n, width = 3_000, 200_000
+    x = np.column_stack([draw.normal(size=n) + 1e6, np.full(n, 0.1), draw.integers(0, 4, n), draw.integers(0, 2, n)])
+    cells = [
+        [(0, float(a)), (1, float(b)), (10 + int(c) * 40_000, 1.0), (180_000 + int(d), 1.0), (190_000 + i % 1_500, float(a) - 1e6)]
+        for i, (a, b, c, d) in enumerate(x.tolist())
+    ]
+    dense = np.zeros((n, 8 + 1_500))
+    place = [0, 1, *[10 + c * 40_000 for c in range(4)], 180_000, 180_001, *range(190_000, 191_500)]
+    at = {k: j for j, k in enumerate(place)}
+    for i, row in enumerate(cells):
+        for k, value in row:
+            dense[i, at[k]] = value
+    dense[:, 1] = 0  # of no correlation
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "id int, entries array<struct<index:int,value:double>>")
+    with np.errstate(invalid="ignore", divide="ignore"):
+        want = {(place[i], place[j]): r for (i, j), r in strong(dense, 0.1).items()}
+    assert (10, 40_010) in want and (180_000, 180_001) in want
+    got = {(r["first"], r["second"]): r["r"] for r in correlated_entries(df, width, "entries", 0.1).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in got)
+
+
+def test_no_entries_have_no_correlation(spark):
+    nothing = spark.createDataFrame([], "entries array<struct<index:int,value:double>>")
+    assert correlated_entries(nothing, 0, "entries", 0.1).count() == 0
+
+
 def test_no_rows_have_no_correlation(spark):
     df = spark.createDataFrame([], "a double, b double")
     assert correlated_columns(df, ["a", "b"], 0.1).count() == 0
