@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -23,6 +24,7 @@ from palisade.operators.ensemble import fusion_report
 from palisade.operators.features import assemble
 from palisade.operators.preprocess import Preprocessor
 from palisade.plans import detector as jobs
+from palisade.plans.queries import QUERIES, detecting
 from palisade.sources import runs
 from palisade.sources.artifacts import version_folder, versions
 from palisade.sources.connections import write_table
@@ -64,6 +66,35 @@ def matrix(vectors):
     return np.array([r["x"] for r in rows]), np.array([r["label"] for r in rows], dtype=float)
 
 
+def test_steps_of_a_preparation_are_those_of_the_whole_job(spark, run, parts, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(jobs, "fit_learners", lambda *a, names, **k: fitted.append(names) or learners.fit_learners(*a, names=names, **k))
+    prepared = jobs.Preparation(parts[0], SETTINGS)
+    assert prepared.signatures.rules(spark).collect() == run.detector.signatures.rules(spark).collect() and not fitted
+    alone = prepared.learners(("logistic_regression",))
+    assert fitted == [("logistic_regression",)] and list(alone) == ["logistic_regression"]
+    assert np.allclose(alone["logistic_regression"].coefficients, run.detector.learners["logistic_regression"].coefficients, atol=1e-9)
+    assert prepared.learners(("logistic_regression",), alone) == alone and len(fitted) == 1
+
+
+def test_a_query_about_one_learner_fits_that_one(spark, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(detecting, "_trainings", {})
+    monkeypatch.setattr(jobs, "fit_learners", lambda *a, names, **k: fitted.append(names) or learners.fit_learners(*a, names=names, **k))
+    for name in ("learner_logistic_regression", "learner_importance_linear", "learner_logistic_regression_holdout"):
+        assert QUERIES[name](spark, "/root/testdata/sf0.001").count() >= 1
+    assert fitted == [("logistic_regression",)]
+
+
+def test_forest_that_keeps_node_ids_has_the_same_trees(vectors):
+    model = learners.fit_random_forest(vectors, "random_forest", SHORT.random_forest, "label", "row_id")
+    assert model.getOrDefault("cacheNodeIds")
+    weighted = sampling.with_class_weight(vectors, "label", "_weight")
+    plain = RandomForestClassifier(labelCol="label", weightCol="_weight", numTrees=15, maxDepth=8, minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=SHORT.random_forest.seed)
+    trees = [m.toDebugString.split("\n", 1)[1] for m in (model, plain.fit(weighted))]
+    assert trees[0] == trees[1]
+
+
 def test_logistic_regression_reaches_the_optimum(vectors, matrix):
     """Newton's method on the same penalised objective gives the same coefficients."""
     x, y = matrix
