@@ -130,13 +130,35 @@ def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x.view(np.uint64))
 
 
+class _Joined:
+    """Which fingerprints the links of a task have joined so far."""
+
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        above = self.above
+        while (up := above.get(x, x)) != x:
+            above[x] = x = above.get(up, up)
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether the two were apart."""
+        a, b = self.root(a), self.root(b)
+        self.above[a] = b
+        return a != b
+
+
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by cell and fingerprint: links (a < b), and the rows that share their cell (a = b).
 
-    The first and the last cell of a task may go on in another task, so their rows always count as sharing.
+    A link is left out where other links of the task join its ends already, so a task makes fewer links than it has
+    fingerprints.  Rows of a cell that its links make one component are left out too: the second round has nothing
+    to do there.  The first and the last cell of a task may go on in another task, so their rows always count as
+    sharing; those of a cell that goes on in the next batch count if they share it.
     """
     names = ["without", "cell", "value"]
-    held, first = None, None  # the last rows so far; the first cell
+    held, first, joined = None, None, _Joined()  # the last rows of the last cell so far; the first cell
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -156,19 +178,28 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shares[:-step] |= same
             same[: max(0, old - step)] = False  # both rows are old: they have met
             near = np.flatnonzero(same & (_popcount(value[step:] ^ value[:-step]) <= RADIUS))
+            pairs = zip(value[near].tolist(), value[near + step].tolist(), strict=True)
+            near = near[np.fromiter((joined.join(a, b) for a, b in pairs), bool, len(near))]
             for part, x in zip(out, (without[near], cell[near], value[near], value[near + step]), strict=True):
                 part.append(x)
-        shares |= (without == first[0]) & (cell == first[1])
+        at_end = (without == without[-1]) & (cell == cell[-1])
+        at_start = (without == without[0]) & (cell == cell[0])  # held rows are of this cell
+        told = np.flatnonzero(shares & ~at_end & ~at_start)
+        if len(told):  # cells that lie in this batch, but those of one component
+            starts = np.flatnonzero(np.concatenate(([True], (without[told[1:]] != without[told[:-1]]) | (cell[told[1:]] != cell[told[:-1]]))))
+            roots = np.fromiter((joined.root(x) for x in value[told].tolist()), np.int64, len(told))
+            mixed = np.minimum.reduceat(roots, starts) != np.maximum.reduceat(roots, starts)
+            told = told[np.repeat(mixed, np.diff(np.append(starts, len(told))))]
         # A held row has been told already if it shared its cell then; telling it again does no harm.
-        told = np.flatnonzero(shares)
+        border = (at_start | at_end) & (shares | ((without == first[0]) & (cell == first[1])))
+        told = np.concatenate((told, np.flatnonzero(border)))
         for part, x in zip(out, (without[told], cell[told], value[told], value[told]), strict=True):
             part.append(x)
         arrays = [pa.array(np.concatenate(p), t) for p, t in zip(out, (pa.int8(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
         yield pa.RecordBatch.from_arrays(arrays, ["without", "cell", "a", "b"])
-        held = [x[-REACH:] for x in (without, cell, value)]
+        held = [x[at_end][-REACH:] for x in (without, cell, value)]
     if held is not None:
-        last = (held[0] == held[0][-1]) & (held[1] == held[1][-1])
-        without, cell, value = (x[last] for x in held)
+        without, cell, value = held
         yield pa.RecordBatch.from_arrays([pa.array(without, pa.int8()), *(pa.array(x, pa.int64()) for x in (cell, value, value))], ["without", "cell", "a", "b"])
 
 

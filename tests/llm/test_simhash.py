@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -126,3 +127,25 @@ def test_linked_values_share_a_cell():
                 seen[b] += 1
             pairs.append((v, w))
     assert all(cells(a) & cells(b) for a, b in pairs)
+
+
+@pytest.mark.parametrize("size", [7, 50, 1000])
+def test_a_cell_of_near_copies_makes_fewer_links_than_rows(size):
+    """Cells 1 and 9 are a task's first and last; 2 and 3 hold near copies, 4 two groups that are apart."""
+    base = 0x0123456789ABCDEF
+    near = sorted({base ^ 1 << i ^ 1 << j for i in range(12) for j in range(i)} | {base ^ 1 << i for i in range(12)})
+    far = [v ^ 0x7FFF << 40 for v in near[:5]]
+    rows = [(1, 5)] + [(c, v) for c in (2, 3) for v in near] + [(4, v) for v in sorted(near[:5] + far)] + [(9, 7)]
+    table = pa.table({"without": pa.array([0] * len(rows), pa.int8()), "cell": [c for c, _ in rows], "value": [v for _, v in rows]})
+    out = pa.Table.from_batches(simhash._neighbours(iter(table.to_batches(max_chunksize=size)))).to_pylist()
+    links = [(r["a"], r["b"]) for r in out if r["a"] != r["b"]]
+    of = {}
+    for a, b in links:
+        of.setdefault(a, {a}).update(of.setdefault(b, {b}))
+        for v in of[a]:
+            of[v] = of[a]
+    assert set(near) <= of[near[0]] and of[far[0]] == set(far) and len(links) == len(near) + len(far) - 2
+    told = {(r["cell"], r["a"]) for r in out if r["a"] == r["b"]}
+    assert {v for c, v in told if c == 4} == set(near[:5] + far) and {(1, 5), (9, 7)} <= told
+    if size == 1000:
+        assert not [t for t in told if t[0] in (2, 3)]
