@@ -103,6 +103,12 @@ def test_undersample(skewed):
     assert len(set(ids(out))) == 90
 
 
+def test_oversample_told_as_times_is_the_same_bootstrap(skewed):
+    copies = Counter(map(tuple, sampling.oversample(skewed, row_id="row_id", label="label").collect()))
+    told = sampling.oversample(skewed, row_id="row_id", label="label", times="times").collect()
+    assert {tuple(r)[:-1]: r["times"] for r in told} == copies and len(told) == len(copies)
+
+
 @pytest.mark.parametrize("rows_per_cell", [4096, 50, 1])
 def test_oversample(skewed, monkeypatch, rows_per_cell):
     """One level of the tree, and several."""
