@@ -334,3 +334,25 @@ def test_arriving_files_are_scored_once(spark, run, traffic, tmp_path):
     got = spark.read.parquet(output).select("row_id", "prediction")
     want = run.detector.score(traffic).select("row_id", "prediction")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_pass_over_few_rows_is_one_task(spark, vectors):
+    """A fit makes up to a thousand passes; each of them would start all the tasks that the table came in."""
+    table = vectors.repartition(8).cache()
+    table.count()
+    tracker, group = spark.sparkContext.statusTracker(), "passes of a regression"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        learners.fit_logistic(table, "logistic_regression", LogisticSettings(max_iterations=20), "label", "row_id")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds]
+    tasks = [tracker.getStageInfo(s).numTasks for s in stages]
+    assert tasks.count(1) > 5 and tasks.count(8) <= 2  # the table is counted once
+
+
+def test_tasks_of_a_pass_grow_with_the_rows(spark):
+    table = spark.range(100, numPartitions=8)
+    rows = learners.ROWS_PER_TASK
+    found = [learners.few_tasks(table, n).rdd.getNumPartitions() for n in (0, rows, rows + 1, 5 * rows, 100 * rows)]
+    assert found == [1, 1, 2, 5, 8]
