@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from palisade.functions.draws import portable_draw
 from palisade.operators import sampling
 from palisade.operators.multiclass import LabelCodes
 
@@ -173,3 +174,16 @@ def test_weights_of_very_many_classes_and_of_no_class(spark):
     weighted = sampling.with_class_weight(df, "label").collect()
     assert len(table) == 12_000 and len(weighted) == len(rows)
     assert all(r["weight"] == table.get(r["label"]) for r in weighted)
+
+
+def test_cuts_compute_each_draw_once(spark, monkeypatch):
+    found = {}
+
+    def settled(df, name):
+        found[name] = df
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    monkeypatch.setattr(sampling, "_settled", settled)
+    rows = spark.range(20_000).select(F.col("id").alias("row_id"), (F.col("id") % 3).alias("label"))
+    sampling.holdout_parts(rows, row_id="row_id", label="label", draw=portable_draw(42, F.col("row_id")))
+    assert found["cuts"]._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
