@@ -59,7 +59,7 @@ def _with_radius(cells: DataFrame, k: int, block: int) -> DataFrame:
 
     steps = [s for i in range(1, k + 1) for s in (i, -i)]
     own = F.array_repeat(F.lit(0.0), F.least(F.col("n") - 1, F.lit(k)).cast("int"))
-    met = spread.withColumn("near", F.array_sort(F.concat(own, *map(distances, steps)))).filter("block = home")
+    met = spread.withColumn("near", F.sort_array(F.concat(own, *map(distances, steps)))).filter("block = home")
     found = F.least(F.col("of_class") - 1, F.lit(k)).cast("int")
     return met.select("feature", "x", "n", "of_class", found.alias("k"), F.element_at("near", found).alias("r"))
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from palisade.operators.cleaning import outlier_bounds
-from palisade.operators.neighbours import digamma, neighbour_information
+from palisade.operators.neighbours import _with_radius, digamma, neighbour_information
 from palisade.operators.quantiles import exact_quantiles
 from palisade.operators.sketches import column_sketches, merged_sketches, rank_error, sketched_quantiles
 from palisade.session import scratch_path
@@ -55,6 +55,14 @@ def test_neighbours_equal_brute_force(spark, block):
     assert got["normal"] > 0.3
 
 
+def test_distances_are_sorted_without_a_comparing_lambda(spark):
+    """A comparing lambda is interpreted for every pair of distances that the sort looks at."""
+    cells = spark.range(40).selectExpr("0 AS feature", "0 AS y", "CAST(id * id AS DOUBLE) AS x", "1L AS n", "40L AS of_class")
+    met = _with_radius(cells, 3, 16)
+    assert "array_sort(" not in met._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["x"]: r["r"] for r in met.collect()}[9.0] == 8.0  # 5, 7 and 8 away: 4, 16, 1
+
+
 def test_neighbours_of_nothing(spark):
     df = spark.createDataFrame([], "x double, label int")
     assert [tuple(r) for r in neighbour_information(df, ["x"], "label").collect()] == [("x", 0.0)]
