@@ -13,8 +13,10 @@ A task writes files of a name of its own and reports them; only those of success
 manifest table, so lost executors and repeated tasks do no harm.
 
 Encoding is byte-level BPE with a split before every single space between two other characters, where
-the tokenizer splits too.  Pieces repeat, so each worker keeps the ids of the first ``CACHE_PIECES`` it
-meets; others are encoded by the tokenizer, many in one call, with a token between them that it always cuts out.
+the tokenizer splits too.  Arrow splits the texts and names equal pieces once per slice, so Python sees each
+different piece once.  Each worker keeps the ids of the first ``CACHE_PIECES`` it meets.  Of the others, plain words go
+straight to the tokenizer's model; the rest is encoded by the whole tokenizer, many in one call, with a token
+between them that it always cuts out.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -40,17 +43,43 @@ from palisade.llm.tables import Workspace, slices
 END_ID = 2
 SEQUENCE = 1024
 BATCH_SEQUENCES = 64
-CACHE_PIECES = 600_000
+CACHE_PIECES = 200_000
+CACHE_LENGTH = 64
 JOINED_PIECES = 512
-ENCODE_BYTES = 1 << 20
+ENCODE_BYTES = 4 << 20
 
 
 #: A piece begins with a single space or line break, or with the text, and goes on to the next space or
 #: break that stands alone. The tokenizer cuts there too; it looks at other white space as runs, which
 #: stay inside a piece.
 _PIECE = re.compile(r"(?:\A\s*|[ \n])\S+(?:(?:\s{2,}|[^\S \n])\S+)*(?:\s+\Z)?|\A\s+\Z")
-#: A word with one mark after it, or a line break and a word: the tokenizer cuts these in two as well.
-_MARKED = re.compile(r"( ?[^\W\d_]+)([.,;:!?])|(\n)([^\W\d_]+[.,;:!?]?)")
+#: Marks that the tokenizer cuts off when they stand alone after letters, as it does a line break before them.
+_MARKS = ".,;:!?"
+_LETTERS_BEFORE = "\u0530"  # letters of the scripts up to there are letters in every version of Unicode in use
+#: The signs by which byte-level models know the space and the bytes that UTF-8 has beyond ASCII.
+_BYTE_SPACE = "\u0120"
+_BYTE_LEVEL = {b: chr(0x143) if b == 0xAD else chr(0x122 + b - 0x80) for b in (*range(0x80, 0xA1), 0xAD)}
+#: What a text has that is more than words with one space or line break between two of them.
+_SPACES = "\\t\\x0b\\x0c\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
+_UNEVEN = rf"[{_SPACES}]|[ \n][ \n]|\A[ \n]|[ \n]\z"
+#: A piece is named by what follows its space, or by itself after a line break; any other has this before it.
+_BARE = "\x1f"
+
+
+def _name(piece: str) -> str:
+    if piece[:1] == " " and len(piece) > 1 and not piece[1].isspace():
+        return piece[1:]
+    return piece if piece[:1] == "\n" and len(piece) > 1 and not piece[1].isspace() else _BARE + piece
+
+
+def _piece(name: str) -> str:
+    if name[0] == _BARE:
+        return name[1:]
+    return name if name[0] == "\n" else " " + name
+
+
+def _for_re2(text: str) -> str:
+    return "".join(c if c.isalnum() and c.isascii() else rf"\x{{{ord(c):x}}}" for c in text)
 
 
 class PieceEncoder:
@@ -68,11 +97,17 @@ class PieceEncoder:
         tokens = self.tokenizer.get_added_tokens_decoder()
         added = [re.escape(t.content) for t in tokens.values()]
         self.added = re.compile("|".join(added)) if added else None  # such a string in a text is one token, no pieces
+        self.added_re2 = "|".join(_for_re2(t.content) for t in tokens.values())
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.split = "use_regex=True" in str(self.tokenizer.pre_tokenizer) and self.tokenizer.normalizer is None
         #: A string that is a token wherever it stands, and its id: it keeps joined pieces apart.
         alone = ((t.content, i) for i, t in tokens.items() if not (t.normalized or t.lstrip or t.rstrip or t.single_word))
         self.mark = next(alone, None)
+        self.model = self.tokenizer.model
+        #: Letters can go to the model alone where the tokenizer does nothing else to them.
+        self.words = self.split and type(self.model).__name__ == "BPE" and str(self.tokenizer.pre_tokenizer).startswith("ByteLevel")
+        self.line, *marks = self._ids(["\n", *_MARKS])
+        self.marks = {"": b"", **dict(zip(_MARKS, marks, strict=True))}
         self.cache: dict[str, bytes] = {}
         self.cache_pieces = cache_pieces
 
@@ -94,31 +129,81 @@ class PieceEncoder:
             out += [raw[a:b] for a, b in zip(starts, ends, strict=True)]
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian integers of ``kind``."""
-        if not self.split:
-            return self._ids(texts)
-        if self.added and (at := [i for i, t in enumerate(texts) if self.added.search(t)]):
-            whole = dict(zip(at, self._ids([texts[i] for i in at]), strict=True))
-            rest = iter(self.encode([t for i, t in enumerate(texts) if i not in whole]))
-            return [whole[i] if i in whole else next(rest) for i in range(len(texts))]
-        pieces = [_PIECE.findall(t) for t in texts]
+    def _pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, set[str]]:
+        """The names of the texts' pieces, one text after the other, their number in each text, and which hold an added token."""
+        whole = set()
+        plain = pc.and_(pc.greater(pc.binary_length(texts), 0), pc.invert(pc.match_substring_regex(texts, _UNEVEN)))
+        if self.added:
+            plain = pc.and_(plain, pc.invert(pc.match_substring_regex(texts, self.added_re2)))
+        even = pc.binary_join_element_wise(_BARE, pc.replace_substring(texts, "\n", " \n"), "")
+        lists = pc.split_pattern(pc.if_else(plain, even, None), " ")
+        if plain.false_count:
+            others = lists.to_pylist()
+            for i in pc.indices_nonzero(pc.invert(plain)).to_pylist():
+                text = texts[i].as_py()
+                # a text with an added token is one piece, which the tokenizer looks at as a whole
+                added = self.added and self.added.search(text)
+                others[i] = [_name(p) for p in ([text] if added else _PIECE.findall(text))]
+                whole.update(others[i] if added else [])
+            lists = pa.array(others, pa.list_(pa.string()))
+        return lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64), whole
+
+    def _ids_of_word(self, word: str, space: str = "") -> bytes | None:
+        """The ids of letters with one mark at most after them: the tokenizer gives its model the letters as one word."""
+        letters, mark = (word[:-1], word[-1]) if word[-1:] in self.marks else (word, "")
+        if not (letters.isalpha() and (letters.isascii() or max(letters) < _LETTERS_BEFORE)):
+            return None
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(_BYTE_LEVEL)
+        return array(self.kind.char, [x.id for x in self.model.tokenize(space + letters)]).tobytes() + self.marks[mark]
+
+    def _ids_of_names(self, names: list[str], whole: set[str]) -> list[bytes]:
+        """The ids of different pieces; those that are met first are kept.  ``whole`` ones go to the tokenizer as they are."""
         known = self.cache
-        new = set().union(*pieces).difference(known)
-        found: dict[str, bytes] = {}
-        if new:
-            halves = {p: tuple(filter(None, m.groups())) for p in new if (m := _MARKED.fullmatch(p))}
-            whole = sorted((new - halves.keys()).union(*halves.values()).difference(known))
-            found.update(zip(whole, self._ids_of_pieces(whole), strict=True))
-            found.update({p: b"".join(known.get(x) or found[x] for x in parts) for p, parts in halves.items()})
-        kept = len(known) < self.cache_pieces  # frequent pieces come early; what is met later is met rarely
-        known.update(found)
-        out = [b"".join(map(known.__getitem__, names)) for names in pieces]
-        if not kept:
-            for p in found:
-                del known[p]
+        out = list(map(known.get, names))
+        at = [i for i, x in enumerate(out) if x is None]
+        rest = []
+        for i in at:
+            name, first = names[i], names[i][0]
+            if name in whole:
+                out[i] = self._ids([_piece(name)])[0]
+            elif not self.words:
+                rest.append(i)
+            elif first == "\n" or first == _BARE:
+                ids = self._ids_of_word(name[1:])
+                out[i] = ids if ids is None or first == _BARE else self.line + ids
+            else:
+                out[i] = self._ids_of_word(name, _BYTE_SPACE)
+            if out[i] is None:
+                rest.append(i)
+        for i, ids in zip(rest, self._ids_of_pieces([_piece(names[i]) for i in rest]), strict=True):
+            out[i] = ids
+        if len(known) < self.cache_pieces:  # frequent pieces come early; what is met later is met rarely
+            known.update((names[i], out[i]) for i in at if len(names[i]) <= CACHE_LENGTH)
         return out
 
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and their number in each text.  Equal pieces are looked up once."""
+        if not self.split:
+            found = self._ids(texts.to_pylist())
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+            return np.frombuffer(b"".join(found), self.kind), sizes
+        flat, pieces, whole = self._pieces(texts)
+        coded = flat.dictionary_encode()
+        rows = self._ids_of_names(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), whole)
+        ids = np.frombuffer(b"".join(rows), self.kind)
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows)) // self.kind.itemsize
+        ends = np.cumsum(sizes)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids))
+        taken = lists.take(coded.indices).flatten().to_numpy()
+        upto = np.concatenate([[0], np.cumsum(sizes[coded.indices.to_numpy()])])
+        return taken, np.diff(upto[np.concatenate([[0], np.cumsum(pieces)])])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian integers of ``kind``."""
+        ids, sizes = self.encode_array(pa.array(texts, pa.string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])] if texts else []
+
 
 @lru_cache(maxsize=2)
 def shared_encoder(path: str) -> PieceEncoder:
@@ -142,13 +227,13 @@ class ShardWriter:
         self.held = np.empty(0, kind)
         self.total = self.n_docs = 0
 
-    def add(self, doc_ids: pa.Array, texts: list[np.ndarray]) -> None:
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Documents' ids, one after the other, and their number in each document."""
         starts = self.total + np.cumsum(sizes) - sizes
         self.docs.write_batch(pa.record_batch([doc_ids, pa.array(starts), pa.array(sizes)], schema=self.index))
         self.total += int(sizes.sum())
-        self.n_docs += len(texts)
-        self.held = np.concatenate([self.held, *texts])
+        self.n_docs += len(sizes)
+        self.held = np.concatenate([self.held, ids])
         full = len(self.held) // self.batch * self.batch
         for at in range(0, full, self.batch):
             self._write(self.held[at : at + self.batch], self.batch)
@@ -229,9 +314,8 @@ def write_token_files(
                 if writer is None:
                     coder = encoder(path)
                     writer = ShardWriter(folder, shard, coder.kind, part.schema.field("doc_id").type, length, batch_sequences)
-                end = np.array([end_id], coder.kind)
-                found = coder.encode([t or "" for t in part.column("text").to_pylist()])
-                writer.add(part.column("doc_id"), [np.concatenate((np.frombuffer(x, coder.kind), end)) for x in found])
+                ids, sizes = coder.encode_array(pc.fill_null(part.column("text"), ""))
+                writer.add(part.column("doc_id"), np.insert(ids, np.cumsum(sizes), end_id), sizes + 1)
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict({

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -23,6 +24,29 @@ def test_pieces_keep_the_tokenizers_ids(text):
     assert got == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+WORDS = ["Straße", "été", "à\u00ad", "мир", "x²", "中文", "naïve.", "end!", "a;b", "\u0378", "word", "ﬁn", "İ", "\u0301x", "_a", "<|endoftext|>"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([" ", " ", "\n", "", "\x1f", "\t"]), st.sampled_from(WORDS)), max_size=12))
+def test_arrays_of_texts_keep_the_tokenizers_ids(pairs):
+    text = "".join(x for pair in pairs for x in pair)
+    texts = [text, "", text.strip(), " ".join(w for _, w in pairs)]
+    ids, sizes = CODER.encode_array(pa.array(texts, pa.string()))
+    want = [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [x for w in want for x in w]
+
+
+def test_kept_pieces_are_short_and_looked_up_once_a_slice():
+    coder, asked = PieceEncoder(PATH), []
+    known = coder._ids_of_names
+    coder._ids_of_names = lambda names, whole: asked.extend(names) or known(names, whole)
+    coder.encode(["word " * 500 + "x" * 10_000, "a word " * 500 + "word"])
+    assert sorted(asked) == sorted(set(asked))
+    assert max(map(len, coder.cache)) <= 64
+
+
 ROWS = [(3, "third one\n\nhere"), (1, None), (2, ""), (7, "word " * 5000), (None, "no id"), (5, "same"), (5, "same"), (4, "a  b \n c\td")]
 
 
