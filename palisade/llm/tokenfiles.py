@@ -312,6 +312,7 @@ def write_token_files(
         for batch in batches:
             for part in slices(iter([batch]), "text", ENCODE_BYTES):
                 if writer is None:
+                    pa.default_memory_pool().release_unused()  # what earlier stages of the worker have left
                     coder = encoder(path)
                     writer = ShardWriter(folder, shard, coder.kind, part.schema.field("doc_id").type, length, batch_sequences)
                 ids, sizes = coder.encode_array(pc.fill_null(part.column("text"), ""))
