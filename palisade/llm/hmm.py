@@ -423,18 +423,19 @@ def _with_words(model: HiddenMarkov, rows: list[dict]) -> tuple[np.ndarray, np.n
     return ids, np.frombuffer(block["sizes"], np.int64), np.array(block["held_out"], bool), model
 
 
-def _expected(blocks: DataFrame, model: HiddenMarkov, vocabulary: Vocabulary, members: DataFrame | None, answers: DataFrame | None) -> DataFrame:
-    """One round: ``bucket, block, e``, the buckets' new emissions for each block.
+def _message(bucket, block, arrays: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket, pa.int32()), pa.array(block, pa.int64()), pa.array([a.tobytes() for a in arrays], pa.binary())], ["bucket", "block", "e"]
+    )
 
-    Rows of block -1 are for the driver: the sum of a bucket's emissions, and (negative buckets) slices of the expected counts of symbols.
+
+def _expected(blocks: DataFrame, model: HiddenMarkov, answers: DataFrame | None) -> DataFrame:
+    """The first half of a round: ``bucket, block, e``, the expected counts of each block's words, a row per bucket.
+
+    Rows of block -1 and negative buckets are slices of the expected counts of symbols, from each task.
     """
     shared = blocks.sparkSession.sparkContext.broadcast(model)
-    states, unit = len(model.start), vocabulary.shares()[1]
-
-    def message(bucket, block, arrays: list[np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(bucket, pa.int32()), pa.array(block, pa.int64()), pa.array([a.tobytes() for a in arrays], pa.binary())], ["bucket", "block", "e"]
-        )
+    states = len(model.start)
 
     def expect(batches: Iterator[pa.RecordBatch]):
         size = len(shared.value.emit)
@@ -458,14 +459,24 @@ def _expected(blocks: DataFrame, model: HiddenMarkov, vocabulary: Vocabulary, me
             if sent:
                 cuts = np.cumsum([len(r["e"]) // (4 * states) for r in sent])[:-1]
                 own = np.split(counts[size : len(hmm.emit)].astype(np.float32), cuts)
-                yield message([r["bucket"] for r in sent], [block] * len(sent), own)
+                yield _message([r["bucket"] for r in sent], [block] * len(sent), own)
         parts = [total[a : a + _HEAD_SLICE] for a in range(0, len(total), _HEAD_SLICE)]
-        yield message([-1 - i for i in range(len(parts))], [-1] * len(parts), parts)
+        yield _message([-1 - i for i in range(len(parts))], [-1] * len(parts), parts)
+
+    return _answered(blocks, answers).mapInArrow(expect, _ROUND)
+
+
+def _summed(counted: DataFrame, vocabulary: Vocabulary, members: DataFrame | None, states: int) -> DataFrame:
+    """The second half: ``bucket, block, e``, the buckets' new emissions for each block.
+
+    Rows of block -1 are for the driver: the sum of a bucket's emissions, and (negative buckets) slices of the expected counts of symbols.
+    """
+    unit = vocabulary.shares()[1]
 
     def add(batches: Iterator[pa.RecordBatch]):
         for bucket, rows in _groups(batches, "bucket"):
             if bucket < 0:
-                yield message([bucket], [-1], [sum(np.frombuffer(r["e"], np.float64) for r in rows)])
+                yield _message([bucket], [-1], [sum(np.frombuffer(r["e"], np.float64) for r in rows)])
                 continue
             places = {r["block"]: np.frombuffer(r["places"], np.int32) for r in rows if r["places"] is not None}
             n = next(np.frombuffer(r["n"], np.int64) for r in rows if r["block"] < 0)
@@ -477,9 +488,8 @@ def _expected(blocks: DataFrame, model: HiddenMarkov, vocabulary: Vocabulary, me
             total = e[n > 0].sum(axis=0, dtype=np.float64)
             e[n == 0] = np.nan
             met = [b for b in places if b >= 0]
-            yield message([bucket] * (len(met) + 1), [-1, *met], [total, *(e[places[b]] for b in met)])
+            yield _message([bucket] * (len(met) + 1), [-1, *met], [total, *(e[places[b]] for b in met)])
 
-    counted = _answered(blocks, answers).mapInArrow(expect, _ROUND)
     if members is not None:
         known = members.select("bucket", "block", F.when(F.col("block") >= 0, F.col("places")).alias("places"), F.when(F.col("block") < 0, F.col("n")).alias("n"))
         counted = counted.unionByName(known, allowMissingColumns=True)
@@ -515,7 +525,13 @@ def trained(blocks: DataFrame, vocabulary: Vocabulary, members: DataFrame | None
         if i < warm:
             part = blocks.filter(F.pmod(F.xxhash64(F.lit(SEED), "block"), F.lit(WARM_FOLDS)) == i % WARM_FOLDS)
         sent = None if answers is None else answers.join(part.select("block"), "block", "left_semi") if i < warm else answers
-        summed = workspace.write(_expected(part, model, vocabulary, members, sent), f"round-{i}")
+        # Each half is written, so that the shuffle of the first is gone before that of the second begins.
+        counted = workspace.write(_expected(part, model, sent), f"counts-{i}")
+        replaced = answers is not None and i >= warm and vocabulary.n_tokens > 0  # a round with tokens replaces them
+        if replaced:
+            workspace.remove(answers)
+        summed = workspace.write(_summed(counted, vocabulary, members, states), f"round-{i}")
+        workspace.remove(counted)
         found = {r.bucket: np.frombuffer(r.e, np.float64) for r in summed.filter("bucket < 0").select("bucket", "e").collect()}
         rows = [found[b] for b in sorted(found, reverse=True)]
         counts = np.concatenate(rows).reshape(-1, states) if rows else np.zeros((vocabulary.size + states + 3, states))
@@ -525,7 +541,8 @@ def trained(blocks: DataFrame, vocabulary: Vocabulary, members: DataFrame | None
             workspace.remove(summed)
             continue
         if answers is not None:
-            workspace.remove(answers)
+            if not replaced:
+                workspace.remove(answers)
             answers = summed
         model = model.updated(counts, vocabulary, _sums(answers))
         if answers is None:

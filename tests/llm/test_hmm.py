@@ -135,3 +135,24 @@ def test_sizes_of_blocks_and_buckets_change_nothing(spark):
     # warm rounds see other folds where blocks differ, so only full rounds are held against each other
     full, again = (sorted((tuple(r) for r in score_texts(docs, Workspace(spark, "test"), head=40, full=2, **s).collect()), key=str) for s in sizes)
     assert np.allclose([r[6] for r in full], [r[6] for r in again], rtol=1e-7)
+
+
+def test_old_emissions_and_counts_are_gone_before_the_next_half_of_a_round(spark):
+    steps = []
+
+    class Watched(Workspace):
+        def write(self, df, name):
+            out = super().write(df, name)
+            out.step = name
+            steps.append(name)
+            return out
+
+        def remove(self, df):
+            steps.append(f"-{df.step}")
+            super().remove(df)
+
+    docs = spark.createDataFrame([(i, f"w{i} w{i % 7} common") for i in range(60)], "doc_id bigint, text string")
+    score_texts(docs, Watched(spark, "test"), head=2, block_tokens=40, bucket_words=16, states=2, full=2).collect()
+    assert steps[steps.index("counts-0") :] == [
+        "counts-0", "-begun", "round-0", "-counts-0", "counts-1", "-round-0", "round-1", "-counts-1",
+    ]
