@@ -2,8 +2,8 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import LinearSVC, RandomForestClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from palisade.config import (
@@ -19,7 +19,7 @@ from palisade.config import (
     LogisticSettings,
     SignatureSettings,
 )
-from palisade.operators import learners, sampling
+from palisade.operators import learners, margins, sampling
 from palisade.operators.ensemble import fusion_report
 from palisade.operators.features import assemble
 from palisade.operators.preprocess import Preprocessor
@@ -306,6 +306,48 @@ def test_failed_save_leaves_the_old_version(spark, run, tmp_path, monkeypatch):
         jobs.load_detector(spark, str(tmp_path / "nothing"))
 
 
+def test_kernel_machine_stores_no_cosines(vectors, monkeypatch):
+    """A kilobyte a row, and once more in each of the machines, is more disk than the input."""
+    stored, keep = [], learners.cut_lineage
+    monkeypatch.setattr(learners, "cut_lineage", lambda df, name="table": stored.append(df.columns) or keep(df, name))
+    model = learners.fit_kernel_machine(vectors, "k", SHORT.kernel_machine, "label", "row_id")
+    assert stored == [["label", "margin"]]
+    right = learners.score_with({"k": model}, vectors).filter("pred_k = label").count()
+    assert right > 0.9 * vectors.count()
+
+
+def test_machines_in_shared_passes_equal_spark_s(vectors):
+    width, gamma = learners.kernel_width(vectors)
+    cosines = learners.RandomFourierFeatures(width, 48, gamma, 5, "k")
+    n = vectors.count()
+    mapped = cosines.transform(vectors).withColumn("fold", F.expr("if(row_id = 7, null, row_id % 3)")).cache()
+    parts = [mapped.filter("fold <> 0"), mapped.filter("fold <> 2"), mapped]
+    want = [
+        LinearSVC(featuresCol="_k_cosines", labelCol="label", regParam=1 / n, maxIter=40, standardization=False).fit(p) for p in parts
+    ]
+    drawn = margins.Cosines(*cosines.projection())
+    blocks = margins.feature_blocks(mapped, "features", "label", F.col("fold"), width)
+    without = [0, 2, margins.EVERYTHING]
+    got = margins.fit_machines(blocks, drawn, without, [1 / n] * 3, 40)
+
+    def loss(weights, intercept, fold):
+        rows = parts[without.index(fold)].count()
+        return margins.hinge_sums(blocks, drawn, weights[:, None], np.array([intercept]), [fold])[0][0] / rows + weights @ weights / (2 * n)
+
+    for fold, (weights, intercept), theirs in zip(without, got, want):
+        assert loss(weights, intercept, fold) == pytest.approx(loss(theirs.coefficients.toArray(), theirs.intercept, fold), rel=1e-2)  # paths over corners part early
+        assert loss(weights, intercept, fold) == pytest.approx(theirs.summary().objectiveHistory[-1], rel=1e-2)  # paths over corners part early
+    outside = margins.margins_outside(vectors.sparkSession, blocks, drawn, [got[0], got[0], got[1]])
+    assert outside.count() == n - 1  # a row without a fold is in no fold's training or test
+
+
+@pytest.mark.parametrize("label, x", [("2", "0.0"), ("null", "0.0"), ("1", "double('inf')")])
+def test_blocks_take_no_other_labels_or_infinite_features(spark, label, x):
+    odd = spark.sql(f"SELECT array({x}, 1.0) AS a, int({label}) AS label").select("label", array_to_vector("a").alias("features"))
+    with pytest.raises(Exception, match="label|finite"):
+        margins.feature_blocks(odd, "features", "label", F.lit(0), 2).collect()
+
+
 def test_kernel_machine_survives_saving(spark, parts, tmp_path):
     run = jobs.train_detector(parts[0], settings=SETTINGS, learners=("kernel_machine",))
     path = str(tmp_path / "kernel")
