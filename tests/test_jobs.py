@@ -25,6 +25,7 @@ from palisade.operators.features import assemble
 from palisade.operators.preprocess import Preprocessor
 from palisade.plans import detector as jobs
 from palisade.plans.queries import QUERIES, detecting
+from palisade.session import on_all_cores
 from palisade.sources import runs
 from palisade.sources.artifacts import version_folder, versions
 from palisade.sources.connections import write_table
@@ -398,3 +399,20 @@ def test_tasks_of_a_pass_grow_with_the_rows(spark):
     rows = learners.ROWS_PER_TASK
     found = [learners.few_tasks(table, n).rdd.getNumPartitions() for n in (0, rows, rows + 1, 5 * rows, 100 * rows)]
     assert found == [1, 1, 2, 5, 8]
+
+
+def test_rows_of_few_files_are_dealt_to_all_cores(spark):
+    """A written table of many rows may come back as one task, and a forest walks each row down all of its trees."""
+    table, worth = spark.range(100, numPartitions=2), learners.FOREST_ROWS_PER_TASK
+    found = [learners.more_tasks(table, n, worth).rdd.getNumPartitions() for n in (0, worth, 2 * worth, 2 * worth + 1, 100 * worth)]
+    assert found == [2, 2, 2, 3, 4]  # the session has four cores
+    assert learners.few_tasks(table, 3 * learners.ROWS_PER_TASK).rdd.getNumPartitions() == 3
+    assert [on_all_cores(spark.range(9, numPartitions=n)).rdd.getNumPartitions() for n in (1, 4, 6)] == [4, 4, 6]
+
+
+def test_a_forest_of_few_files_grows_on_all_cores(spark, vectors, monkeypatch):
+    monkeypatch.setattr(learners, "FOREST_ROWS_PER_TASK", 300)
+    dealt, keep = [], learners.with_class_weight
+    monkeypatch.setattr(learners, "with_class_weight", lambda df, *a: dealt.append(df.rdd.getNumPartitions()) or keep(df, *a))
+    learners.fit_random_forest(vectors.coalesce(1), "f", ForestSettings(trees=2, depth=2), "label", "row_id")
+    assert dealt == [4]

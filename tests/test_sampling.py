@@ -187,3 +187,16 @@ def test_cuts_compute_each_draw_once(spark, monkeypatch):
     rows = spark.range(20_000).select(F.col("id").alias("row_id"), (F.col("id") % 3).alias("label"))
     sampling.holdout_parts(rows, row_id="row_id", label="label", draw=portable_draw(42, F.col("row_id")))
     assert found["cuts"]._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+
+
+def test_class_weights_leave_rows_in_their_tasks(spark):
+    """Joined by shuffling, two classes are two tasks, however many rows and cores there are."""
+    rows = spark.range(4000, numPartitions=4).select("id", (F.col("id") % 2).alias("label"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        weighted = sampling.with_class_weight(rows, "label")
+        assert weighted.rdd.glom().map(len).collect() == [1000] * 4
+        assert {r[0] for r in weighted.select("weight").distinct().collect()} == {1.0}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
